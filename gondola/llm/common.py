@@ -34,7 +34,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: cuts the lineage, fixes row ids, survives lost executors."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -52,29 +52,27 @@ def hashed_uniform(seed: str, *columns: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def with_global_index(df: DataFrame, order: list[Column], name: str, label: str = "index") -> DataFrame:
-    """Add the gapless index 0..n-1 of each row in the given total order.
+def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
+    """df written to the shared folder, with the gapless index 0..n-1 of its rows as they lie in its partitions.
 
-    One range exchange, no single-task sort: each partition numbers its own rows, and the
-    partitions' offsets (as many rows as shuffle partitions) are broadcast.
+    The partitions' offsets (as many rows as the write had tasks) are broadcast.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    placed = materialise(ranged.withColumn("_at", F.monotonically_increasing_id()), label)
+    placed = materialise(df.withColumn("_at", F.monotonically_increasing_id()), label)
     part = F.shiftrightunsigned("_at", _ROW_BITS).cast("int")
     counts = sorted((r["part"], r["n"]) for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, before = [], 0
     for p, n in counts:
         offsets.append((p, before))
         before += n
-    starts = F.broadcast(spark.createDataFrame(offsets, "_part int, _before long"))
-    return (
-        placed.withColumn("_part", part)
-        .join(starts, "_part")
-        .withColumn(name, F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-        .drop("_part", "_before", "_at")
-    )
+    starts = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part int, _before long"))
+    index = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return placed.withColumn("_part", part).join(starts, "_part").withColumn(name, index).drop("_part", "_before", "_at")
+
+
+def with_global_index(df: DataFrame, order: list[Column], name: str, label: str = "index") -> DataFrame:
+    """Add the gapless index 0..n-1 of each row in the given total order: one range exchange, no single-task sort."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return numbered(df.repartitionByRange(parts, *order).sortWithinPartitions(*order), name, label)
 
 
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import mixing, quality, secret_scan, sharding
+from gondola.llm import mixing, packing, quality, secret_scan, sharding, simhash, training_order
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +55,23 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    ordered = training_order.in_training_order(training_order.token_sequences(docs))
+    placed = ordered.withColumn("byte_offset", training_order.byte_offset(F.col("record")))
+    return training_order.with_crc(placed)
+
+
+def op7_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    prints = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return simhash.near_groups(docs).select("doc_id", prints.alias("fingerprint"), "component_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -65,6 +82,9 @@ def queries():
         "op1_source_mixing": op1_source_mixing,
         "op2_sharding": op2_sharding,
         "op4_secret_scan": op4_secret_scan,
+        "op5_training_order": op5_training_order,
+        "op7_lexical_packing": op7_lexical_packing,
+        "op8_simhash_dedup": op8_simhash_dedup,
         "op10_quality_rules": op10_quality_rules,
     }
 
