@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import mixing, packing, quality, secret_scan, sharding, simhash, training_order
+from gondola.llm import embedding_join, mixing, packing, quality, secret_scan, sharding, simhash, training_order, warc
+from gondola.llm.common import materialise, shared_path
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +63,10 @@ def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.with_crc(placed)
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_groups(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
 def op7_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
@@ -72,6 +77,19 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(docs).select("doc_id", prints.alias("fingerprint"), "component_id")
 
 
+def op9_warc_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), path)
+    captures = warc.assemble(materialise(warc.read_records(spark, path), "warc-records"))
+    return captures.select(
+        "page_id",
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.record_type").alias("record_type"),
+        F.col("refers_to_page").alias("refers_to"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -83,8 +101,10 @@ def queries():
         "op2_sharding": op2_sharding,
         "op4_secret_scan": op4_secret_scan,
         "op5_training_order": op5_training_order,
+        "op6_embedding_dedup": op6_embedding_dedup,
         "op7_lexical_packing": op7_lexical_packing,
         "op8_simhash_dedup": op8_simhash_dedup,
+        "op9_warc_assembly": op9_warc_assembly,
         "op10_quality_rules": op10_quality_rules,
     }
 
