@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import embedding_join, mixing, packing, quality, secret_scan, sharding, simhash, training_order, warc
+from gondola.llm import embedding_join, html_extract, mixing, packing, quality, secret_scan, sharding, simhash, training_order, warc
 from gondola.llm.common import materialise, shared_path
 
 
@@ -41,6 +41,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_style_tree_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
     spans = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int,kind:string,base:boolean,verdict:string,owners:bigint,repositories:bigint>>"))
@@ -99,6 +104,7 @@ def queries():
     return {
         "op1_source_mixing": op1_source_mixing,
         "op2_sharding": op2_sharding,
+        "op3_style_tree_extraction": op3_style_tree_extraction,
         "op4_secret_scan": op4_secret_scan,
         "op5_training_order": op5_training_order,
         "op6_embedding_dedup": op6_embedding_dedup,
