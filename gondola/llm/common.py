@@ -30,11 +30,14 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return name
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: cuts the lineage, fixes row ids, survives lost executors."""
+def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+    """Write df as Parquet into the shared folder and read it back: cuts the lineage, fixes row ids, survives lost executors.
+
+    zstd is for wide binary columns: its buffers lie outside the heap, and many small writes pile them up.
+    """
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -52,12 +55,12 @@ def hashed_uniform(seed: str, *columns: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
+def numbered(df: DataFrame, name: str, label: str, compression: str = "snappy") -> DataFrame:
     """df written to the shared folder, with the gapless index 0..n-1 of its rows as they lie in its partitions.
 
     The partitions' offsets (as many rows as the write had tasks) are broadcast.
     """
-    placed = materialise(df.withColumn("_at", F.monotonically_increasing_id()), label)
+    placed = materialise(df.withColumn("_at", F.monotonically_increasing_id()), label, compression)
     part = F.shiftrightunsigned("_at", _ROW_BITS).cast("int")
     counts = sorted((r["part"], r["n"]) for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, before = [], 0

@@ -78,7 +78,7 @@ def token_sequences(docs: DataFrame, tokens: int = SEQUENCE_TOKENS) -> DataFrame
 
 def in_training_order(sequences: DataFrame, key: int = KEY, shard_sequences: int = SHARD_SEQUENCES) -> DataFrame:
     """sequences with slot, shard and record (the place in the shard), range-partitioned and sorted by slot."""
-    indexed = numbered(sequences, "_index", "training-sequences")
+    indexed = numbered(sequences, "_index", "training-sequences", "zstd")
     n = indexed.count()
 
     def run(batches):
