@@ -125,4 +125,6 @@ def keep_good(docs: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
     """The documents that meet every rule, columns as they came."""
     names = {c: f"_in_{i}" for i, c in enumerate(docs.columns)}
     renamed = docs.select(*[F.col(c).alias(n) for c, n in names.items()]).withColumn("text", F.col(names["text"]))
-    return judge(renamed, thresholds).where("kept").select(*[F.col(n).alias(c) for c, n in names.items()])
+    # the row number keeps the filter above the projection: pushed below, it would repeat every metric's expression
+    judged = judge(renamed, thresholds).withColumn("_at", F.monotonically_increasing_id())
+    return judged.where("kept and _at >= 0").select(*[F.col(n).alias(c) for c, n in names.items()])
