@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from gondola.plans import relational, scalars
+from gondola.plans import relational, report_queries, scalars
 
 
 def _all() -> dict:
-    return {**scalars.QUERIES, **relational.QUERIES}
+    return {**scalars.QUERIES, **relational.QUERIES, **report_queries.QUERIES}
 
 
 def queries() -> dict:

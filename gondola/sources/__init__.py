@@ -1,0 +1 @@
+"""Reading and writing the catalogue's files."""
