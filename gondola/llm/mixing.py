@@ -7,8 +7,8 @@ floor(r) times, plus one copy whose hash-seeded draw falls below r - floor(r).
 
 Defined cases: a null text has size 0 and is an ordinary (wordless) document; a null source is a
 source of its own and comes last; repeated rows draw alike; a source without words has target 0
-and emits nothing; an empty table gives an empty result; input columns named like an added one
-(``size``, ``source_size``, ``target``, ``copies``) are replaced.
+and emits nothing; an empty table gives an empty result. The plan replaces input columns named like
+one it adds (``size``, ``source_size``, ``target``, ``copies``); the mix returns all columns as they came.
 """
 
 from __future__ import annotations
@@ -70,5 +70,6 @@ def mixing_plan(docs: DataFrame, weight=cyclic_weight, max_epochs: int = MAX_EPO
 
 def mix(docs: DataFrame, weight=cyclic_weight, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mix itself: each row of docs, with its own columns, as many times as the plan says."""
-    planned = mixing_plan(docs, weight, max_epochs, seed).where("copies > 0")
-    return planned.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    whole = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_doc"))
+    planned = mixing_plan(whole, weight, max_epochs, seed).where("copies > 0")
+    return planned.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_doc.*")
