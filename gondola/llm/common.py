@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +43,28 @@ def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application: they may not have it on their path."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="gondola-code-")) / "gondola.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(root.rglob("*.py")):
+                z.write(file, file.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(app)
+
+
+def map_in_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """df.mapInArrow with this package on the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import connected_components, materialise
+from gondola.llm.common import connected_components, map_in_arrow, materialise
 
 COSINE = 0.95
 #: Vectors in a block on average: two blocks of doubles and a strip of their products fit a task easily.
@@ -122,30 +122,32 @@ def range_links(df: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_R
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(far)], ["_row", "dim", "v", "cell", "far"])
 
     fields = "_row long, dim int, v array<double>, cell int, far double"
-    placed = materialise(rows.where("dim is not null").select("_row", "dim", "v").mapInArrow(celled, fields), "vectors-celled")
+    placed = materialise(map_in_arrow(rows.where("dim is not null").select("_row", "dim", "v"), celled, fields), "vectors-celled")
     # as many rows as there are pivots
     cells = {(r["dim"], r["cell"]): (r["n"], r["far"]) for r in placed.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
     blocks = {c: -(-n // block_rows) for c, (n, _) in cells.items()}
 
     def replicated(batches):
         for b in batches:
-            row, dim, cell = (b.column(k).to_numpy() for k in (0, 1, 3))
+            rows_, dims, own_cells = (b.column(k).to_pylist() for k in (0, 1, 3))
             vs = b.column(2).to_pylist()
             out = {k: [] for k in ("dim", "c1", "b1", "c2", "b2", "side", "at")}
-            for i, v in enumerate(vs):
-                d, own = dim[i], (int(cell[i]), int(row[i] * 2654435761 % (1 << 32)) % blocks[dim[i], cell[i]])
-                near = _distances(unit_rows([v])[0], pivots[d])[0]
-                for c in range(len(pivots[d])):
-                    if (d, c) in cells and near[c] <= cells[d, c][1] + reach:
-                        for other in ((c, k) for k in range(blocks[d, c])):
-                            first, second = sorted((own, other))
+            for d in set(dims):
+                mine = [i for i, x in enumerate(dims) if x == d]
+                here = [c for c in range(len(pivots[d])) if (d, c) in cells]
+                reached = _distances(unit_rows([vs[i] for i in mine])[0], pivots[d][here]) <= np.array([cells[d, c][1] + reach for c in here])
+                for i, near in zip(mine, reached):
+                    own = (own_cells[i], (rows_[i] * 2654435761 >> 15) % blocks[d, own_cells[i]])
+                    for c in np.flatnonzero(near):
+                        for k in range(blocks[d, here[c]]):
+                            first, second = sorted((own, (here[c], k)))
                             for key, value in zip(out, (d, *first, *second, int(own == second and first != second), i)):
                                 out[key].append(value)
             at = np.array(out.pop("at"), np.int64)
             arrays = [pa.array(x, pa.int32()) for x in out.values()]
             yield pa.RecordBatch.from_arrays([*arrays, b.column(0).take(pa.array(at)), b.column(2).take(pa.array(at))], [*out, "_row", "v"])
 
-    pairs = placed.mapInArrow(replicated, "dim int, c1 int, b1 int, c2 int, b2 int, side int, _row long, v array<double>")
+    pairs = map_in_arrow(placed, replicated, "dim int, c1 int, b1 int, c2 int, b2 int, side int, _row long, v array<double>")
 
     def linked(table: pa.Table) -> pa.Table:
         side, ids = table.column("side").to_numpy(), table.column("_row").to_numpy()

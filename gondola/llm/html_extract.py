@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import materialise
+from gondola.llm.common import map_in_arrow, materialise
 
 #: Nodes on fewer pages of a host than this are left alone.
 MIN_PAGES = 5
@@ -310,7 +310,7 @@ def low_paths(pages: DataFrame) -> DataFrame:
             columns = list(zip(*rows)) if rows else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *[pa.array(c, pa.int64()) for c in columns]], ["host", "path", "style", "content", "children"])
 
-    nodes = pages.where("host is not null").select("host", "html").mapInArrow(run, "host string, path long, style long, content long, children long")
+    nodes = map_in_arrow(pages.where("host is not null").select("host", "html"), run, "host string, path long, style long, content long, children long")
     # counts of each style and content, then their entropies: two small aggregations, hot hosts combined map-side
     shown = nodes.select("host", "path", "children", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("style").alias("value")), F.struct(F.lit(1).alias("kind"), F.col("content").alias("value")))))
     counts = shown.groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("children").alias("children"))
@@ -346,4 +346,4 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     types = dict(rows.dtypes)
-    return joined.mapInArrow(run, f"page_id {types['page_id']}, url {types['url']}, text string")
+    return map_in_arrow(joined, run, f"page_id {types['page_id']}, url {types['url']}, text string")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import embedding_join, html_extract, mixing, packing, quality, secret_scan, sharding, simhash, training_order, warc
+from gondola.llm import embedding_join, html_extract, mixing, oracles, packing, quality, secret_scan, sharding, simhash, training_order, warc
 from gondola.llm.common import materialise, shared_path
 
 
@@ -15,26 +15,6 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
-OP1_SQL = f"""
-WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
-sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
-ranked AS (SELECT source, source_size, 3 * source_size AS stop,
-  (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sources),
-lined AS (SELECT *, sum(stop) OVER w - stop AS stopped, sum(weight) OVER () - (sum(weight) OVER w - weight) AS rest,
-  sum(source_size) OVER () AS total FROM ranked
-  WINDOW w AS (ORDER BY stop / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
-filled AS (SELECT arg_min(CAST(total - stopped AS DOUBLE) / CAST(rest AS DOUBLE), stopped) AS level FROM lined
-  WHERE weight * (CAST(total - stopped AS DOUBLE) / CAST(rest AS DOUBLE)) <= stop),
-targets AS (SELECT source, source_size, least(weight * coalesce(level, 0), CAST(stop AS DOUBLE)) AS target FROM ranked, filled),
-rated AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-  CAST('0x' || substr(md5('{mixing.SEED}' || chr(31) || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) / 4503599627370496.0 AS draw
-  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
-SELECT doc_id, size, source_size, target,
-  CAST((floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM rated
-"""
-
-
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     placed = sharding.shard(docs)
@@ -116,4 +96,10 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mixing": OP1_SQL}
+    return {
+        "op1_source_mixing": oracles.MIXING,
+        "op4_secret_scan": oracles.SECRETS,
+        "op6_embedding_dedup": oracles.EMBEDDINGS,
+        "op9_warc_assembly": oracles.ARCHIVES,
+        "op10_quality_rules": oracles.QUALITY,
+    }

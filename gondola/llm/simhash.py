@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from gondola.llm.common import connected_components, materialise
+from gondola.llm.common import connected_components, map_in_arrow, materialise
 
 BLOCKS = (13, 13, 13, 13, 12)
 DISTANCE = 2
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.int64())], ["doc_id", "fp"])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, fp long")
+    return map_in_arrow(narrow, run, "doc_id long, fp long")
 
 
 def block_keys(fp: Column) -> Column:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import numbered
+from gondola.llm.common import map_in_arrow, numbered
 from gondola.llm.tokenizing import worker_encoder
 
 SEQUENCE_TOKENS = 2048
@@ -73,7 +73,7 @@ def token_sequences(docs: DataFrame, tokens: int = SEQUENCE_TOKENS) -> DataFrame
             )
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, part int, n_tokens int, ids binary")
+    return map_in_arrow(narrow, run, "doc_id long, part int, n_tokens int, ids binary")
 
 
 def in_training_order(sequences: DataFrame, key: int = KEY, shard_sequences: int = SHARD_SEQUENCES) -> DataFrame:
@@ -88,7 +88,7 @@ def in_training_order(sequences: DataFrame, key: int = KEY, shard_sequences: int
             yield b.set_column(at, "slot", pa.array(slots, pa.int64()))
 
     fields = ", ".join(f"`{c}` {t}" for c, t in sequences.dtypes)
-    slotted = indexed.select(*sequences.columns, "_index").mapInArrow(run, f"{fields}, slot long")
+    slotted = map_in_arrow(indexed.select(*sequences.columns, "_index"), run, f"{fields}, slot long")
     placed = slotted.withColumns(
         {"shard": F.floor(F.col("slot") / shard_sequences).cast("int"), "record": (F.col("slot") % shard_sequences).cast("int")}
     )
@@ -120,7 +120,7 @@ def write_shards(ordered: DataFrame, path: str, tokens: int = SEQUENCE_TOKENS) -
     lost task's output never shows; bytes pass through its text form unchanged.
     """
     whole = ordered.repartition("shard").sortWithinPartitions("shard", "record").select("shard", "ids")
-    lines = whole.mapInArrow(_records(tokens), "shard int, record binary")
+    lines = map_in_arrow(whole, _records(tokens), "shard int, record binary")
     lines.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").text(path)
 
 
@@ -141,7 +141,7 @@ def with_crc(ordered: DataFrame) -> DataFrame:
             yield b.set_column(at, "ids_crc32", pa.array(crcs, pa.int64()))
 
     fields = ", ".join(f"`{c}` {t}" if c != "ids" else "ids_crc32 long" for c, t in ordered.dtypes)
-    return ordered.mapInArrow(run, fields)
+    return map_in_arrow(ordered, run, fields)
 
 
 def byte_offset(record: Column, tokens: int = SEQUENCE_TOKENS) -> Column:

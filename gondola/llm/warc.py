@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gondola.llm.common import map_in_arrow
+
 BLANK = "\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -182,7 +184,7 @@ def read_records(spark: SparkSession, path: str, with_blocks: bool = False) -> D
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     pieces = spark.read.option("lineSep", BLANK).text(path).select(F.col("value").cast("binary").alias("value"))
-    return pieces.mapInArrow(run, RECORDS)
+    return map_in_arrow(pieces, run, RECORDS)
 
 
 def assemble(records: DataFrame) -> DataFrame:
