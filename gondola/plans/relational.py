@@ -285,7 +285,7 @@ UNION ALL SELECT CASE WHEN c_name LIKE '%1' THEN concat(c_name, '/N/admin') ELSE
 def export_catalogue(spark, sf_dir):
     p, m, c = (table(spark, sf_dir, t) for t in ("produtos", "marcas", "codigos"))
     files = _read(spark, sf_dir, "part").select(F.concat(F.lit("/img/790"), F.lpad(F.col("p_partkey").cast("string"), 10, "0"), F.lit(".webp")).alias("path"), (F.col("p_partkey") % 3 * 600).alias("length"))
-    return export.with_aliases(export.catalogue(p, m, c, files))
+    return export.with_aliases(export.catalogue(p, m, c, files)).withColumn("peso_gramas", F.col("peso_gramas").cast("string"))
 
 
 EXPORT_SQL = f"""{cte("produtos", "marcas", "codigos")}, k AS (SELECT *, CASE WHEN regexp_matches(codigo, '^[0-9]{{14}}$') THEN 'DUN' WHEN upper(tipo) LIKE '%DUN%' AND regexp_matches(codigo, '^[0-9]+$') THEN NULL
@@ -296,7 +296,7 @@ r AS (SELECT p.*, b.ean, b.dun, m.nome, f.ean IS NOT NULL AS loc, contains(lower
 s AS (SELECT *, CASE WHEN bad THEN 'sem_imagem' ELSE coalesce(status_imagem, 'sem_imagem') END AS st FROM r),
 t AS (SELECT *, CASE WHEN st = 'sem_imagem' THEN NULL WHEN loc THEN concat('/imagens_produtos/', ean, '.webp') WHEN coalesce(imagem_url, '') = '' OR st = 'pendente_aprovacao' THEN NULL ELSE imagem_url END AS img,
   CASE WHEN st = 'sem_imagem' THEN st WHEN loc THEN st WHEN coalesce(imagem_url, '') = '' OR st = 'pendente_aprovacao' THEN 'sem_imagem' ELSE st END AS stat, coalesce(descricao_padronizada, descricao_original) AS descr FROM s)
-SELECT id, marca_id AS "marcaId", coalesce(nome, 'N/D') AS "marcaDescr", classe AS "produtoClasse", ean AS "produtoEan", coalesce(dun, '') AS "produtoDun", conservacao AS "produtoConservacao", descr AS "produtoDescr", peso_gramas, fracionado,
+SELECT id, marca_id AS "marcaId", coalesce(nome, 'N/D') AS "marcaDescr", classe AS "produtoClasse", ean AS "produtoEan", coalesce(dun, '') AS "produtoDun", conservacao AS "produtoConservacao", descr AS "produtoDescr", CAST(peso_gramas AS VARCHAR) AS peso_gramas, fracionado,
  img AS "imagemUrl", stat AS "statusImagem", coalesce(nome, 'N/D') AS "marcaNome", coalesce(nome, 'N/D') AS marca_nome, ean AS sku, descr AS title, descr AS descricao, img AS imagem_url, stat AS status_imagem FROM t"""
 
 

@@ -166,12 +166,12 @@ UNION ALL SELECT {_uuid_sql("id")}, 'brand', nome FROM marcas WHERE id IN (SELEC
 
 def staged_products(spark, sf_dir):
     """Staged products with keys, descriptions and final weights."""
-    return prepare(_staging(spark, sf_dir))[1].select("id", "marca_id", "peso_gramas", "fracionado")
+    return prepare(_staging(spark, sf_dir))[1].select("id", "marca_id", F.col("peso_gramas").cast("string").alias("peso_gramas"), "fracionado")
 
 
 STAGED_SQL = f"""{cte("produtos", "codigos")}, c AS (SELECT *, CAST(regexp_extract(produto_id, '([0-9]+)$', 1) AS BIGINT) % 2 AS f FROM codigos), r AS (SELECT *, row_number() OVER (PARTITION BY f, trim(codigo) ORDER BY ordinal) AS n FROM c),
 p AS (SELECT *, peso_gramas > 0 AND NOT fracionado AS known FROM produtos WHERE id IN (SELECT produto_id FROM r WHERE n = 1 AND regexp_matches(codigo, '^[0-9]+$')))
-SELECT {_uuid_sql("id")} AS id, {_uuid_sql("marca_id")} AS marca_id, peso_gramas, NOT coalesce(known, false) AS fracionado FROM p"""
+SELECT {_uuid_sql("id")} AS id, {_uuid_sql("marca_id")} AS marca_id, CAST(peso_gramas AS VARCHAR) AS peso_gramas, NOT coalesce(known, false) AS fracionado FROM p"""
 
 QUERIES = {
     "holding_status": (holding_status, HOLDING_SQL),

@@ -133,19 +133,21 @@ weighed AS (SELECT *, CASE kind WHEN 'pack' THEN CAST(floor(CAST(times AS DOUBLE
 
 def weight_extract(spark, sf_dir):
     t = table(spark, sf_dir, "titulos").select("id", "title", text.weight(F.col("title")).alias("w"))
-    return t.select("id", F.col("w.grams").alias("grams"), F.col("w.fractional").alias("fractional"), F.col("w.label").alias("label"), text.weight_token(F.col("title")).alias("token"), text.supplier_grams(F.col("title")).alias("supplier_grams"))
+    # numbers that may be missing are shown as text: engines differ in how a frame holds them
+    grams, supplied = F.col("w.grams").cast("string"), text.supplier_grams(F.col("title")).cast("string")
+    return t.select("id", grams.alias("grams"), F.col("w.fractional").alias("fractional"), F.col("w.label").alias("label"), text.weight_token(F.col("title")).alias("token"), supplied.alias("supplier_grams"))
 
 
-WEIGHT_SQL = f"""{cte("titulos")}{WEIGHT_CTE} SELECT id, grams, fractional, label,
+WEIGHT_SQL = f"""{cte("titulos")}{WEIGHT_CTE} SELECT id, CAST(grams AS VARCHAR) AS grams, fractional, label,
  nullif(replace(regexp_replace(regexp_extract(s, '\\b([0-9]+(?:[.,][0-9]+)?\\s*(?:g|kg|ml|l))\\b', 1), '\\s+', '', 'g'), ',', '.'), '') AS token,
- CAST(floor(CAST(nullif(replace(regexp_extract(s, '([0-9]+[.,]?[0-9]*)\\s*(kg|g)\\b', 1), ',', '.'), '') AS DOUBLE) * CASE WHEN regexp_extract(s, '([0-9]+[.,]?[0-9]*)\\s*(kg|g)\\b', 2) = 'kg' THEN 1000 ELSE 1 END + 0.5) AS BIGINT) AS supplier_grams
+ CAST(CAST(floor(CAST(nullif(replace(regexp_extract(s, '([0-9]+[.,]?[0-9]*)\\s*(kg|g)\\b', 1), ',', '.'), '') AS DOUBLE) * CASE WHEN regexp_extract(s, '([0-9]+[.,]?[0-9]*)\\s*(kg|g)\\b', 2) = 'kg' THEN 1000 ELSE 1 END + 0.5) AS BIGINT) AS VARCHAR) AS supplier_grams
  FROM weighed"""
 
 
 def description_format(spark, sf_dir):
     t = table(spark, sf_dir, "titulos")
     t = t.withColumns(text.described(F.col("title"), F.col("grams"), F.col("fractional")))
-    return t.select("id", text.description(F.col("_clean"), F.col("_parsed")).alias("description"), F.col("_parsed.grams").alias("grams"), F.col("_parsed.fractional").alias("fractional"))
+    return t.select("id", text.description(F.col("_clean"), F.col("_parsed")).alias("description"), F.col("_parsed.grams").cast("string").alias("grams"), F.col("_parsed.fractional").alias("fractional"))
 
 
 DESCRIPTION_SQL = f"""{cte("titulos")}{TITLE_CTE}{WEIGHT_CTE},
@@ -154,7 +156,7 @@ filled AS (SELECT weighed.id, clean.title, CASE WHEN fill THEN known ELSE grams
   FROM (SELECT *, coalesce(grams IS NULL AND known > 0 AND NOT coalesce(given, false), false) AS fill FROM weighed) weighed JOIN clean ON weighed.id = clean.id),
 bare AS (SELECT *, trim(regexp_replace(title, '\\s*\\(pesar\\)', '', 'gi')) AS b, regexp_replace(label, '[^0-9.,]', '', 'g') AS n, regexp_replace(label, '[0-9.,]', '', 'g') AS u FROM filled)
 SELECT id, CASE WHEN fractional OR grams IS NULL THEN CASE WHEN regexp_matches(lower(title), '\\(pesar\\)') THEN title ELSE concat(trim(regexp_replace(title, '\\s+fracionad[oa]', '', 'gi')), ' (pesar)') END
- WHEN regexp_matches(b, concat('(?i)\\b', regexp_replace(n, '\\.', '[.,]'), '\\s*', u, '\\b')) THEN b ELSE concat(b, ' ', label) END AS description, grams, fractional FROM bare"""
+ WHEN regexp_matches(b, concat('(?i)\\b', regexp_replace(n, '\\.', '[.,]'), '\\s*', u, '\\b')) THEN b ELSE concat(b, ' ', label) END AS description, CAST(grams AS VARCHAR) AS grams, fractional FROM bare"""
 
 
 def text_cleanups(spark, sf_dir):
