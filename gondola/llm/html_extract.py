@@ -48,8 +48,8 @@ NOISE_TAGS = frozenset(
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar tablist".split())
 NOISE_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising adbox adslot sponsor sponsored sponsors promo promos promotion banner banners cookie cookies consent gdpr"
-    " notice notices notification notifications popup modal overlay newsletter subscribe subscription signup login sidebar sidebars widget widgets nav navbar navigation navi menu menus"
+    "ad ads adsbygoogle adv advert adverts advertisement advertisements advertising adbox adslot sponsor sponsored sponsors promo promos promotion banner banners cookie cookies consent gdpr"
+    " notice notices notification notifications popup modal overlay newsletter subscribe subscription signup login sidebar sidebars widget widgets nav navbar navigation navi sidenav topnav menu menus sidemenu"
     " breadcrumb breadcrumbs header masthead topbar footer comment comments commentlist disqus reply replies respond share sharing social related recommended recommendations"
     " pagination pager toolbar skip paywall disclaimer".split()
 )
@@ -258,7 +258,7 @@ def _named_content(root: Node) -> list[Node]:
             continue
         if x.tag == "main" or x.role == "main":
             mains.append(x)
-        elif x.names and x.tag in ("div", "section", "td") and _tokens(x.names) & {"content", "article", "post", "entry", "story"}:
+        elif x.names and x.tag in ("div", "section", "td") and _tokens(x.names) & {"content", "article", "post", "entry", "story", "main"}:
             named.append(x)
         todo.extend(c for c in reversed(x.children) if isinstance(c, Node))
     outer = lambda found: [x for x in found if not any(x is not y and _holds(y, x) for y in found)]
