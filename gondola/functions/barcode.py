@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gondola.functions.binding import let
+
 
 def digits(code: Column) -> Column:
     return F.regexp_replace(code.cast("string"), "[^0-9]", "")
@@ -19,37 +21,36 @@ def check_digit(code: Column, length: int) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
+def _without_zero(d: Column) -> Column:
+    """Digits without the zero in front of a 12-digit code of this country."""
+    return F.when((F.length(d) == 13) & d.rlike("^07(89|90)"), F.substring(d, 2, 12)).otherwise(d)
+
+
+def _unpadded(d: Column) -> Column:
+    bare = F.regexp_replace(d, "^0+", "")
+    return F.when((F.length(d) > 13) & d.startswith("0") & F.length(bare).isin(12, 13), bare).otherwise(d)
+
+
+def _completed(d: Column) -> Column:
+    return let(F.lpad(d, 12, "0"), lambda t: F.concat(t, check_digit(t, 12)))
+
+
 def ean13(code: Column) -> Column:
     """EAN-13 of any code: short codes are padded and checked, long ones cut; 13 digits are taken as they are."""
-    c = digits(code)
-    c = F.when((F.length(c) == 13) & c.rlike("^07(89|90)"), F.substring(c, 2, 12)).otherwise(c)
-    bare = F.regexp_replace(c, "^0+", "")
-    c = F.when((F.length(c) > 13) & c.startswith("0") & F.length(bare).isin(12, 13), bare).otherwise(c)
-    twelve = F.lpad(c, 12, "0")
-    return (
-        F.when(F.coalesce(F.length(digits(code)), F.lit(0)) == 0, F.lit(None).cast("string"))
-        .when(F.length(c) <= 12, F.concat(twelve, check_digit(twelve, 12)))
-        .otherwise(F.substring(c, 1, 13))
-    )
+    shaped = lambda c: F.when(F.length(c) <= 12, _completed(c)).otherwise(F.substring(c, 1, 13))
+    return let(digits(code), lambda d: F.when(F.length(d) > 0, let(_without_zero(d), lambda c: let(_unpadded(c), shaped))))
 
 
 def ean13_of_table(code: Column) -> Column:
     """The stored procedure's EAN-13, which leaves codes over 13 digits alone and pads an empty one."""
-    c = digits(code)
-    c = F.when((F.length(c) == 13) & c.rlike("^07(89|90)"), F.substring(c, 2, 12)).otherwise(c)
-    twelve = F.lpad(c, 12, "0")
-    return F.when(F.length(c) >= 13, c).otherwise(F.concat(twelve, check_digit(twelve, 12)))
+    return let(digits(code), lambda d: let(_without_zero(d), lambda c: F.when(F.length(c) >= 13, c).otherwise(_completed(c))))
 
 
 def dun14(dun: Column, ean: Column) -> Column:
     """DUN-14: as given, completed from 13 digits, or derived from an EAN-13."""
-    d = F.coalesce(digits(dun), F.lit(""))
-    base = F.concat(F.lit("1"), F.substring(ean, 1, 12))
-    return (
-        F.when(F.length(d) == 14, d)
-        .when(F.length(d) == 13, F.concat(d, check_digit(d, 13)))
-        .when(F.length(ean) == 13, F.concat(base, check_digit(base, 13)))
-    )
+    with_check = lambda base: let(base, lambda b: F.concat(b, check_digit(b, 13)))
+    derived = let(ean, lambda e: F.when(F.length(e) == 13, with_check(F.concat(F.lit("1"), F.substring(e, 1, 12)))))
+    return let(F.coalesce(digits(dun), F.lit("")), lambda d: F.when(F.length(d) == 14, d).when(F.length(d) == 13, with_check(d)).otherwise(derived))
 
 
 def is_digits(code: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gondola.dictionaries import ACCENTS, ACRONYMS, CONNECTIVES, MODIFIERS, NOUNS, TYPOS
+from gondola.functions.binding import let
 
 NUMBER = r"([0-9]+(?:[.,][0-9]+)?)"
 #: ASCII word boundaries: Java's \b also stops at accented letters.
@@ -33,27 +34,37 @@ def _capital(word: Column) -> Column:
     return F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substring(word, 2, 1 << 20)))
 
 
+def _title_core(core: Column, index: Column) -> Column:
+    """A word without the signs around it."""
+
+    def cased(low: Column) -> Column:
+        accents = _lookup()
+        known = F.try_element_at(accents, low)
+        part = lambda p, i: F.coalesce(
+            F.try_element_at(accents, F.lower(p)), F.when((i > 0) & F.lower(p).isin(*CONNECTIVES), F.lower(p)).otherwise(_capital(p))
+        )
+        return F.coalesce(
+            known,
+            F.when((index > 0) & low.isin(*CONNECTIVES), low)
+            .when(F.substring(core, 2, 1 << 20).contains("-"), F.array_join(F.transform(F.split(core, "-"), part), "-"))
+            .otherwise(_capital(core)),
+        )
+
+    return let(F.lower(core), cased)
+
+
 def _title_word(word: Column, index: Column) -> Column:
     lead = F.regexp_extract(word, r"""^[(\["']+""", 0)
     trail = F.regexp_extract(word, r"""[)\].,"':;!?]+$""", 0)
-    core = F.substring(word, F.length(lead) + 1, F.length(word) - F.length(lead) - F.length(trail))
-    low = F.lower(core)
-    accents = _lookup()
-    known = F.try_element_at(accents, low)
-    part = lambda p, i: F.coalesce(
-        F.try_element_at(accents, F.lower(p)), F.when((i > 0) & F.lower(p).isin(*CONNECTIVES), F.lower(p)).otherwise(_capital(p))
-    )
-    plain = (
-        F.when(known.isNotNull(), known)
-        .when((index > 0) & low.isin(*CONNECTIVES), low)
-        .when(F.substring(core, 2, 1 << 20).contains("-"), F.array_join(F.transform(F.split(core, "-"), part), "-"))
-        .otherwise(_capital(core))
-    )
+
+    def peeled(ends: Column) -> Column:
+        inner = F.substring(word, F.length(ends["lead"]) + 1, F.length(word) - F.length(ends["lead"]) - F.length(ends["trail"]))
+        return let(inner, lambda core: F.when(F.length(core) <= 0, word).otherwise(F.concat(ends["lead"], _title_core(core, index), ends["trail"])))
+
     return (
         F.when(word.rlike(rf"(?i)^{NUMBER}(kg|g)$"), F.lower(word))
         .when(F.upper(word).isin(*ACRONYMS), F.upper(word))
-        .when(F.length(core) <= 0, word)
-        .otherwise(F.concat(lead, plain, trail))
+        .otherwise(let(F.struct(lead.alias("lead"), trail.alias("trail")), peeled))
     )
 
 
@@ -65,7 +76,10 @@ def title_case(text: Column) -> Column:
 
 def weight(text: Column) -> Column:
     """struct(grams, fractional, label) of the first weight or volume that a text states."""
-    low = F.lower(text)
+    return let(F.lower(text), _weight)
+
+
+def _weight(low: Column) -> Column:
     find = lambda pattern, group: F.nullif(F.regexp_extract(low, pattern, group), F.lit(""))
     number = lambda s: F.replace(s, F.lit(","), F.lit(".")).try_cast("double")
     grams = lambda x: F.floor(x + 0.5).cast("long")
@@ -78,7 +92,7 @@ def weight(text: Column) -> Column:
     )
     made = lambda g, s: F.struct(g.alias("grams"), F.lit(False).alias("fractional"), s.alias("label"))
     none = F.struct(F.lit(None).cast("long").alias("grams"), F.lit(True).alias("fractional"), F.lit(None).cast("string").alias("label"))
-    out = F.when(F.coalesce(text, F.lit("")) == "", none).when(open_, none)
+    out = F.when(F.coalesce(low, F.lit("")) == "", none).when(open_, none)
     out = out.when(
         each.isNotNull(),
         made(grams(times * each * F.when(unit.isin("kg", "l"), 1000).otherwise(1)), F.concat(shown(times), F.lit("x"), shown(each), unit)),

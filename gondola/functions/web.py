@@ -69,6 +69,7 @@ def usable_image(url: Column, parts: list[str]) -> Column:
     return ~(low.isin("", "n/a", "null", "undefined") | contains_any(low, parts))
 
 
+# Fixed patterns: the portals' file names and markup, here and in the page functions below.
 _STORE_IMAGE = r"/products/([0-9]+)_(00|01)(?:_([a-z0-9-]+))?\.(jpg|jpeg|png|webp)"
 
 
