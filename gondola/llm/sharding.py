@@ -1,10 +1,11 @@
 """Sharding by histogram sort.
 
 Rows are ordered by (CRC-32 of the text, doc_id), so equal texts lie side by side. Exact bytes
-and rows below candidate boundaries are counted across partitions, and the candidates around
-each wanted boundary are refined until the bytes below it are within tolerance; then the rows
-are exchanged once. Every shard is cut into several ranges by the same counts, so no task holds
-a whole shard, and a row's slot is the rows before its range plus its rank in it.
+below candidate boundaries are counted across partitions, and the candidates around each wanted
+boundary are refined until the bytes below it are within tolerance; then the rows are exchanged
+once, by ranges of the key that are as many as there are shuffle partitions, whatever the number
+of shards. A row's place in the whole order less the rows below its shard is its slot, so no
+task holds a shard.
 
 Defined cases: a null text is 0 bytes (size 1, CRC-32 0); a null doc_id orders first; rows that
 repeat both text and doc_id share a key, stay together and get different slots; an empty table gives no rows;
@@ -15,13 +16,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from gondola.llm.common import materialise, text_or_empty
+from gondola.llm.common import materialise, text_or_empty, with_global_index
 
 PROBES = 12
 TOLERANCE = 0.001
-RANGE_ROWS = 250_000
+FILE_ROWS = 250_000
 _SIGN = 1 << 63
 
 
@@ -43,21 +43,20 @@ def _below(key: Column, bounds: list[int]) -> Column:
     return search(0, len(bounds))
 
 
-def splitters(keyed: DataFrame, shards: int, ranges: int, tolerance: float = TOLERANCE) -> list[int]:
-    """shards * ranges - 1 ascending boundaries with near-equal bytes between them, from keyed(key, size).
+def splitters(keyed: DataFrame, shards: int, tolerance: float = TOLERANCE) -> list[int]:
+    """shards - 1 ascending boundaries with near-equal bytes between them, from keyed(key, size).
 
-    Each round is one aggregation; the driver holds only the probes. Shard boundaries meet the
-    tolerance (as a share of a shard) or stand on a single key; those inside a shard may be looser.
+    Each round is one aggregation; the driver holds only the probes. A boundary meets the
+    tolerance (as a share of a shard) or stands on a single key.
     """
     total, low, high = keyed.agg(F.sum("size"), F.min("key"), F.max("key")).first()
     if total is None:
         return []
-    n = shards * ranges
+    n, slack = shards, total / shards * tolerance
     wanted = [total * i / n for i in range(1, n)]
-    slack = [total / shards * tolerance * (1 if i % ranges == 0 else 50) for i in range(1, n)]
     lo, hi = [int(low, 16)] * (n - 1), [int(high, 16) + 1] * (n - 1)
     best: list[tuple[float, int]] = [(abs(t), int(low, 16)) for t in wanted]
-    while open_ := [i for i in range(n - 1) if best[i][0] > slack[i] and hi[i] - lo[i] > 1]:
+    while open_ := [i for i in range(n - 1) if best[i][0] > slack and hi[i] - lo[i] > 1]:
         probes = sorted({lo[i] + (hi[i] - lo[i]) * k // (PROBES + 1) for i in open_ for k in range(1, PROBES + 1)} | {hi[i] for i in open_})
         counted = keyed.groupBy(_below(F.col("key"), probes).alias("at")).agg(F.sum("size").alias("bytes"), F.min("key").alias("first"), F.max("key").alias("last"))
         cells = {r["at"]: r for r in counted.collect()}
@@ -85,29 +84,17 @@ def shard(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANCE) -> Dat
     sized = docs.withColumns({"size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text.cast("binary"))})
     sized = sized.withColumn("_key", sort_key(F.col("doc_id"), F.col("text_crc32")))
     keyed = materialise(sized.select(F.col("_key").alias("key"), "size"), "shard-keys")
-    ranges = max(4, -(-keyed.count() // (shards * RANGE_ROWS)))
-    bounds = sorted(splitters(keyed, shards, ranges, tolerance))
-    spark = docs.sparkSession
-    # bounds may coincide (fewer keys than ranges): such ranges are empty
+    bounds = sorted(splitters(keyed, shards, tolerance))
+    # bounds may coincide (fewer keys than shards): such shards are empty
     counts = {r["at"]: r["n"] for r in keyed.groupBy(_below(F.col("key"), bounds).alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts, before = [], 0
-    for at in range(len(bounds) + 1):
-        before = 0 if at % ranges == 0 else before
-        starts.append((at, at // ranges, before))
-        before += counts.get(at, 0)
-    starts = F.broadcast(spark.createDataFrame(starts, "_range int, shard int, _before long"))
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy("_key")) - 1
-    return (
-        sized.withColumn("_range", _below(F.col("_key"), bounds))
-        .drop("shard", "slot")
-        .withColumn("_rank", rank)
-        .join(starts, "_range")
-        .withColumn("slot", (F.col("_before") + F.col("_rank")).cast("long"))
-        .drop("_range", "_before", "_rank", "_key")
-    )
+    starts = [sum(counts.get(k, 0) for k in range(at)) for at in range(len(bounds) + 1)]
+    placed = with_global_index(sized, [F.col("_key")], "_index", "shard-rows")
+    placed = placed.withColumn("shard", _below(F.col("_key"), bounds).cast("int"))
+    start = F.element_at(F.array(*[F.lit(n).cast("long") for n in starts]), F.col("shard") + 1)
+    return placed.withColumn("slot", F.col("_index") - start).drop("_index", "_key")
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8) -> None:
     """Write the sharded documents as Parquet, a folder for each shard, rows by slot inside their files."""
     placed = shard(docs, shards)
-    placed.repartition(F.col("shard"), F.floor(F.col("slot") / RANGE_ROWS)).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    placed.repartition(F.col("shard"), F.floor(F.col("slot") / FILE_ROWS)).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
