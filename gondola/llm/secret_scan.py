@@ -135,8 +135,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", owner: str = "source", repos
     few = ownership(found).where(F.col("owners") < EXAMPLE_OWNERS)
     spans = found.where(F.size("found") > 0).select(F.col("doc_id").alias("_id"), F.inline("found")).where("live")
     hidden = spans.join(few, "hash").groupBy("_id").agg(F.collect_set("hash").alias("_hashes"))
-    held = docs.join(hidden, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    text, cut = F.col("text"), F.col("text")
+    whole = docs.select("doc_id", F.struct(*docs.columns).alias("_doc"))
+    held = whole.join(hidden, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    text, cut = F.col("_doc.text"), F.col("_doc.text")
     for _, pattern, group, least, _ in KINDS:
         values = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)))
         values = F.filter(values, lambda v, k=least: (F.length(v) >= k) & F.array_contains(F.col("_hashes"), F.sha2(v, 256)))
@@ -144,5 +145,5 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", owner: str = "source", repos
     hide = F.col("_hashes").isNotNull()
     out = {"text": F.when(hide, cut).otherwise(text)}
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(hide, F.length(out["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return held.select(*[out.get(c, F.col(c)).alias(c) for c in docs.columns])
+        out["n_chars"] = F.when(hide, F.length(out["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_doc.n_chars"))
+    return held.select(*[out.get(c, F.col("_doc")[c]).alias(c) for c in docs.columns])

@@ -104,6 +104,7 @@ def near_groups(docs: DataFrame, words: int = 3) -> DataFrame:
 def drop_near_copies(docs: DataFrame, words: int = 3) -> DataFrame:
     """One row of each group: that with the smallest doc_id (of rows that repeat it, one); columns as they came."""
     kept = near_groups(docs, words).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    held = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return held.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
+    whole = docs.select("doc_id", F.xxhash64("text").alias("_order"), F.struct(*docs.columns).alias("_doc"))
+    held = whole.join(kept, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+    first = Window.partitionBy("doc_id").orderBy("_order")
+    return held.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select("_doc.*")
