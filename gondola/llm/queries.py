@@ -17,7 +17,7 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    placed = sharding.shard(docs)
+    placed = sharding.shard(docs, carry=["doc_id"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -78,8 +78,11 @@ def splitters(keyed: DataFrame, shards: int, tolerance: float = TOLERANCE) -> li
     return [b for _, b in best]
 
 
-def shard(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANCE) -> DataFrame:
-    """docs with size, text_crc32, shard and slot (gapless from 0 in each shard), near-equal bytes a shard."""
+def shard(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANCE, carry: list[str] | None = None) -> DataFrame:
+    """docs with size, text_crc32, shard and slot (gapless from 0 in each shard), near-equal bytes a shard.
+
+    carry: the columns of docs that go through the exchange; all of them if it isn't given.
+    """
     text = text_or_empty()
     sized = docs.withColumns({"size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text.cast("binary"))})
     sized = sized.withColumn("_key", sort_key(F.col("doc_id"), F.col("text_crc32")))
@@ -88,7 +91,8 @@ def shard(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANCE) -> Dat
     # bounds may coincide (fewer keys than shards): such shards are empty
     counts = {r["at"]: r["n"] for r in keyed.groupBy(_below(F.col("key"), bounds).alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
     starts = [sum(counts.get(k, 0) for k in range(at)) for at in range(len(bounds) + 1)]
-    placed = with_global_index(sized, [F.col("_key")], "_index", "shard-rows")
+    kept = [c for c in (docs.columns if carry is None else carry) if c not in ("size", "text_crc32")]
+    placed = with_global_index(sized.select(*kept, "size", "text_crc32", "_key"), [F.col("_key")], "_index", "shard-rows")
     placed = placed.withColumn("shard", _below(F.col("_key"), bounds).cast("int"))
     start = F.element_at(F.array(*[F.lit(n).cast("long") for n in starts]), F.col("shard") + 1)
     return placed.withColumn("slot", F.col("_index") - start).drop("_index", "_key")
