@@ -1,13 +1,15 @@
 """Training-order materialisation.
 
-Every token sequence gets a gapless index, and a keyed Feistel permutation with cycle-walking
-maps the index to its global slot, so any slot's content is fixed by the key alone. Sequences
-are range-partitioned by slot and written as fixed-stride shards: record i of a shard starts at
-byte i * stride, so a reader resumes at any slot by one seek.
-
-Defined cases: a null text is empty and gives one sequence that holds the end id only; repeated
-rows give sequences of their own; null ids stay null; an empty table gives no sequences. Only
-the named columns are read, so extra ones can't clash.
+Each partition's texts, an end id after each, are one stream of ids that is cut into sequences of
+equal length (only a partition's last one is shorter). Every sequence gets a gapless index, and a
+keyed Feistel permutation with cycle-walking maps the index to its global slot. Sequences are
+range-partitioned by slot and written as fixed-stride shards: record i of a shard starts at byte
+i * stride, so a reader resumes at any slot by one seek. Between the exchange's two sides and in
+the indexed table ids are compressed; the shards hold them plain.
+
+Defined cases: a null text is empty and adds the end id only; repeated rows are each in the
+stream; null ids stay null; an empty table gives no sequences and no shards. Only the named
+columns are read, so extra ones can't clash. The cuts depend on how the input is partitioned.
 """
 
 from __future__ import annotations
@@ -16,13 +18,15 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.llm.common import map_in_arrow, numbered
 from gondola.llm.tokenizing import worker_encoder
 
 SEQUENCE_TOKENS = 2048
+#: A shard holds at most so many sequences (33 MB at 2048 ids): it is written by one task and read as one value.
 SHARD_SEQUENCES = 8192
 KEY = 0x9E3779B97F4A7C15
 ROUNDS = 6
@@ -53,33 +57,64 @@ def feistel_slots(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 
 
 def token_sequences(docs: DataFrame, tokens: int = SEQUENCE_TOKENS) -> DataFrame:
-    """doc_id, part, n_tokens, ids (binary, 16-bit little-endian): each text's ids and the end id, cut into windows."""
+    """n_tokens, doc_ids, starts, lengths, ids: sequences of a partition's stream, and the pieces of documents in each.
+
+    starts: the document's ids before the piece. ids: compressed binary, see plain_ids.
+    """
     width = 2 * tokens
+    types = [pa.int32(), *[pa.list_(pa.int64())] * 3, pa.binary()]
 
     def run(batches):
-        encode = worker_encoder().encode
+        encode, compress = worker_encoder().encode, zstandard.ZstdCompressor(level=3).compress
         end = END_ID.to_bytes(2, "little")
+        held, pieces, out = bytearray(), [], []
+
+        def close():
+            out.append((len(held) // 2, *map(list, zip(*pieces)), compress(bytes(held))))
+            held.clear()
+            pieces.clear()
+
+        def batch():
+            columns = list(zip(*out)) if out else [()] * len(types)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["n_tokens", "doc_ids", "starts", "lengths", "ids"])
+
         for b in batches:
-            ids, parts, pieces = [], [], []
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 raw = encode(text or "") + end
-                for k, at in enumerate(range(0, len(raw), width)):
-                    ids.append(doc)
-                    parts.append(k)
-                    pieces.append(raw[at : at + width])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(parts, pa.int32()), pa.array([len(p) // 2 for p in pieces], pa.int32()), pa.array(pieces, pa.binary())],
-                ["doc_id", "part", "n_tokens", "ids"],
-            )
+                at = 0
+                while at < len(raw):
+                    n = min(len(raw) - at, width - len(held))
+                    held += raw[at : at + n]
+                    pieces.append((doc, at // 2, n // 2))
+                    at += n
+                    if len(held) == width:
+                        close()
+                if len(out) >= 4096:
+                    yield batch()
+        if held:
+            close()
+        yield batch()
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_in_arrow(narrow, run, "doc_id long, part int, n_tokens int, ids binary")
+    return map_in_arrow(narrow, run, "n_tokens int, doc_ids array<bigint>, starts array<bigint>, lengths array<bigint>, ids binary")
 
 
-def in_training_order(sequences: DataFrame, key: int = KEY, shard_sequences: int = SHARD_SEQUENCES) -> DataFrame:
-    """sequences with slot, shard and record (the place in the shard), range-partitioned and sorted by slot."""
-    indexed = numbered(sequences, "_index", "training-sequences", "zstd")
+def plain_ids(compressed: bytes) -> bytes:
+    """A sequence's ids as 16-bit little-endian integers."""
+    return zstandard.decompress(compressed)
+
+
+def in_training_order(sequences: DataFrame, key: int = KEY, shard_sequences: int | None = None) -> DataFrame:
+    """sequences with slot, shard and record (the place in the shard).
+
+    shard_sequences: how many a shard holds; if it isn't given, as many as make one shard for each
+    shuffle partition, SHARD_SEQUENCES at most.
+    """
+    indexed = numbered(sequences, "_index", "training-sequences", "uncompressed")
     n = indexed.count()
+    parts = int(sequences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = shard_sequences or max(1, min(SHARD_SEQUENCES, -(-n // parts)))
 
     def run(batches):
         for b in batches:
@@ -89,11 +124,7 @@ def in_training_order(sequences: DataFrame, key: int = KEY, shard_sequences: int
 
     fields = ", ".join(f"`{c}` {t}" for c, t in sequences.dtypes)
     slotted = map_in_arrow(indexed.select(*sequences.columns, "_index"), run, f"{fields}, slot long")
-    placed = slotted.withColumns(
-        {"shard": F.floor(F.col("slot") / shard_sequences).cast("int"), "record": (F.col("slot") % shard_sequences).cast("int")}
-    )
-    parts = int(sequences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return placed.repartitionByRange(parts, "slot").sortWithinPartitions("slot")
+    return slotted.withColumns({"shard": F.floor(F.col("slot") / size).cast("int"), "record": (F.col("slot") % size).cast("int")})
 
 
 def stride(tokens: int = SEQUENCE_TOKENS) -> int:
@@ -107,21 +138,49 @@ def _records(tokens: int):
 
     def run(batches):
         for b in batches:
-            records = [(len(i) // 2).to_bytes(2, "little") + i + bytes(width - len(i)) for i in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(records, pa.binary())], ["shard", "record"])
+            plain = map(plain_ids, b.column(2).to_pylist())
+            records = [(len(i) // 2).to_bytes(2, "little") + i + bytes(width - len(i)) for i in plain]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(records, pa.binary())], ["shard", "record", "bytes"])
 
     return run
 
 
 def write_shards(ordered: DataFrame, path: str, tokens: int = SEQUENCE_TOKENS) -> None:
-    """Write in_training_order's rows as raw fixed-stride files, a folder for each shard.
+    """Write in_training_order's rows as raw fixed-stride files, a folder and one file for each shard.
 
-    One task holds a shard's rows in slot order. The files come from Spark's own writer, so a
-    lost task's output never shows; bytes pass through its text form unchanged.
+    A range partition holds whole shards, sorted by their records. The files come from Spark's own
+    writer, so a lost task's output never shows; bytes pass through its text form unchanged.
     """
-    whole = ordered.repartition("shard").sortWithinPartitions("shard", "record").select("shard", "ids")
-    lines = map_in_arrow(whole, _records(tokens), "shard int, record binary")
-    lines.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").text(path)
+    parts = int(ordered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = ordered.select("shard", "record", "ids").repartitionByRange(parts, "shard")
+    records = map_in_arrow(whole, _records(tokens), "shard int, record int, bytes binary").sortWithinPartitions("shard", "record")
+    lines = records.select("shard", F.col("bytes").cast("string").alias("value"))
+    lines.write.partitionBy("shard").option("maxRecordsPerFile", 0).text(path)
+
+
+def read_shards(spark: SparkSession, path: str, tokens: int = SEQUENCE_TOKENS, from_shard: int = 0, with_ids: bool = False) -> DataFrame:
+    """shard, record, n_tokens, ids_crc32 (and ids; with_ids) of all records from a shard on, read from the files."""
+
+    def run(batches):
+        for b in batches:
+            for shard, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                found = [read_record(data, k, tokens) for k in range(len(data) // stride(tokens))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([shard] * len(found), pa.int32()),
+                        pa.array(range(len(found)), pa.int32()),
+                        pa.array(map(len, found), pa.int32()),
+                        pa.array([crc_of(i) for i in found], pa.int64()),
+                        pa.array([i.tobytes() if with_ids else None for i in found], pa.binary()),
+                    ],
+                    ["shard", "record", "n_tokens", "ids_crc32", "ids"],
+                )
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    # an empty table leaves no folders to take the shard's number from
+    shard = F.col("shard").cast("int") if "shard" in files.columns else F.lit(0)
+    read = map_in_arrow(files.where(shard >= from_shard).select(shard.alias("shard"), "content"), run, "shard int, record int, n_tokens int, ids_crc32 long, ids binary")
+    return read if with_ids else read.drop("ids")
 
 
 def read_record(data: bytes, record: int, tokens: int = SEQUENCE_TOKENS) -> np.ndarray:
@@ -131,17 +190,9 @@ def read_record(data: bytes, record: int, tokens: int = SEQUENCE_TOKENS) -> np.n
     return np.frombuffer(data, "<u2", n, at + 2)
 
 
-def with_crc(ordered: DataFrame) -> DataFrame:
-    """ids replaced by ids_crc32: CRC-32 of the ids as little-endian unsigned 32-bit integers."""
-
-    def run(batches):
-        for b in batches:
-            at = b.schema.get_field_index("ids")
-            crcs = [zlib.crc32(np.frombuffer(i, "<u2").astype("<u4").tobytes()) for i in b.column(at).to_pylist()]
-            yield b.set_column(at, "ids_crc32", pa.array(crcs, pa.int64()))
-
-    fields = ", ".join(f"`{c}` {t}" if c != "ids" else "ids_crc32 long" for c, t in ordered.dtypes)
-    return map_in_arrow(ordered, run, fields)
+def crc_of(ids: np.ndarray) -> int:
+    """CRC-32 of the ids as little-endian unsigned 32-bit integers."""
+    return zlib.crc32(ids.astype("<u4").tobytes())
 
 
 def byte_offset(record: Column, tokens: int = SEQUENCE_TOKENS) -> Column:

@@ -230,13 +230,23 @@ def test_feistel_is_a_permutation():
     assert (training_order.feistel_slots(np.arange(1000), 1000, key=7) != training_order.feistel_slots(np.arange(1000), 1000)).any()
 
 
+def sequence_ids(r, token_ids):
+    return [i for doc, start, n in zip(r["doc_ids"], r["starts"], r["lengths"]) for i in token_ids[doc][start : start + n]]
+
+
 def test_training_order(spark, docs, tmp_path, token_ids):
     rows = queries.op5_training_order(spark, table(tmp_path, docs)).collect()
     assert sorted(r["slot"] for r in rows) == list(range(len(rows)))
+    covered, times = Counter(), Counter(r[0] for r in ROWS)
     for r in rows:
-        ids = token_ids[r["doc_id"]][r["part"] * 2048 : (r["part"] + 1) * 2048]
+        ids = sequence_ids(r, token_ids)
         assert (r["n_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
-        assert (r["shard"], r["record"]) == divmod(r["slot"], 8192) and r["byte_offset"] == r["record"] * 4099
+        assert len(ids) == sum(r["lengths"]) <= 2048 and r["byte_offset"] == r["record"] * 4099
+        covered.update((doc, k) for doc, start, n in zip(r["doc_ids"], r["starts"], r["lengths"]) for k in range(start, start + n))
+    assert covered == Counter({(d, k): times[d] for d in times for k in range(len(token_ids[d]))})
+    assert len({(r["shard"], r["record"]) for r in rows}) == len(rows)
+    size = max(r["record"] for r in rows) + 1
+    assert all((r["shard"], r["record"]) == divmod(r["slot"], size) for r in rows)
 
 
 def test_shards_round_trip(spark, docs, tmp_path, token_ids):
@@ -244,12 +254,24 @@ def test_shards_round_trip(spark, docs, tmp_path, token_ids):
     training_order.write_shards(ordered, f"{tmp_path}/shards", tokens=256)
     shards = {}
     for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{tmp_path}/shards").collect():
-        shards[int(re.search(r"shard=(\d+)", r["path"])[1])] = bytes(r["content"])
+        shard = int(re.search(r"shard=(\d+)", r["path"])[1])
+        assert shard not in shards
+        shards[shard] = bytes(r["content"])
     rows = ordered.collect()
-    assert sum(map(len, shards.values())) == len(rows) * training_order.stride(256)
+    assert len(shards) > 2 and sum(map(len, shards.values())) == len(rows) * training_order.stride(256)
     for r in rows:
-        want = token_ids[r["doc_id"]][r["part"] * 256 : (r["part"] + 1) * 256]
-        assert training_order.read_record(shards[r["shard"]], r["record"], 256).tolist() == want
+        assert training_order.read_record(shards[r["shard"]], r["record"], 256).tolist() == sequence_ids(r, token_ids)
+    resumed = {(r["shard"], r["record"]): r["ids"] for r in training_order.read_shards(spark, f"{tmp_path}/shards", 256, from_shard=2, with_ids=True).collect()}
+    assert resumed == {(r["shard"], r["record"]): training_order.plain_ids(r["ids"]) for r in rows if r["shard"] >= 2}
+
+
+def test_shards_keep_their_order_when_one_task_writes_many(spark, tmp_path, token_ids):
+    docs = spark.createDataFrame([(i, words(i, 40 + i % 50), "en", "s", 0) for i in range(2000)], SCHEMA).coalesce(1)
+    ordered = training_order.in_training_order(training_order.token_sequences(docs, tokens=64), shard_sequences=7)
+    training_order.write_shards(ordered, f"{tmp_path}/shards", tokens=64)
+    want = {(r["shard"], r["record"]): training_order.plain_ids(r["ids"]) for r in ordered.collect()}
+    got = {(r["shard"], r["record"]): r["ids"] for r in training_order.read_shards(spark, f"{tmp_path}/shards", 64, with_ids=True).collect()}
+    assert len(want) > 500 and got == want
 
 
 # 8 near copies
