@@ -65,6 +65,13 @@ def map_in_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def slices(batches, rows: int = 256):
+    """The same rows in smaller batches, so a worker holds few of them at a time beside what it makes of them."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -17,12 +17,13 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm.common import map_in_arrow, numbered
+from gondola.llm.common import map_in_arrow, numbered, ship, slices
 from gondola.llm.tokenizing import worker_encoder
 
 SEQUENCE_TOKENS = 2048
@@ -79,7 +80,7 @@ def token_sequences(docs: DataFrame, tokens: int = SEQUENCE_TOKENS) -> DataFrame
             out.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["n_tokens", "doc_ids", "starts", "lengths", "ids"])
 
-        for b in batches:
+        for b in slices(batches):
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 raw = encode(text or "") + end
                 at = 0
@@ -90,7 +91,7 @@ def token_sequences(docs: DataFrame, tokens: int = SEQUENCE_TOKENS) -> DataFrame
                     at += n
                     if len(held) == width:
                         close()
-                if len(out) >= 4096:
+                if len(out) >= 512:
                     yield batch()
         if held:
             close()
@@ -116,14 +117,10 @@ def in_training_order(sequences: DataFrame, key: int = KEY, shard_sequences: int
     parts = int(sequences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = shard_sequences or max(1, min(SHARD_SEQUENCES, -(-n // parts)))
 
-    def run(batches):
-        for b in batches:
-            at = b.schema.get_field_index("_index")
-            slots = feistel_slots(b.column(at).to_numpy(), n, key)
-            yield b.set_column(at, "slot", pa.array(slots, pa.int64()))
-
-    fields = ", ".join(f"`{c}` {t}" for c, t in sequences.dtypes)
-    slotted = map_in_arrow(indexed.select(*sequences.columns, "_index"), run, f"{fields}, slot long")
+    ship(sequences.sparkSession)
+    # only the index goes through Python, not the ids
+    slot_of = F.pandas_udf(lambda index: pd.Series(feistel_slots(index.to_numpy(), n, key)), "long")
+    slotted = indexed.withColumn("slot", slot_of("_index")).drop("_index")
     return slotted.withColumns({"shard": F.floor(F.col("slot") / size).cast("int"), "record": (F.col("slot") % size).cast("int")})
 
 
@@ -137,7 +134,7 @@ def _records(tokens: int):
     width = 2 * tokens
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             plain = map(plain_ids, b.column(2).to_pylist())
             records = [(len(i) // 2).to_bytes(2, "little") + i + bytes(width - len(i)) for i in plain]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(records, pa.binary())], ["shard", "record", "bytes"])
