@@ -145,11 +145,12 @@ def _records(tokens: int):
 def write_shards(ordered: DataFrame, path: str, tokens: int = SEQUENCE_TOKENS) -> None:
     """Write in_training_order's rows as raw fixed-stride files, a folder and one file for each shard.
 
-    A range partition holds whole shards, sorted by their records. The files come from Spark's own
+    A shard is a range of slots and a partition's own, sorted by its records: where shards outnumber
+    the shuffle partitions, a partition takes several in turn. The files come from Spark's own
     writer, so a lost task's output never shows; bytes pass through its text form unchanged.
     """
     parts = int(ordered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole = ordered.select("shard", "record", "ids").repartitionByRange(parts, "shard")
+    whole = ordered.select("shard", "record", "ids").repartitionById(parts, "shard")
     records = map_in_arrow(whole, _records(tokens), "shard int, record int, bytes binary").sortWithinPartitions("shard", "record")
     lines = records.select("shard", F.col("bytes").cast("string").alias("value"))
     lines.write.partitionBy("shard").option("maxRecordsPerFile", 0).text(path)
