@@ -14,7 +14,7 @@ from array import array
 VOCABULARY = "byte_bpe_50k.tiktoken"
 END_OF_TEXT = ("<|endoftext|>", 50256)
 #: Chunks kept by a worker's cache (about 250 bytes each); it is emptied when full.
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 250_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:

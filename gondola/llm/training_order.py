@@ -17,7 +17,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -118,8 +117,12 @@ def in_training_order(sequences: DataFrame, key: int = KEY, shard_sequences: int
     size = shard_sequences or max(1, min(SHARD_SEQUENCES, -(-n // parts)))
 
     ship(sequences.sparkSession)
+
+    @F.arrow_udf("long")
+    def slot_of(index: pa.Array) -> pa.Array:
+        return pa.array(feistel_slots(index.to_numpy(), n, key), pa.int64())
+
     # only the index goes through Python, not the ids
-    slot_of = F.pandas_udf(lambda index: pd.Series(feistel_slots(index.to_numpy(), n, key)), "long")
     slotted = indexed.withColumn("slot", slot_of("_index")).drop("_index")
     return slotted.withColumns({"shard": F.floor(F.col("slot") / size).cast("int"), "record": (F.col("slot") % size).cast("int")})
 
@@ -161,7 +164,8 @@ def read_shards(spark: SparkSession, path: str, tokens: int = SEQUENCE_TOKENS, f
 
     def run(batches):
         for b in batches:
-            for shard, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for shard, content in zip(b.column(0).to_pylist(), b.column(1)):
+                data = memoryview(content.as_buffer())  # in place: a shard is large
                 found = [read_record(data, k, tokens) for k in range(len(data) // stride(tokens))]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -181,7 +185,7 @@ def read_shards(spark: SparkSession, path: str, tokens: int = SEQUENCE_TOKENS, f
     return read if with_ids else read.drop("ids")
 
 
-def read_record(data: bytes, record: int, tokens: int = SEQUENCE_TOKENS) -> np.ndarray:
+def read_record(data: bytes | memoryview, record: int, tokens: int = SEQUENCE_TOKENS) -> np.ndarray:
     """The ids of one record of a shard's bytes."""
     at = record * stride(tokens)
     n = int.from_bytes(data[at : at + 2], "little")
