@@ -47,7 +47,7 @@ def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = training_order.in_training_order(training_order.token_sequences(docs))
     training_order.write_shards(ordered, path)
     placed = ordered.select("slot", "shard", "record", training_order.byte_offset(F.col("record")).alias("byte_offset"), "doc_ids", "starts", "lengths")
-    return placed.join(training_order.read_shards(spark, path), ["shard", "record"])
+    return placed.join(training_order.read_shards(spark, path), "slot")
 
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from gondola.llm.common import map_in_arrow, numbered, ship, slices
 from gondola.llm.tokenizing import worker_encoder
 
 SEQUENCE_TOKENS = 2048
-#: A shard holds at most so many sequences (33 MB at 2048 ids): it is written by one task and read as one value.
+#: A shard holds at most so many sequences (34 MB at 2048 ids): it is sorted and written by one task.
 SHARD_SEQUENCES = 8192
 KEY = 0x9E3779B97F4A7C15
 ROUNDS = 6
@@ -128,18 +128,18 @@ def in_training_order(sequences: DataFrame, key: int = KEY, shard_sequences: int
 
 
 def stride(tokens: int = SEQUENCE_TOKENS) -> int:
-    """Bytes of a record: its length, its ids padded with zeros, a line feed."""
-    return 2 + 2 * tokens + 1
+    """Bytes of a record: its slot (8), its number of ids (2), its ids padded with zeros, a line feed."""
+    return 8 + 2 + 2 * tokens + 1
 
 
 def _records(tokens: int):
-    """Fills each sequence's ids up to the fixed width, the number of ids in front."""
+    """Fills each sequence's ids up to the fixed width, its slot and the number of ids in front."""
     width = 2 * tokens
 
     def run(batches):
         for b in slices(batches):
-            plain = map(plain_ids, b.column(2).to_pylist())
-            records = [(len(i) // 2).to_bytes(2, "little") + i + bytes(width - len(i)) for i in plain]
+            slots, plain = b.column(2).to_pylist(), map(plain_ids, b.column(3).to_pylist())
+            records = [s.to_bytes(8, "little") + (len(i) // 2).to_bytes(2, "little") + i + bytes(width - len(i)) for s, i in zip(slots, plain)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(records, pa.binary())], ["shard", "record", "bytes"])
 
     return run
@@ -153,41 +153,38 @@ def write_shards(ordered: DataFrame, path: str, tokens: int = SEQUENCE_TOKENS) -
     writer, so a lost task's output never shows; bytes pass through its text form unchanged.
     """
     parts = int(ordered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole = ordered.select("shard", "record", "ids").repartitionById(parts, "shard")
+    whole = ordered.select("shard", "record", "slot", "ids").repartitionById(parts, "shard")
     records = map_in_arrow(whole, _records(tokens), "shard int, record int, bytes binary").sortWithinPartitions("shard", "record")
     lines = records.select("shard", F.col("bytes").cast("string").alias("value"))
     lines.write.partitionBy("shard").option("maxRecordsPerFile", 0).text(path)
 
 
-def read_shards(spark: SparkSession, path: str, tokens: int = SEQUENCE_TOKENS, from_shard: int = 0, with_ids: bool = False) -> DataFrame:
-    """shard, record, n_tokens, ids_crc32 (and ids; with_ids) of all records from a shard on, read from the files."""
+def read_shards(spark: SparkSession, path: str, tokens: int = SEQUENCE_TOKENS, from_slot: int = 0, with_ids: bool = False) -> DataFrame:
+    """slot, n_tokens, ids_crc32 (and ids; with_ids) of all records from a slot on, read from the files.
 
-    def run(batches):
-        for b in batches:
-            for shard, content in zip(b.column(0).to_pylist(), b.column(1)):
-                data = memoryview(content.as_buffer())  # in place: a shard is large
-                found = [read_record(data, k, tokens) for k in range(len(data) // stride(tokens))]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([shard] * len(found), pa.int32()),
-                        pa.array(range(len(found)), pa.int32()),
-                        pa.array(map(len, found), pa.int32()),
-                        pa.array([crc_of(i) for i in found], pa.int64()),
-                        pa.array([i.tobytes() if with_ids else None for i in found], pa.binary()),
-                    ],
-                    ["shard", "record", "n_tokens", "ids_crc32", "ids"],
-                )
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    # an empty table leaves no folders to take the shard's number from
-    shard = F.col("shard").cast("int") if "shard" in files.columns else F.lit(0)
-    read = map_in_arrow(files.where(shard >= from_shard).select(shard.alias("shard"), "content"), run, "shard int, record int, n_tokens int, ids_crc32 long, ids binary")
-    return read if with_ids else read.drop("ids")
-
-
-def read_record(data: bytes | memoryview, record: int, tokens: int = SEQUENCE_TOKENS) -> np.ndarray:
+    Files are split at record boundaries and streamed record by record, so a shard's size bounds no
+    task's memory. Spark's reader of fixed-length records is an RDD's; no DataFrame source has one.
+    """
+    schema = "slot long, n_tokens int, ids_crc32 long" + ", ids binary" * with_ids
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/shard=*/part-*")
+    if not len(files.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(files)):
+        return spark.createDataFrame([], schema)  # an empty table leaves no shards
+
+    def run(records):
+        for data in records:
+            slot = int.from_bytes(data[:8], "little")
+            if slot >= from_slot:
+                ids = read_record(data, 0, tokens)
+                yield (slot, len(ids), crc_of(ids)) + ((ids.tobytes(),) if with_ids else ())
+
+    ship(spark)
+    records = spark.sparkContext.binaryRecords(files.toString(), stride(tokens))
+    return spark.createDataFrame(records.mapPartitions(run), schema, verifySchema=False)
+
+
+def read_record(data: bytes, record: int, tokens: int = SEQUENCE_TOKENS) -> np.ndarray:
     """The ids of one record of a shard's bytes."""
-    at = record * stride(tokens)
+    at = record * stride(tokens) + 8
     n = int.from_bytes(data[at : at + 2], "little")
     return np.frombuffer(data, "<u2", n, at + 2)
 

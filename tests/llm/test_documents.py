@@ -241,7 +241,7 @@ def test_training_order(spark, docs, tmp_path, token_ids):
     for r in rows:
         ids = sequence_ids(r, token_ids)
         assert (r["n_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
-        assert len(ids) == sum(r["lengths"]) <= 2048 and r["byte_offset"] == r["record"] * 4099
+        assert len(ids) == sum(r["lengths"]) <= 2048 and r["byte_offset"] == r["record"] * training_order.stride()
         covered.update((doc, k) for doc, start, n in zip(r["doc_ids"], r["starts"], r["lengths"]) for k in range(start, start + n))
     assert covered == Counter({(d, k): times[d] for d in times for k in range(len(token_ids[d]))})
     assert len({(r["shard"], r["record"]) for r in rows}) == len(rows)
@@ -261,17 +261,22 @@ def test_shards_round_trip(spark, docs, tmp_path, token_ids):
     assert len(shards) > 2 and sum(map(len, shards.values())) == len(rows) * training_order.stride(256)
     for r in rows:
         assert training_order.read_record(shards[r["shard"]], r["record"], 256).tolist() == sequence_ids(r, token_ids)
-    resumed = {(r["shard"], r["record"]): r["ids"] for r in training_order.read_shards(spark, f"{tmp_path}/shards", 256, from_shard=2, with_ids=True).collect()}
-    assert resumed == {(r["shard"], r["record"]): training_order.plain_ids(r["ids"]) for r in rows if r["shard"] >= 2}
+    resumed = {r["slot"]: r["ids"] for r in training_order.read_shards(spark, f"{tmp_path}/shards", 256, from_slot=50, with_ids=True).collect()}
+    assert resumed == {r["slot"]: training_order.plain_ids(r["ids"]) for r in rows if r["slot"] >= 50}
 
 
 def test_shards_keep_their_order_when_one_task_writes_many(spark, tmp_path, token_ids):
     docs = spark.createDataFrame([(i, words(i, 40 + i % 50), "en", "s", 0) for i in range(2000)], SCHEMA).coalesce(1)
     ordered = training_order.in_training_order(training_order.token_sequences(docs, tokens=64), shard_sequences=7)
     training_order.write_shards(ordered, f"{tmp_path}/shards", tokens=64)
-    want = {(r["shard"], r["record"]): training_order.plain_ids(r["ids"]) for r in ordered.collect()}
-    got = {(r["shard"], r["record"]): r["ids"] for r in training_order.read_shards(spark, f"{tmp_path}/shards", 64, with_ids=True).collect()}
+    rows = ordered.collect()
+    want = {r["slot"]: training_order.plain_ids(r["ids"]) for r in rows}
+    got = {r["slot"]: r["ids"] for r in training_order.read_shards(spark, f"{tmp_path}/shards", 64, with_ids=True).collect()}
     assert len(want) > 500 and got == want
+    for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{tmp_path}/shards").collect():
+        shard, step = int(re.search(r"shard=(\d+)", r["path"])[1]), training_order.stride(64)
+        slots = [int.from_bytes(r["content"][k : k + 8], "little") for k in range(0, len(r["content"]), step)]
+        assert slots == list(range(7 * shard, 7 * shard + len(slots)))
 
 
 # 8 near copies
