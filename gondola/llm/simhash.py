@@ -90,21 +90,36 @@ def near_links(prints: DataFrame) -> DataFrame:
     return pairs.union(star)
 
 
-def near_groups(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id reachable by links) of every row."""
-    own = materialise(fingerprints(docs, words), "simhash-prints")
-    prints = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    nodes = connected_components(near_links(prints.select("fp")), "simhash")
+def distinct_prints(own: DataFrame, label: str) -> DataFrame:
+    """fp, first (its smallest doc_id) of own(doc_id, fp)."""
+    return materialise(own.groupBy("fp").agg(F.min("doc_id").alias("first")), f"{label}-distinct")
+
+
+def groups_of(own: DataFrame, prints: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """doc_id, fp, component_id (the smallest doc_id reachable by links(a, b) of fps) of every row of own(doc_id, fp)."""
+    nodes = connected_components(links, label)
     named = prints.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("class", F.coalesce("component", "fp"))
     classes = named.groupBy("class").agg(F.min("first").alias("component_id"))
     ids = named.join(classes, "class").select("fp", "component_id")
     return own.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_copies(docs: DataFrame, words: int = 3) -> DataFrame:
-    """One row of each group: that with the smallest doc_id (of rows that repeat it, one); columns as they came."""
-    kept = near_groups(docs, words).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
+def near_groups(docs: DataFrame, words: int = 3) -> DataFrame:
+    """doc_id, fp, component_id (the smallest doc_id reachable by links) of every row."""
+    own = materialise(fingerprints(docs, words), "simhash-prints")
+    prints = distinct_prints(own, "simhash")
+    return groups_of(own, prints, near_links(prints.select("fp")), "simhash")
+
+
+def keep_first(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """One row of each of groups(doc_id, component_id): that with the smallest doc_id (of rows that repeat it, one)."""
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
     whole = docs.select("doc_id", F.xxhash64("text").alias("_order"), F.struct(*docs.columns).alias("_doc"))
     held = whole.join(kept, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
     first = Window.partitionBy("doc_id").orderBy("_order")
     return held.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select("_doc.*")
+
+
+def drop_near_copies(docs: DataFrame, words: int = 3) -> DataFrame:
+    """One row of each group, as keep_first; columns as they came."""
+    return keep_first(docs, near_groups(docs, words))
