@@ -4,8 +4,8 @@ Three base patterns (credential assignments, access keys, long hexadecimal runs)
 every whole text. Two further candidate patterns (prefixed tokens and long mixed-class tokens)
 are found too; all candidates' SHA-256 hashes are counted over the distinct repositories and
 owners that hold them. A candidate that many owners hold is a copied example; one that a single
-owner holds, or few, and that looks live (enough distinct characters, letters and digits) is a
-credential. Base spans are always reported; further candidates only if they are credentials and
+owner holds, or few, is a credential, if it is of a base pattern or looks live (enough distinct
+characters, letters and digits). Base spans are always reported; further candidates only if they are credentials and
 do not overlap a base span.
 
 Defined cases: a null text is empty; a null owner or repository counts as one owner or repository
@@ -32,7 +32,7 @@ MIXED = r"([A-Za-z0-9+/_-]{24,})"
 KINDS = [("assign", ASSIGN, 2, 8, True), ("access", ACCESS, 1, 16, True), ("hex", HEX, 1, 32, True), ("prefixed", PREFIXED, 1, 16, False), ("mixed", MIXED, 1, 24, False)]
 #: A hash held by at least so many owners is a copied example.
 EXAMPLE_OWNERS = 3
-#: Fewer distinct characters than this don't look live.
+#: Values of the further patterns with fewer distinct characters than this don't look live.
 LIVE_CHARS = 10
 
 
@@ -82,7 +82,8 @@ def candidates(docs: DataFrame, owner: str = "source", repository: str = "doc_id
         # runs: of a class of characters, so only those of the least length matter, whatever lies between
         pattern = f"([0-9a-f]{{{least},}})" if kind == "hex" else f"(AKIA[A-Z0-9]{{{least - 4},}})" if kind == "access" else pattern
         arrays.append(_found(text, rank, pattern, group, least, kind == "assign"))
-    live = lambda v: (F.size(F.array_distinct(F.split(v, ""))) >= LIVE_CHARS) & v.rlike("[0-9]") & v.rlike("[A-Za-z]")
+    looks = lambda v: (F.size(F.array_distinct(F.split(v, ""))) >= LIVE_CHARS) & v.rlike("[0-9]") & v.rlike("[A-Za-z]")
+    live = lambda x: (x["rank"] < sum(k[4] for k in KINDS)) | looks(x["value"])
     return step.select(
         F.monotonically_increasing_id().alias("_row"),
         "doc_id",
@@ -90,7 +91,7 @@ def candidates(docs: DataFrame, owner: str = "source", repository: str = "doc_id
         "repository",
         F.transform(
             F.array_sort(F.concat(*arrays)),
-            lambda x: F.struct(x["start"], x["end"], x["rank"], F.sha2(x["value"], 256).alias("hash"), live(x["value"]).alias("live")),
+            lambda x: F.struct(x["start"], x["end"], x["rank"], F.sha2(x["value"], 256).alias("hash"), live(x).alias("live")),
         ).alias("found"),
     )
 
@@ -105,7 +106,7 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
     """_row, doc_id and spans of every row: array of (start, end, kind, base, verdict, owners, repositories).
 
-    verdict: example, credential or unsure (held by few, but without a live look).
+    verdict: example, credential or unsure (of a further pattern, held by few, but without a live look).
     """
     found = materialise(candidates(docs, owner, repository), "secret-candidates")
     holders = ownership(found)
@@ -126,9 +127,9 @@ def scan(docs: DataFrame, owner: str = "source", repository: str = "doc_id") ->
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """docs with every live-looking value that fewer than EXAMPLE_OWNERS owners hold replaced by a mark.
+    """docs with every value that fewer than EXAMPLE_OWNERS owners hold (of further patterns: and that looks live) replaced by a mark.
 
-    Owners are counted over the whole table first; then each document's own values are looked up
+    A value goes wherever it stands in the document, longer values first. Owners are counted over the whole table first; then each document's own values are looked up
     by its doc_id. n_chars follows the text if present. Widely copied examples stay as they are.
     """
     found = materialise(candidates(docs, owner, repository), "redact-candidates")
@@ -137,11 +138,13 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", owner: str = "source", repos
     hidden = spans.join(few, "hash").groupBy("_id").agg(F.collect_set("hash").alias("_hashes"))
     whole = docs.select("doc_id", F.struct(*docs.columns).alias("_doc"))
     held = whole.join(hidden, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    text, cut = F.col("_doc.text"), F.col("_doc.text")
+    text, values = F.col("_doc.text"), []
     for _, pattern, group, least, _ in KINDS:
-        values = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)))
-        values = F.filter(values, lambda v, k=least: (F.length(v) >= k) & F.array_contains(F.col("_hashes"), F.sha2(v, 256)))
-        cut = F.aggregate(values, cut, lambda acc, v: F.replace(acc, v, F.lit(mark)))
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)))
+        values.append(F.filter(found, lambda v, k=least: (F.length(v) >= k) & F.array_contains(F.col("_hashes"), F.sha2(v, 256))))
+    # longer ones first: a value may hold another
+    ordered = F.array_sort(F.transform(F.array_union(F.concat(*values), F.array().cast("array<string>")), lambda v: F.struct((-F.length(v)).alias("n"), v.alias("v"))))
+    cut = F.aggregate(ordered, text, lambda acc, x: F.replace(acc, x["v"], F.lit(mark)))
     hide = F.col("_hashes").isNotNull()
     out = {"text": F.when(hide, cut).otherwise(text)}
     if "n_chars" in docs.columns:

@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 
 import corpus_pipeline
-from gondola.llm import packing, queries, tokenizing
+from gondola.llm import packing, queries, secret_scan, tokenizing
 from tests.llm.test_documents import LONG, SCHEMA, words
 
 
@@ -39,3 +39,14 @@ def test_checksums_are_of_the_ids_carried_to_the_windows(spark, tmp_path):
     for r in queries.op7_lexical_packing(spark, str(tmp_path)).collect():
         ids = np.frombuffer(carried[r["doc_id"]]["ids"], "<u2")[r["start"] : r["start"] + r["length"]]
         assert r["ids_crc32"] == packing.crc_of(ids)
+
+
+def test_plain_passwords_of_few_owners_are_masked(spark):
+    own = ["password=Tr0ub4dr", "secret: correcthorsebattery", "token=12345678", "passwd='aaaaaaaa'", "AKIA" + "A" * 16, "f" * 32]
+    rows = [(i, f"before {x} after", "en", "s0", 0) for i, x in enumerate(own)]
+    rows += [(10 + i, "use password=changeme1 here", "en", f"s{i}", 0) for i in range(3)]  # three owners: an example
+    rows += [(20, "token=abcdefgh and token=abcdefgh12345", "en", "s0", 0), (21, "z" * 30, "en", "s0", 0)]
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [clean[i] for i in range(6)] == [f"before {x} after" for x in ("password=[SECRET]", "secret: [SECRET]", "token=[SECRET]", "passwd='[SECRET]'", "[SECRET]", "[SECRET]")]
+    assert all(clean[10 + i] == "use password=changeme1 here" for i in range(3))
+    assert clean[20] == "token=[SECRET] and token=[SECRET]" and clean[21] == "z" * 30
