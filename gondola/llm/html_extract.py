@@ -1,20 +1,26 @@
 """Main-text extraction with a site style tree.
 
 Pages of one host are merged: every element's signature path (tags with their class and id, digits
-dropped, from the root) is a node of the host's tree. For a node seen on m pages, its presentation
-importance is the entropy (base m) of the child sequences it shows, and its content importance is
-one less the mean of log_m of the number of pages that share its content; a node with no children
-counts by content alone, one with many by presentation too. Branches of low importance are
-removed from the host's pages, beside elements whose tag, role or name says what they are (menus,
-headers, footers, sidebars, notices, adverts, forms, comments). Of what remains, the article
-(else the main element, else the body) is the text.
-
-The host's model is as many rows as it has low paths; it is broadcast behind a check of its size.
-Inside an article only elements with a name of their own can be removed by importance, and never
-if half of the article's text would go with them: near copies on a small host look like templates.
+dropped, from the root) is a node of the host's tree. For a node seen on m different pages, its
+presentation importance is the entropy of the styles it shows there (the sequence of its child
+elements; for an element without any, the order of magnitude of its length), to base m, 32 at most;
+its content importance is one less the mean of log_m of the number of pages that share its content.
+Both are drawn towards 1/2 as if by PRIOR_PAGES pages more, so nodes on few pages stay undecided.
+
+A block whose two importances are not low is meaningful, with all that it holds but nodes of low
+content importance (text that the site repeats). A page's branches of which less than LOW is
+meaningful text are removed; where that leaves nothing (all pages of the site are of one shape),
+content importance alone decides. Elements that the tree leaves and that by tag, role or name are
+menus, headers, footers, sidebars, notices, adverts, forms or comments go too: the tree knows
+nothing of hosts with few pages. Headings, paragraphs and list items are never removed by
+themselves, only with a branch: near copies on a small host look like templates. Of what remains,
+the article (else the main element, else the body) is the text.
+
+The host's model is as many rows as it has low nodes; it is broadcast behind a check of its size.
 
 Defined cases: a null html is an empty page (empty text); a null or relative url has no host, so
-only names decide; pages that repeat are merged once each; an empty table gives no rows.
+only names decide; pages that repeat count once in the tree; an empty table gives no rows; other
+columns of the input are not read. Time is linear in a page's length, however its tags are nested.
 """
 
 from __future__ import annotations
@@ -29,10 +35,12 @@ from pyspark.sql import functions as F
 
 from gondola.llm.common import map_in_arrow, materialise
 
-#: Nodes on fewer pages of a host than this are left alone.
-MIN_PAGES = 5
-LOW_IMPORTANCE = 0.3
-DAMPING = 0.9
+#: A node of an importance below this is low.
+LOW = 0.4
+#: So many pages that know nothing are added to each node's.
+PRIOR_PAGES = 5
+#: Entropy of styles is taken to base m, but to this at most: a template has few styles on however many pages.
+STYLES = 32
 #: A model up to this many low paths (about 60 bytes each) is broadcast; a larger one is joined by shuffle.
 BROADCAST_PATHS = 500_000
 
@@ -57,9 +65,14 @@ COMMENT_NAMES = frozenset("comment comments commentlist disqus reply replies res
 NOT_NAMES = frozenset("has with no without is".split())
 #: An open element of the first kind ends where one of the second starts.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option", "optgroup"}}
+#: The other way round: what a starting tag ends.
+ENDED_BY = {tag: [open_ for open_, by in ENDS.items() if tag in by] for tag in set().union(*ENDS.values())}
 SCOPES = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>|([^<]+|<)""", re.S)
+#: Of these only whole branches above them are removed by importance, unless they have a name.
+TEXT_LEVEL = frozenset("h1 h2 h3 h4 h5 h6 p li dd dt blockquote pre td th tr tbody figcaption caption".split())
+
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/><]*)((?:[^<>"']++|"[^"]*"|'[^']*')*+)>|<[!?/][^<>]*>|([^<]+|<)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -71,17 +84,41 @@ class Node:
         self.tag, self.names, self.role, self.children, self.noise = tag, names, role, [], False
 
 
+class _Open:
+    """The open elements, with the places of each tag and of all blocks among them."""
+
+    def __init__(self, root: Node):
+        self.stack, self.at, self.blocks = [root], {}, []
+
+    def last(self, tag: str) -> int:
+        return self.at[tag][-1] if self.at.get(tag) else -1
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, place: int) -> None:
+        """Close the element at a place and all inside it."""
+        for node in self.stack[place:]:
+            self.at[node.tag].pop()
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
+        del self.stack[place:]
+
+
 def parse(page: str) -> Node:
     """The element tree of a page; children are nodes and strings. Forgiving, like a browser."""
     root = Node("#root")
-    stack = [root]
+    held = _Open(root)
     at, end = 0, len(page)
     while at < end:
         token = _TOKEN.match(page, at)
         at = token.end()
         closing, tag, attributes, text = token.groups()
         if text is not None:
-            stack[-1].children.append(entities.unescape(text) if "&" in text else text)
+            held.stack[-1].children.append(entities.unescape(text) if "&" in text else text)
         elif tag is None:
             continue
         elif tag.lower() in RAW and not closing:
@@ -92,27 +129,18 @@ def parse(page: str) -> Node:
                 at = page.find(">", close.start()) + 1 or end
         elif closing:
             tag = tag.lower()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if tag not in BLOCK and stack[k].tag in BLOCK:
-                    break  # a stray inline end tag closes nothing outside its block
+            place = held.last(tag)
+            # a stray inline end tag closes nothing outside its block
+            if place > 0 and (tag in BLOCK or not held.blocks or held.blocks[-1] < place):
+                held.cut(place)
         else:
             tag = tag.lower()
-            if tag in BLOCK:
-                for k in range(len(stack) - 1, 0, -1):  # an open paragraph ends at any block
-                    if stack[k].tag == "p":
-                        del stack[k:]
-                        break
-                    if stack[k].tag in BLOCK:
-                        break
-                for k in range(len(stack) - 1, 0, -1):
-                    if tag in ENDS.get(stack[k].tag, ()):
-                        del stack[k:]
-                        break
-                    if stack[k].tag in SCOPES.get(tag, ()):
-                        break
+            if tag in BLOCK and held.blocks and held.stack[held.blocks[-1]].tag == "p":
+                held.cut(held.blocks[-1])  # an open paragraph ends at any block
+            if tag in ENDED_BY:
+                place = max(map(held.last, ENDED_BY[tag]))
+                if place > max(map(held.last, SCOPES.get(tag, ())), default=-1):
+                    held.cut(place)
             names = role = ""
             if attributes:
                 for m in _ATTRIBUTE.finditer(attributes):
@@ -122,11 +150,9 @@ def parse(page: str) -> Node:
                     elif key in ("role", "itemprop"):
                         role = (m[2] or m[3] or m[4] or "").lower()
             node = Node(tag, names.strip(), role)
-            stack[-1].children.append(node)
-            if tag not in VOID and not attributes.rstrip().endswith("/"):
-                stack.append(node)
-            elif tag not in VOID and tag in BLOCK:
-                stack.append(node)  # <div/> opens a div
+            held.stack[-1].children.append(node)
+            if tag not in VOID and (tag in BLOCK or not attributes.rstrip().endswith("/")):  # <div/> opens a div
+                held.push(node)
     return root
 
 
@@ -145,6 +171,8 @@ def mark_noise(root: Node) -> None:
     todo = [(root, False)]
     while todo:
         node, inside = todo.pop()
+        if node.noise:
+            continue
         tag = node.tag
         words = _tokens(node.names) if node.names else ()
         article = tag in ("article", "main") or node.role in ("main", "articlebody")
@@ -163,8 +191,8 @@ def signature(node: Node) -> str:
     return node.tag + ("." + re.sub(r"\d+", "", node.names) if node.names else "")
 
 
-def blocks(node: Node, dropped=frozenset(), paths: dict | None = None) -> list[str]:
-    """Texts of the blocks below node in page order, without noise and dropped paths; white space is one space."""
+def blocks(node: Node) -> list[str]:
+    """Texts of the blocks below node in page order, without noise; white space is one space."""
     out: list[str] = []
     run: list[str] = []
 
@@ -182,7 +210,7 @@ def blocks(node: Node, dropped=frozenset(), paths: dict | None = None) -> list[s
             flush()
         elif isinstance(x, str):
             run.append(x)
-        elif x.noise or dropped and paths[id(x)] in dropped:
+        elif x.noise:
             continue
         elif x.tag == "br":
             run.append(" ")
@@ -212,83 +240,117 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def style_rows(page: str) -> list[tuple[int, int, int, int]]:
-    """(path, style, content, children) of every path of the page that may be judged by importance.
-
-    Those are all outside articles, and named elements inside.
-    """
+def style_rows(page: str) -> list[tuple[int, int, int]]:
+    """(path, style, content) of every path of the page that holds text; elements of the same path are taken together."""
     root = parse(page)
     paths = style_paths(root)
     found: dict[int, list] = {}
-
-    parts: list[str] = []
-    open_: list[int] = []
-    todo: list = [(root, False, False)]
+    inner: list[list] = [[]]  # of each open element: what it holds, as texts and the hashes of elements
+    sizes = [0]
+    todo: list = [(root, False)]
     while todo:
-        x, inside, leaving = todo.pop()
-        if leaving:  # all text since the element opened is its own
-            content = " ".join("".join(parts[open_.pop() :]).split())
-            if content and x.tag not in ("#root", "html", "body"):
-                below = [signature(c) for c in x.children if isinstance(c, Node)]
-                entry = found.setdefault(paths[id(x)], [[], [], 0])
-                entry[0].append(",".join(dict.fromkeys(below)))
+        x, leaving = todo.pop()
+        if leaving:
+            held, size = inner.pop(), sizes.pop()
+            if held:
+                content = str(_hash("\x1f".join(held)))
+                inner[-1].append(content)
+                sizes[-1] += size
+                entry = found.setdefault(paths[id(x)], [[], [], 0, False])
+                below = [c.tag for c in x.children if isinstance(c, Node)]
+                entry[0].append(",".join(below))
                 entry[1].append(content)
-                entry[2] += len(below)
+                entry[2] += size
+                entry[3] |= bool(below)
         elif isinstance(x, str):
-            parts.append(x)
+            if text := " ".join(x.split()):
+                inner[-1].append(text)
+                sizes[-1] += len(text)
         else:
-            within = inside or x.tag in ("article", "main") or x.role in ("main", "articlebody")
-            if not within or x.names and inside:
-                open_.append(len(parts))
-                todo.append((x, inside, True))
-            todo.extend((c, within, False) for c in reversed(x.children))
-    return [(path, _hash("|".join(s)), _hash("\n".join(c)), n) for path, (s, c, n) in found.items()]
+            inner.append([])
+            sizes.append(0)
+            todo.append((x, True))
+            todo.extend((c, False) for c in reversed(x.children))
+    return [(path, _hash("|".join(s) if parents else f"#{size.bit_length()}"), _hash(",".join(c))) for path, (s, c, size, parents) in found.items()]
+
+
+def drop_low(root: Node, paths: dict[int, int], plain: frozenset, repeated: frozenset) -> bool:
+    """Mark the branches of low importance as noise; plain, repeated: the paths of low presentation and of low content importance.
+
+    False, and nothing marked, if no text would be left.
+    """
+    share: dict[int, list] = {}  # of each element: its text, and how much of it is meaningful
+    order = []
+    todo = [(root, False)]
+    while todo:
+        x, kept = todo.pop()
+        path = paths[id(x)]
+        if path in repeated and (x.tag not in TEXT_LEVEL or x.names):
+            kept = False
+        elif path not in plain and path not in repeated and x.tag in BLOCK:
+            kept = True
+        n = sum(len(" ".join(c.split())) for c in x.children if isinstance(c, str))
+        share[id(x)] = [n, n * kept]
+        order.append(x)
+        todo.extend((c, kept) for c in x.children if isinstance(c, Node))
+    for x in reversed(order):  # children before their parents
+        for c in x.children:
+            if isinstance(c, Node):
+                share[id(x)][0] += share[id(c)][0]
+                share[id(x)][1] += share[id(c)][1]
+    gone, left = [], 0
+    todo = [root]
+    while todo:
+        x = todo.pop()
+        n, good = share[id(x)]
+        if n and good < LOW * n and (x.tag not in TEXT_LEVEL or x.names) and x.tag in BLOCK and x.tag not in ("html", "body", "head"):
+            gone.append(x)
+            continue
+        left += sum(len(c.strip()) for c in x.children if isinstance(c, str))
+        todo.extend(c for c in x.children if isinstance(c, Node))
+    if not left:
+        return False
+    for x in gone:
+        x.noise = True
+    return True
 
 
 def _named_content(root: Node) -> list[Node]:
     """Where the text is: surviving articles, else main elements, else elements named as content, else the page."""
     articles, mains, named = [], [], []
-    todo = [root]
+    todo = [(root, False, False)]
     while todo:
-        x = todo.pop()
+        x, in_main, in_named = todo.pop()
         if x.noise:
             continue
         if x.tag == "article" or x.role == "articlebody":
             articles.append(x)
             continue
         if x.tag == "main" or x.role == "main":
-            mains.append(x)
+            if not in_main:
+                mains.append(x)
+            in_main = True
         elif x.names and x.tag in ("div", "section", "td") and _tokens(x.names) & {"content", "article", "post", "entry", "story", "main"}:
-            named.append(x)
-        todo.extend(c for c in reversed(x.children) if isinstance(c, Node))
-    outer = lambda found: [x for x in found if not any(x is not y and _holds(y, x) for y in found)]
-    return articles or outer(mains) or outer(named) or [root]
+            if not in_named:
+                named.append(x)
+            in_named = True
+        todo.extend((c, in_main, in_named) for c in reversed(x.children) if isinstance(c, Node))
+    return articles or mains or named or [root]
 
 
-def _holds(outer: Node, inner: Node) -> bool:
-    todo = [c for c in outer.children if isinstance(c, Node)]
-    while todo:
-        x = todo.pop()
-        if x is inner:
-            return True
-        todo.extend(c for c in x.children if isinstance(c, Node))
-    return False
-
+def main_text(page: str, plain: frozenset = frozenset(), repeated: frozenset = frozenset(), names: bool = True) -> str:
+    """The page's article: blocks joined by an empty line; plain, repeated: paths of low importance on its host.
 
-def main_text(page: str, low: frozenset = frozenset()) -> str:
-    """The page's article: blocks joined by an empty line; low: paths of low importance on its host."""
+    names: whether tags, roles and names decide where the tree doesn't.
+    """
     root = parse(page)
+    if plain or repeated:
+        paths = style_paths(root)
+        drop_low(root, paths, plain, repeated) or drop_low(root, paths, frozenset(), repeated)
+    if not names:
+        return "\n\n".join(blocks(root))
     mark_noise(root)
-    paths = style_paths(root) if low else None
-    where = _named_content(root)
-    plain = [b for x in where for b in blocks(x)]
-    if not low:
-        return "\n\n".join(plain)
-    article = where != [root]
-    kept = [b for x in where for b in (blocks(x, low, paths) if not (article and paths[id(x)] in low) else blocks(x))]
-    if not kept or article and 2 * sum(map(len, kept)) < sum(map(len, plain)):
-        return "\n\n".join(plain)
-    return "\n\n".join(kept)
+    return "\n\n".join(b for x in _named_content(root) for b in blocks(x))
 
 
 def host_of(url):
@@ -297,52 +359,52 @@ def host_of(url):
     return F.nullif(F.lower(host), F.lit(""))
 
 
-def low_paths(pages: DataFrame) -> DataFrame:
-    """host, path: the nodes of each host's style tree whose importance is low."""
+def node_importance(pages: DataFrame) -> DataFrame:
+    """host, path, pages, presentation, content: the importances of every node of each host's style tree; pages(host, html)."""
 
     def run(batches):
         for b in batches:
-            hosts, rows = [], []
-            for host, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = style_rows(page or "")
-                rows += found
-                hosts += [host] * len(found)
-            columns = list(zip(*rows)) if rows else [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *[pa.array(c, pa.int64()) for c in columns]], ["host", "path", "style", "content", "children"])
-
-    nodes = map_in_arrow(pages.where("host is not null").select("host", "html"), run, "host string, path long, style long, content long, children long")
+            rows = [(host, key, *found) for host, key, page in zip(*[b.column(k).to_pylist() for k in range(3)]) for found in style_rows(page or "")]
+            columns = list(zip(*rows)) if rows else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], ["host", "page", "path", "style", "content"])
+
+    held = pages.where("host is not null").select("host", F.xxhash64("html").alias("page"), "html")
+    nodes = map_in_arrow(held, run, "host string, page long, path long, style long, content long").distinct()  # pages that repeat count once
     # counts of each style and content, then their entropies: two small aggregations, hot hosts combined map-side
-    shown = nodes.select("host", "path", "children", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("style").alias("value")), F.struct(F.lit(1).alias("kind"), F.col("content").alias("value")))))
-    counts = shown.groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("children").alias("children"))
-    log = F.sum(F.col("n") * F.log("n"))
-    sums = counts.groupBy("host", "path", "kind").agg(F.sum("n").alias("m"), log.alias("nlogn"), F.sum("children").alias("children"))
-    by_node = sums.groupBy("host", "path").agg(
-        F.max("m").alias("m"),
-        F.max(F.when(F.col("kind") == 0, F.col("nlogn"))).alias("style_log"),
-        F.max(F.when(F.col("kind") == 1, F.col("nlogn"))).alias("content_log"),
-        F.max("children").alias("children"),
+    shown = nodes.select("host", "path", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("style").alias("value")), F.struct(F.lit(1).alias("kind"), F.col("content").alias("value")))))
+    counts = shown.groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    sums = counts.groupBy("host", "path").agg(
+        F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
+        *[F.sum(F.when(F.col("kind") == k, F.col("n") * F.log("n"))).alias(name) for k, name in ((0, "_style"), (1, "_content"))],
     )
-    by_node = by_node.where(F.col("m") >= MIN_PAGES)
-    # sum over values of n/m * log_m(n): 1 if all pages show the same, 0 if each its own
-    alike = lambda c: F.col(c) / (F.col("m") * F.log("m"))
-    share = F.pow(F.lit(DAMPING), F.col("children") / F.col("m"))
-    importance = (1 - share) * (1 - alike("style_log")) + share * (1 - alike("content_log"))
-    return by_node.where(importance < LOW_IMPORTANCE).select("host", "path")
+    m = F.col("pages")
+    # of the styles: entropy log m - sum(n log n) / m; of the contents: sum over values of n/m * log_m(n) is 1 if all pages show the same
+    presentation = F.when(m > 1, F.least(F.lit(1.0), (F.log(m) - F.col("_style") / m) / F.log(F.least(m, F.lit(STYLES))))).otherwise(F.lit(0.5))
+    content = F.when(m > 1, 1 - F.col("_content") / (m * F.log(m))).otherwise(F.lit(0.5))
+    drawn = lambda x: (m * x + PRIOR_PAGES / 2) / (m + PRIOR_PAGES)
+    return sums.select("host", "path", "pages", drawn(presentation).alias("presentation"), drawn(content).alias("content"))
+
+
+def low_paths(pages: DataFrame) -> DataFrame:
+    """host, path, plain, repeated: the nodes whose presentation or whose content importance is low."""
+    found = node_importance(pages).select("host", "path", (F.col("presentation") < LOW).alias("plain"), (F.col("content") < LOW).alias("repeated"))
+    return found.where("plain or repeated")
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """pages(page_id, url, html) with text, the page's article."""
+def extract(pages: DataFrame, names: bool = True) -> DataFrame:
+    """pages(page_id, url, html) with text, the page's article. names: see main_text."""
     rows = pages.select("page_id", "url", "html").withColumn("host", host_of("url"))
     low = materialise(low_paths(rows), "style-trees")
-    # as long as a site has distinct template elements: digits are dropped from names, and rare ones are out
-    models = low.groupBy("host").agg(F.collect_set("path").alias("low"))
+    # as long as a site has distinct template elements: digits are dropped from names
+    models = low.groupBy("host").agg(*[F.collect_set(F.when(F.col(kind), F.col("path"))).alias(f"_{kind}") for kind in ("plain", "repeated")])
     if low.count() <= BROADCAST_PATHS:
         models = F.broadcast(models)
-    joined = rows.join(models, "host", "left").select("page_id", "url", "html", "low")
+    joined = rows.join(models, "host", "left").select("page_id", "url", "html", "_plain", "_repeated")
 
     def run(batches):
         for b in batches:
-            texts = [main_text(p or "", frozenset(low or ())) for p, low in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            found = zip(*[b.column(k).to_pylist() for k in (2, 3, 4)])
+            texts = [main_text(p or "", frozenset(plain or ()), frozenset(repeated or ()), names) for p, plain, repeated in found]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     types = dict(rows.dtypes)
