@@ -26,6 +26,18 @@ SELECT doc_id, size, source_size, target,
 """
 
 
+# CRC-32 with its table of 256, byte by byte; the shards are those of the bytes below a row's key.
+SHARDS = """
+WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc),
+h AS (SELECT doc_id, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS digits FROM documents),
+d AS (SELECT doc_id, size, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(digits, lambda x: CAST('0x' || x AS BIGINT))),
+  lambda a, x: xor(a >> 8, t.crc[(xor(a, x) & 255) + 1])), 4294967295) AS text_crc32 FROM h, t),
+b AS (SELECT *, sum(size) OVER (ORDER BY text_crc32, doc_id NULLS FIRST RANGE UNBOUNDED PRECEDING) - sum(size) OVER (PARTITION BY text_crc32, doc_id) AS below, sum(size) OVER () AS total FROM d),
+s AS (SELECT *, CAST(8 * below // total AS INTEGER) AS shard FROM b)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY text_crc32, doc_id NULLS FIRST) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
+"""
+
+
 def _spans(rank: int) -> str:
     """Matches of one kind with their positions: all pieces and matches before, then the match."""
     kind, pattern, group, least, base = secret_scan.KINDS[rank]

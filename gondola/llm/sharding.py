@@ -1,11 +1,13 @@
 """Sharding by histogram sort.
 
-Rows are ordered by (CRC-32 of the text, doc_id), so equal texts lie side by side. Exact bytes
-below candidate boundaries are counted across partitions, and the candidates around each wanted
-boundary are refined until the bytes below it are within tolerance; then the rows are exchanged
-once, by ranges of the key that are as many as there are shuffle partitions, whatever the number
-of shards. A row's place in the whole order less the rows below its shard is its slot, so no
-task holds a shard.
+Rows are ordered by (CRC-32 of the text, doc_id), so equal texts lie side by side, and a row whose
+smaller keys hold the bytes b of t in all belongs to shard floor(shards * b / t): rows of one key
+stay together. The keys at which a shard starts are found by counting exact bytes in bins of leading
+digits of the key, across partitions, and refining the bins that hold a wanted boundary until it
+stands between two keys. The same rounds cut the shards into cells, one for each shuffle partition
+about (within CELL_TOLERANCE of their size, or a single key's); rows are exchanged once, to the
+partition of their cell, sorted there and written. The rows below a cell are known from the counts,
+so a row's slot follows from its place in its partition, and no task holds a shard.
 
 Defined cases: a null text is 0 bytes (size 1, CRC-32 0); a null doc_id orders first; rows that
 repeat both text and doc_id share a key, stay together and get different slots; an empty table gives no rows;
@@ -14,14 +16,19 @@ columns of the input named like an added one are replaced.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import materialise, text_or_empty, with_global_index
+from gondola.llm.common import materialise, shared_path, text_or_empty
 
-PROBES = 12
-TOLERANCE = 0.001
-FILE_ROWS = 250_000
+#: Digits of a key, and of these how many a round goes further (a bin is cut into 16 ** STEP).
+DIGITS, STEP = 24, 2
+#: How far from its even place a cell's boundary may stand, as a share of a cell.
+CELL_TOLERANCE = 0.25
+#: Cells at most: their boundaries are literals of the plan.
+MAX_CELLS = 1000
 _SIGN = 1 << 63
 
 
@@ -31,55 +38,75 @@ def sort_key(doc_id: Column, crc: Column) -> Column:
     return F.concat(F.lpad(F.lower(F.hex(crc)), 8, "0"), F.lpad(F.lower(F.hex(shifted)), 16, "0"))
 
 
-def _below(key: Column, bounds: list[int]) -> Column:
-    """How many of the sorted bounds are at or below key, by binary search in generated code."""
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < F.lit(f"{bounds[mid]:024x}"), search(lo, mid)).otherwise(search(mid + 1, hi))
+def below(key: Column, bounds: list[str]) -> Column:
+    """How many of the sorted bounds are at or below key, by binary search."""
+    if not bounds:
+        return F.lit(0)
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    literal = F.array(*[F.lit(b) for b in bounds])
+    take = lambda at, step: F.when(F.coalesce(F.get(literal, at + step - 1) <= key, F.lit(False)), at + step).otherwise(at)
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), take)
 
-    return search(0, len(bounds))
 
+def splitters(keyed: DataFrame, wanted: list[tuple[int, int, float]], total: int) -> list[str]:
+    """For each (numerator, denominator, slack): the first key below which at least numerator / denominator of all bytes lie.
 
-def splitters(keyed: DataFrame, shards: int, tolerance: float = TOLERANCE) -> list[int]:
-    """shards - 1 ascending boundaries with near-equal bytes between them, from keyed(key, size).
-
-    Each round is one aggregation; the driver holds only the probes. A boundary meets the
-    tolerance (as a share of a shard) or stands on a single key.
+    keyed(key, size). A slack (in bytes) allows any boundary so near. Each round is one aggregation
+    over the rows of the bins still open; the driver holds those bins' parts, 16 ** STEP a boundary.
+    Past the last key, the boundary is above all keys.
     """
-    total, low, high = keyed.agg(F.sum("size"), F.min("key"), F.max("key")).first()
-    if total is None:
-        return []
-    n, slack = shards, total / shards * tolerance
-    wanted = [total * i / n for i in range(1, n)]
-    lo, hi = [int(low, 16)] * (n - 1), [int(high, 16) + 1] * (n - 1)
-    best: list[tuple[float, int]] = [(abs(t), int(low, 16)) for t in wanted]
-    while open_ := [i for i in range(n - 1) if best[i][0] > slack and hi[i] - lo[i] > 1]:
-        probes = sorted({lo[i] + (hi[i] - lo[i]) * k // (PROBES + 1) for i in open_ for k in range(1, PROBES + 1)} | {hi[i] for i in open_})
-        counted = keyed.groupBy(_below(F.col("key"), probes).alias("at")).agg(F.sum("size").alias("bytes"), F.min("key").alias("first"), F.max("key").alias("last"))
-        cells = {r["at"]: r for r in counted.collect()}
-        before, sums = 0, []
-        for at in range(len(probes)):  # bytes below probes[at]
-            before += cells[at]["bytes"] if at in cells else 0
-            sums.append(before)
-        for i in open_:
-            for at, probe in enumerate(probes):
-                if (off := abs(sums[at] - wanted[i])) < best[i][0]:
-                    best[i] = (off, probe)
-                if sums[at] <= wanted[i]:
-                    lo[i] = max(lo[i], probe)
+    above = "g"
+    found = [above] * len(wanted)
+    open_ = {"": list(range(len(wanted)))}  # bin (leading digits) -> its boundaries
+    bytes_before = {"": 0}
+    digits = 0
+    while open_:
+        digits = min(DIGITS, digits + STEP)
+        lengths = sorted({len(b) for b in open_})
+        inside = keyed
+        if lengths != [0]:
+            test = F.lit(False)
+            for n in lengths:
+                test = test | F.substring("key", 1, n).isin([b for b in open_ if len(b) == n])
+            inside = keyed.where(test)
+        counted = inside.groupBy(F.substring("key", 1, digits).alias("bin")).agg(F.sum("size").alias("bytes"), F.min("key").alias("first"), F.max("key").alias("last"))
+        bins = sorted((r["bin"], r["bytes"], r["first"], r["last"]) for r in counted.collect())
+        names = [b[0] for b in bins]
+        still: dict[str, list[int]] = {}
+        for outer, boundaries in open_.items():
+            before, k = bytes_before[outer], 0
+            lo = bisect_right(names, outer)
+            lo -= lo > 0 and names[lo - 1] == outer
+            mine = []
+            while lo + k < len(bins) and bins[lo + k][0].startswith(outer):
+                mine.append((*bins[lo + k], before))
+                before += bins[lo + k][1]
+                k += 1
+            for i in boundaries:
+                num, den, slack = wanted[i]
+                # the first bin that ends at or above the place: its first key starts below it
+                at = next((m for m in mine if (m[4] + m[1]) * den >= num * total), None)
+                nxt = mine[mine.index(at) + 1] if at is not None and at is not mine[-1] else None
+                if at is None:
+                    continue
+                name, size, first, last, start = at
+                place = num * total / den
+                if start * den >= num * total or place - start <= slack:
+                    found[i] = first
+                elif first == last or (start + size) * den == num * total or start + size - place <= slack:
+                    found[i] = nxt[2] if nxt else f"{last}0"  # the key after the last: all of the bin is below
                 else:
-                    hi[i] = min(hi[i], probe)
-            # between two probes only the keys that exist matter
-            if cell := cells.get(sum(p <= lo[i] for p in probes)):
-                lo[i], hi[i] = max(lo[i], int(cell["first"], 16)), min(hi[i], int(cell["last"], 16) + 1)
-    return [b for _, b in best]
+                    still.setdefault(name, []).append(i)
+                    bytes_before[name] = start
+        if still:  # go straight to where the open bins' keys differ
+            spread = {b[0]: (b[2], b[3]) for b in bins}
+            digits = min(next(k for k in range(DIGITS) if spread[name][0][k] != spread[name][1][k]) for name in still)
+        open_ = still
+    return found
 
 
-def shard(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANCE, carry: list[str] | None = None) -> DataFrame:
-    """docs with size, text_crc32, shard and slot (gapless from 0 in each shard), near-equal bytes a shard.
+def shard(docs: DataFrame, shards: int = 8, carry: list[str] | None = None) -> DataFrame:
+    """docs with size, text_crc32, shard and slot (gapless from 0 in each shard), near-equal bytes a shard; sorted in each partition.
 
     carry: the columns of docs that go through the exchange; all of them if it isn't given.
     """
@@ -87,18 +114,45 @@ def shard(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANCE, carry:
     sized = docs.withColumns({"size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text.cast("binary"))})
     sized = sized.withColumn("_key", sort_key(F.col("doc_id"), F.col("text_crc32")))
     keyed = materialise(sized.select(F.col("_key").alias("key"), "size"), "shard-keys")
-    bounds = sorted(splitters(keyed, shards, tolerance))
-    # bounds may coincide (fewer keys than shards): such shards are empty
-    counts = {r["at"]: r["n"] for r in keyed.groupBy(_below(F.col("key"), bounds).alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts = [sum(counts.get(k, 0) for k in range(at)) for at in range(len(bounds) + 1)]
+    total = keyed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    cells = min(MAX_CELLS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    wanted = [(k, shards, 0) for k in range(1, shards)]
+    even = [(k, cells, total / cells * CELL_TOLERANCE) for k in range(1, cells) if k * shards % cells]
+    starts = splitters(keyed, wanted + even, total) if total else []
+    shard_starts = sorted(starts[: shards - 1])
+    bounds = sorted(set(starts))
+    # rows of each cell, and with these the first row of each cell in its shard
+    counts = {r["at"]: r["n"] for r in keyed.groupBy(below(F.col("key"), bounds).alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    first, shard_of = [], []
+    for at in range(len(bounds) + 1):
+        shard_of.append(bisect_right(shard_starts, bounds[at - 1]) if at else 0)
+        first.append(first[-1] + counts.get(at - 1, 0) if at and shard_of[-1] == shard_of[-2] else 0)
     kept = [c for c in (docs.columns if carry is None else carry) if c not in ("size", "text_crc32")]
-    placed = with_global_index(sized.select(*kept, "size", "text_crc32", "_key"), [F.col("_key")], "_index", "shard-rows")
-    placed = placed.withColumn("shard", _below(F.col("_key"), bounds).cast("int"))
-    start = F.element_at(F.array(*[F.lit(n).cast("long") for n in starts]), F.col("shard") + 1)
-    return placed.withColumn("slot", F.col("_index") - start).drop("_index", "_key")
+    celled = sized.select(*kept, "size", "text_crc32", "_key", below(F.col("_key"), bounds).alias("_cell"))
+    placed = celled.repartitionById(len(bounds) + 1, F.col("_cell")).sortWithinPartitions("_key")
+    local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    start = F.element_at(F.array(*[F.lit(n).cast("long") for n in first]), F.col("_cell") + 1)
+    own = F.element_at(F.array(*[F.lit(n).cast("int") for n in shard_of]), F.col("_cell") + 1)
+    return placed.withColumns({"shard": own, "slot": start + local}).drop("_cell", "_key")
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8) -> None:
-    """Write the sharded documents as Parquet, a folder for each shard, rows by slot inside their files."""
-    placed = shard(docs, shards)
-    placed.repartition(F.col("shard"), F.floor(F.col("slot") / FILE_ROWS)).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Write the sharded documents, whole, as Parquet: a folder for each shard, a file for each of its cells, rows by slot."""
+    shard(docs, shards).drop("size", "text_crc32").write.partitionBy("shard").parquet(path)
+
+
+def read_shards(docs: DataFrame, path: str) -> DataFrame:
+    """The rows as they lie in the shards, with size and CRC-32 of what was read; docs: what was written, for its columns."""
+    spark = docs.sparkSession
+    kept = [docs.schema[c] for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot")]
+    schema = spark.createDataFrame([], "slot long, shard int").schema
+    read = spark.read.schema(type(schema)([*kept, *schema.fields])).parquet(path)
+    text = text_or_empty()
+    return read.withColumns({"size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text.cast("binary"))})
+
+
+def sharded(docs: DataFrame, shards: int = 8) -> DataFrame:
+    """Shards written to the shared folder and read back."""
+    path = shared_path(docs.sparkSession, "shards")
+    write_shards(docs, path, shards)
+    return read_shards(docs, path)

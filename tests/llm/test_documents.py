@@ -136,6 +136,35 @@ def test_sharding_splits_a_hot_group(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 4000
 
 
+@pytest.mark.parametrize("parts", [1, 4, 37])
+def test_shards_hold_the_bytes_below_their_keys(spark, parts):
+    """Each row's shard from its key's place in the whole order, whatever the number of cells."""
+    rows = [(i % 900 or None, "one text for many" if i % 3 == 0 else words(i, i % 60), "en", "s", 0) for i in range(3000)] + [(i, None, "en", "s", 0) for i in range(50)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got = [(r["doc_id"], r["text_crc32"], r["shard"], r["slot"]) for r in sharding.sharded(docs).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    keyed = sorted((zlib.crc32((r[1] or "").encode()), -(1 << 63) if r[0] is None else r[0], len((r[1] or "").encode()) + 1, r[0]) for r in rows)
+    total, at, below, want, slots = sum(k[2] for k in keyed), 0, {}, [], Counter()
+    for crc, order, size, _ in keyed:
+        below.setdefault((crc, order), at)
+        at += size
+    for crc, order, _, doc in keyed:
+        shard = 8 * below[crc, order] // total
+        want.append((doc, crc, shard, slots[shard]))
+        slots[shard] += 1
+    assert sorted(got, key=repr) == sorted(want, key=repr) and set(slots) == set(range(8))
+
+
+def test_shards_keep_whole_rows(spark, clashing):
+    out = sharding.sharded(clashing)
+    assert set(clashing.columns) - {"size"} <= set(out.columns)
+    assert sorted(map(repr, out.select("doc_id", "text", "lang", "hash").collect())) == sorted(map(repr, clashing.select("doc_id", "text", "lang", "hash").collect()))
+
+
 # 4 secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
