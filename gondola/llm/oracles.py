@@ -52,13 +52,15 @@ def _spans(rank: int) -> str:
 SECRETS = f"""
 WITH found AS ({" UNION ALL ".join(f"({_spans(k)})" for k in range(len(secret_scan.KINDS)))}),
 good AS (SELECT * FROM found WHERE good),
-held AS (SELECT sha256(value) AS h, count(DISTINCT coalesce(source, chr(0))) AS owners FROM good GROUP BY 1),
-judged AS (SELECT good.*, owners < {secret_scan.EXAMPLE_OWNERS} AND len(list_distinct(string_split(value, ''))) >= {secret_scan.LIVE_CHARS}
-  AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AS credential FROM good JOIN held ON h = sha256(value)),
-kept AS (SELECT * FROM judged j WHERE base OR (credential AND NOT EXISTS (SELECT 1 FROM judged b WHERE b.base AND b.doc_id = j.doc_id AND b.s < j.e AND j.s < b.e))),
+held AS (SELECT sha256(value) AS h, count(DISTINCT coalesce(source, chr(0))) AS owners, count(DISTINCT doc_id) + CAST(count(*) > count(doc_id) AS INTEGER) AS repositories FROM good GROUP BY 1),
+judged AS (SELECT good.*, owners, repositories, CASE WHEN owners >= {secret_scan.EXAMPLE_OWNERS} AND repositories >= {secret_scan.EXAMPLE_REPOSITORIES} THEN 'example' WHEN base OR (len(list_distinct(string_split(value, ''))) >= {secret_scan.LIVE_CHARS}
+  AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')) THEN 'credential' ELSE 'unsure' END AS verdict FROM good JOIN held ON h = sha256(value)),
+kept AS (SELECT * FROM judged j WHERE base OR (verdict = 'credential' AND NOT EXISTS (SELECT 1 FROM judged b WHERE b.base AND b.doc_id = j.doc_id AND b.s < j.e AND j.s < b.e))),
 by_doc AS (SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access, count(*) FILTER (rank = 2) AS n_hex,
-  coalesce(string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, rank) FILTER (base), '') AS b, string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, rank) AS spans FROM kept GROUP BY 1)
-SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans
+  coalesce(string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, rank) FILTER (base), '') AS b, string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, rank) AS spans,
+  string_agg(verdict, ',' ORDER BY s, rank) AS verdicts, string_agg(owners, ',' ORDER BY s, rank) AS owners, string_agg(repositories, ',' ORDER BY s, rank) AS repositories FROM kept GROUP BY 1)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(verdicts, '') AS verdicts, coalesce(owners, '') AS owners, coalesce(repositories, '') AS repositories
 FROM documents d LEFT JOIN by_doc ON by_doc.doc_id = d.doc_id
 """
 

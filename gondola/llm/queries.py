@@ -30,6 +30,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int,kind:string,base:boolean,verdict:string,owners:bigint,repositories:bigint>>"))
     count = lambda kind: F.size(F.filter("_spans", lambda x: x["kind"] == kind)).cast("long")
     digest = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+    each = lambda field: F.array_join(F.transform("_spans", lambda x: x[field].cast("string")), ",")
     return secret_scan.scan(docs).withColumn("_spans", spans).select(
         "doc_id",
         count("assign").alias("n_assign"),
@@ -37,6 +38,9 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         count("hex").alias("n_hex"),
         F.sha2(digest(F.filter("_spans", lambda x: x["base"])), 256).alias("base_sha256"),
         digest(F.col("_spans")).alias("spans"),
+        each("verdict").alias("verdicts"),
+        each("owners").alias("owners"),
+        each("repositories").alias("repositories"),
     )
 
 

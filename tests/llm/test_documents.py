@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -202,6 +203,28 @@ def test_ownership_parts_examples_from_credentials(spark):
     assert token not in clean[9]["text"] and clean[9]["text"].startswith("mine [SECRET]") and clean[9]["n_chars"] == len(clean[9]["text"])
 
 
+def test_verdicts_count_distinct_owners_and_repositories(spark, clashing):
+    key = "token=abcdefgh12345"
+    rows = [(1, key, "r1", "o1"), (2, key, "r1", "o2"), (3, key, "r1", "o3"), (4, "password: ownedbyone9", "r2", "o1"), (5, "password: ownedbyone9", "r3", "o1"), (6, "password: ownedbyone9", "r3", "o1"), (7, "secret=copied_example", None, None)]
+    rows += [(10 + k, "secret=copied_example", f"r{k}", f"o{k % 2}") for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, repo string, who string").withColumn("hash", F.lit("clash"))
+    got = {r["doc_id"]: [(s["verdict"], s["owners"], s["repositories"]) for s in r["spans"]] for r in secret_scan.scan(docs, owner="who", repository="repo").collect()}
+    assert got[1] == [("credential", 3, 1)]  # mirrors of one repository
+    assert got[4] == [("credential", 1, 2)] and got[7] == [("example", 3, 4)]
+    assert secret_scan.scan(clashing).count() == len(ROWS) and secret_scan.redact(clashing).columns == clashing.columns
+
+
+def test_many_matches_in_one_text(spark):
+    """Time is linear in the matches; positions hold to the last; a further candidate between base spans is found."""
+    n = 30_000
+    text = " ".join(f"token=abcdefg{i}" for i in range(n)) + " é ghp_Ab1Cd2Ef3Gh4Ij5Kl6Mn7 token=lastvalue1"
+    began = time.time()
+    spans = secret_scan.scan(spark.createDataFrame([(1, text, "en", "s", 0)], SCHEMA)).first()["spans"]
+    assert time.time() - began < 60
+    assert [(s["start"], s["end"], s["kind"]) for s in spans] == [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text)][:n] + [
+        *[(text.index("ghp_"), text.index(" token=last"), kind) for kind in ("prefixed", "mixed")], (text.index("token=last"), len(text), "assign")]
+
+
 # 5, 7 tokens
 
 

@@ -67,11 +67,11 @@ def test_pages_of_one_shape_are_judged_by_content(spark):
 
 def test_hostile_pages_take_linear_time():
     n = 200_000
-    pages = ["<div>" * n + "x", "<div>" * n + "x" + "</div>" * n, "<a " * n, "<b>" * (n // 4) + "<p>x</p>" * (n // 4), "<ul>" + "<li><div>" * (n // 2), '<a " ' * n, "<main>" * n + "x", "<!-" * n]
-    pages.append("<ul>" + "<div>" * (n // 4) + "<li>x</li>" * (n // 4))
+    pages = ["<div>" * n + "x", "<a " * n, "<b>" * (n // 8) + "<p>x</p>" * (n // 8), "<ul>" + "<li><div>" * (n // 8), '<a " ' * n, "<main>" * (n // 4) + "x", "<!-" * n]
+    pages.append("<ul>" + "<div>" * (n // 8) + "<li>x</li>" * (n // 8))
     began = time.process_time()
     for page in pages:
         H.main_text(page, frozenset([1]))
         H.style_rows(page)
-    assert time.process_time() - began < 150
+    assert time.process_time() - began < 60
     assert H.main_text("<div>" * n + "x") == "x"
