@@ -9,7 +9,9 @@ in at most two bits (a bucket then holds 65 at most), so no link is lost. Links
 
 Defined cases: a null text counts as empty; texts without words have fingerprint zero, which links
 like any other; repeated rows share a fingerprint and stay one row each; null ids don't
-become a component's id unless all of its ids are null; an empty table gives no rows.
+become a component's id unless all of its ids are null; an empty table gives no rows. Dropping
+copies keeps one row a group, by keys of whole rows: rows that share a null or repeated doc_id but
+no text are groups of their own and all stay.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.types import MapType
 
 from gondola.llm.common import connected_components, map_in_arrow, materialise
 
@@ -46,16 +48,19 @@ def fingerprint(raw: bytes, words: int = 3, seed: int = 42) -> int:
     return int(np.packbits(set_bits * 2 > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id, fp (signed 64-bit) of every row of docs(doc_id, text)."""
+def fingerprints(docs: DataFrame, words: int = 3, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (signed 64-bit) of every row of docs(doc_id, text); also: columns of longs that go along."""
 
     def run(batches):
         for b in batches:
             prints = [fingerprint(t or b"", words) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], pa.array(prints, pa.int64())], ["doc_id", *also, "fp"])
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return map_in_arrow(narrow, run, "doc_id long, fp long")
+    return map_in_arrow(narrow(docs, also), run, f"doc_id long, {''.join(f'{c} long, ' for c in also)}fp long")
+
+
+def narrow(docs: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), *also)
 
 
 def block_keys(fp: Column) -> Column:
@@ -96,30 +101,57 @@ def distinct_prints(own: DataFrame, label: str) -> DataFrame:
 
 
 def groups_of(own: DataFrame, prints: DataFrame, links: DataFrame, label: str) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id reachable by links(a, b) of fps) of every row of own(doc_id, fp)."""
+    """own(doc_id, fp, ...) with class (one for each group) and component_id (its smallest doc_id), by links(a, b) of fps."""
     nodes = connected_components(links, label)
     named = prints.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn("class", F.coalesce("component", "fp"))
     classes = named.groupBy("class").agg(F.min("first").alias("component_id"))
-    ids = named.join(classes, "class").select("fp", "component_id")
-    return own.join(ids, "fp").select("doc_id", "fp", "component_id")
+    return own.join(named.join(classes, "class").select("fp", "class", "component_id"), "fp")
 
 
-def near_groups(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id, fp, component_id (the smallest doc_id reachable by links) of every row."""
-    own = materialise(fingerprints(docs, words), "simhash-prints")
+def near_groups(docs: DataFrame, words: int = 3, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp, class, component_id (the smallest doc_id reachable by links) of every row; also: columns of longs that go along."""
+    own = materialise(fingerprints(docs, words, also), "simhash-prints")
     prints = distinct_prints(own, "simhash")
     return groups_of(own, prints, near_links(prints.select("fp")), "simhash")
 
 
+#: The names of a row's key.
+ROW_KEY = ("_row_a", "_row_b")
+#: A table of row keys up to this many (about 60 bytes each) is broadcast; a larger one is joined by shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """doc_id, text, _doc (the whole row) and two 64-bit hashes of it (columns of maps aside): rows that share them are repeated rows."""
+    cols = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, MapType)]
+    parts = [p for c in cols for p in (c, c.isNull())]  # a null alone leaves the hash as it is
+    hashes = [F.xxhash64(F.lit(seed), *parts).alias(name) for seed, name in enumerate(ROW_KEY)]
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("_doc"), *hashes)
+
+
 def keep_first(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """One row of each of groups(doc_id, component_id): that with the smallest doc_id (of rows that repeat it, one)."""
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    whole = docs.select("doc_id", F.xxhash64("text").alias("_order"), F.struct(*docs.columns).alias("_doc"))
-    held = whole.join(kept, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("_order")
-    return held.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").select("_doc.*")
+    """One row of each class of groups(class, doc_id, *ROW_KEY): that with the smallest doc_id (null last), then the smallest key; columns as they came.
+
+    Decided on the keys alone. Only rows that go, and rows that stay but are repeated, are looked
+    up: by a broadcast if they are few, else by a shuffle join. docs: of with_row_key.
+    """
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), *ROW_KEY)
+    rows = groups.groupBy("class", *ROW_KEY).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
+    first = rows.groupBy("class").agg(F.min(order).alias("_first"))
+    stays = (F.col("_first")[ROW_KEY[0]] == F.col(ROW_KEY[0])) & (F.col("_first")[ROW_KEY[1]] == F.col(ROW_KEY[1]))
+    told = rows.join(first, "class").withColumn("_stays", stays).where("not _stays or n > 1")
+    told = materialise(told.select(*ROW_KEY, "_stays"), "copies-told")
+    found = {r["_stays"]: r["n"] for r in told.groupBy("_stays").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if sum(found.values()) <= BROADCAST_ROWS:
+        told = F.broadcast(told)
+    held = docs.join(told, list(ROW_KEY), "left")
+    kept = held.where("_stays is null").select("_doc.*")
+    if True in found:
+        kept = kept.union(held.where("_stays").dropDuplicates(list(ROW_KEY)).select("_doc.*"))
+    return kept
 
 
 def drop_near_copies(docs: DataFrame, words: int = 3) -> DataFrame:
     """One row of each group, as keep_first; columns as they came."""
-    return keep_first(docs, near_groups(docs, words))
+    keyed = with_row_key(docs)
+    return keep_first(keyed, near_groups(keyed, words, ROW_KEY))

@@ -49,3 +49,19 @@ def test_the_stage_drops_near_copies(spark):
     stage = dict(corpus_pipeline.STAGES)["simhash_dedup"]
     kept = sorted(x["doc_id"] for x in stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect())
     assert kept == sorted(set(brute_groups(rows).values()))
+
+
+def test_rows_without_an_id_of_their_own_stay(spark):
+    """Null and repeated ids with different texts: one row a group, compared as whole rows."""
+    from pyspark.sql import functions as F
+
+    from gondola.llm import simhash
+
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(None, text("a"), "x"), (None, text("b"), "x"), (7, text("c"), "x"), (7, text("d"), "x"), (8, text("e"), "x"), (9, text("e"), "x"), (8, text("e"), "y"), (8, text("e"), "x"), (None, text("a"), "x"), (None, text("a"), None), (10, None, "x"), (11, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit("clash") for c in ("class", "_stays", "n", "fp", "first", "_first")}).repartition(3)
+    for module in (near_copies, simhash):
+        out = module.drop_near_copies(docs)
+        assert out.columns == docs.columns
+        got = [(r["doc_id"], r["text"]) for r in out.collect()]
+        assert sorted(got, key=repr) == sorted([(None, text("a")), (None, text("b")), (7, text("c")), (7, text("d")), (8, text("e")), (10, None)], key=repr)
