@@ -137,7 +137,11 @@ def keep_first(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), *ROW_KEY)
     rows = groups.groupBy("class", *ROW_KEY).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
-    first = rows.groupBy("class").agg(F.min(order).alias("_first"))
+    rows = materialise(rows, "copies-rows")
+    first = rows.groupBy("class").agg(F.min(order).alias("_first"), F.sum("n").alias("_all")).where("_all > 1").select("class", "_first")
+    first = materialise(first, "copies-first")
+    if first.count() <= BROADCAST_ROWS:
+        first = F.broadcast(first)
     stays = (F.col("_first")[ROW_KEY[0]] == F.col(ROW_KEY[0])) & (F.col("_first")[ROW_KEY[1]] == F.col(ROW_KEY[1]))
     told = rows.join(first, "class").withColumn("_stays", stays).where("not _stays or n > 1")
     told = materialise(told.select(*ROW_KEY, "_stays"), "copies-told")

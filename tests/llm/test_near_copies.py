@@ -65,3 +65,21 @@ def test_rows_without_an_id_of_their_own_stay(spark):
         assert out.columns == docs.columns
         got = [(r["doc_id"], r["text"]) for r in out.collect()]
         assert sorted(got, key=repr) == sorted([(None, text("a")), (None, text("b")), (7, text("c")), (7, text("d")), (8, text("e")), (10, None)], key=repr)
+
+
+def test_a_large_group_lists_few_pairs(spark):
+    """Of a group of near copies only stars are compared; copies that are alike to no star are found by the rest."""
+    r = random.Random(9)
+    base = [f"b{k}" for k in range(120)]
+    rows = [(0, " ".join(base), "en", "s", 0)]
+    for i in range(1, 300):
+        other = list(base)
+        for at in r.sample(range(120), r.randrange(1, 5)):
+            other[at] = f"y{i}x{at}"
+        rows.append((i, " ".join(other), "en", "s", 0))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = {x["doc_id"]: x["component_id"] for x in near_copies.near_groups(docs).collect()}
+    assert got == brute_groups(rows)
+    own = near_copies.materialise(near_copies.set_keys(docs), "test")
+    links = near_copies.near_links(docs, near_copies.distinct_prints(own, "test"))
+    assert links.count() < 300 * 20
