@@ -81,5 +81,5 @@ def test_a_large_group_lists_few_pairs(spark):
     got = {x["doc_id"]: x["component_id"] for x in near_copies.near_groups(docs).collect()}
     assert got == brute_groups(rows)
     own = near_copies.materialise(near_copies.set_keys(docs), "test")
-    links = near_copies.near_links(docs, near_copies.distinct_prints(own, "test"))
+    links = near_copies.near_links(docs, near_copies.distinct_sets(own))
     assert links.count() < 300 * 20
