@@ -45,11 +45,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     path = shared_path(spark, "training-shards")
-    ordered = training_order.in_training_order(training_order.token_sequences(docs))
-    training_order.write_shards(ordered, path)
-    placed = ordered.select("slot", "shard", "record", training_order.byte_offset(F.col("record")).alias("byte_offset"), "doc_ids", "starts", "lengths")
+    stream = training_order.token_sequences(spark.read.parquet(f"{sf_dir}/documents.parquet"), stored=True)
+    training_order.write_shards(training_order.in_training_order(stream), path)
+    placed = training_order.in_training_order(stream, with_ids=False)
+    placed = placed.select("slot", "shard", "record", training_order.byte_offset(F.col("record")).alias("byte_offset"), "doc_ids", "starts", "lengths")
     return placed.join(training_order.read_shards(spark, path), "slot")
 
 

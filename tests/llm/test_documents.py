@@ -331,6 +331,46 @@ def test_shards_keep_their_order_when_one_task_writes_many(spark, tmp_path, toke
         assert slots == list(range(7 * shard, 7 * shard + len(slots)))
 
 
+def test_codec_takes_any_ids():
+    r = np.random.default_rng(1)
+    for order in (np.arange(1 << 16), r.permutation(1 << 16)):
+        codec = training_order.Codec(order)
+        for ids in (np.zeros(0), np.arange(1 << 16), r.integers(0, 1 << 16, 5000), r.integers(0, 200, 3000), order[[159, 160, 20639, 20640, 65535]]):
+            raw = ids.astype("<u2").tobytes()
+            assert codec.decode(codec.encode(raw)) == raw
+
+
+def test_order_depends_on_the_table_alone(spark, tmp_path):
+    """Differently split inputs and other numbers of shuffle partitions give the same sequences, slots and shards."""
+    rows = [(i, words(i, 30 + i % 200), "en", "s", 0) for i in range(1500)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    docs.repartition(5).write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/documents.parquet")
+    keys = ("slot", "shard", "record", "doc_ids", "starts", "lengths", "ids_crc32")
+    got = []
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")}
+    try:
+        for size, parts in (("128m", 3), ("20k", 7)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got.append(collect(queries.op5_training_order(spark, str(tmp_path)), *keys))
+        assert got[0] == got[1] and len(got[0]) > 50
+        spread = [training_order.in_training_order(training_order.token_sequences(docs.repartition(n), tokens=100)) for n in (2, 9)]
+        assert collect(spread[0], "slot", "doc_ids", "starts", "lengths") == collect(spread[1], "slot", "doc_ids", "starts", "lengths")
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_resuming_opens_only_what_follows(spark, docs, tmp_path):
+    ordered = training_order.in_training_order(training_order.token_sequences(docs, tokens=64), shard_sequences=100)
+    training_order.write_shards(ordered, f"{tmp_path}/s", tokens=64)
+    n = ordered.count()
+    at = n - 130
+    files = training_order.shard_files(spark, f"{tmp_path}/s", 64, from_slot=at)
+    assert sum(size for _, size in files) == (n - at // 100 * 100) * training_order.stride(64) and len(files) <= 3
+    assert sorted(r["slot"] for r in training_order.read_shards(spark, f"{tmp_path}/s", 64, from_slot=at).collect()) == list(range(at, n))
+
+
 # 8 near copies
 
 
