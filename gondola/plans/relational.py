@@ -162,54 +162,58 @@ SELECT c_custkey, coalesce((SELECT max(s_suppkey) FROM supplier WHERE s_suppkey
 
 
 def merge_pages(spark, sf_dir):
+    """All parts as products, overlaid with a page each: some known by EAN, some by title, some new."""
     pa = _read(spark, sf_dir, "part")
     name = F.concat(F.col("p_name"), F.lit(" "), F.col("p_partkey"))
-    products = pa.where("p_partkey % 2 = 0").select(F.col("p_partkey").cast("string").alias("sku"), F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("789"), F.col("p_partkey"))).otherwise("").alias("ean"), name.alias("title"), F.lit("old").alias("image_url"))
-    pages = pa.where("p_partkey % 3 = 0").select(F.when(F.col("p_partkey") % 5 > 0, F.concat(F.lit("789"), F.col("p_partkey"))).otherwise("").alias("ean"), F.upper(name).alias("title"), F.concat(F.lit("new"), F.col("p_partkey")).alias("image_url"), F.col("p_partkey").alias("ordinal"))
+    products = pa.select(F.col("p_partkey").cast("string").alias("sku"), F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("789"), F.col("p_partkey"))).otherwise("").alias("ean"), name.alias("title"), F.lit("old").alias("image_url"))
+    title = F.when(F.col("p_partkey") % 2 == 0, F.upper(name)).otherwise(F.concat(F.lit("New "), name))
+    pages = pa.select(F.when(F.col("p_partkey") % 5 > 0, F.concat(F.lit("789"), F.col("p_partkey"))).otherwise("").alias("ean"), title.alias("title"), F.concat(F.lit("new"), F.col("p_partkey")).alias("image_url"), F.col("p_partkey").alias("ordinal"))
     return match.merge_pages(products, pages)
 
 
-MERGE_PAGES_SQL = """WITH p AS (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS sku, CASE WHEN p_partkey % 4 = 0 THEN concat('789', p_partkey) ELSE '' END AS ean, concat(p_name, ' ', p_partkey) AS title FROM part WHERE p_partkey % 2 = 0),
-g AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 5 > 0 THEN concat('789', p_partkey) ELSE '' END AS ean, upper(concat(p_name, ' ', p_partkey)) AS title, concat('new', p_partkey) AS image_url FROM part WHERE p_partkey % 3 = 0)
-SELECT sku, nullif(coalesce(nullif(p.ean, ''), g.ean), '') AS ean, p.title, coalesce(g.image_url, 'old') AS image_url FROM p LEFT JOIN g ON p.k = g.k
+MERGE_PAGES_SQL = """WITH p AS (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS sku, CASE WHEN p_partkey % 4 = 0 THEN concat('789', p_partkey) ELSE '' END AS ean, concat(p_name, ' ', p_partkey) AS title FROM part),
+g AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 5 > 0 THEN concat('789', p_partkey) ELSE '' END AS ean, concat('New ', p_name, ' ', p_partkey) AS title, concat('new', p_partkey) AS image_url FROM part)
+SELECT sku, nullif(coalesce(nullif(p.ean, ''), g.ean), '') AS ean, p.title, coalesce(g.image_url, 'old') AS image_url FROM p LEFT JOIN g ON p.k = g.k AND p.k % 2 = 0
 UNION ALL SELECT concat('INST_', ean), ean, title, image_url FROM g WHERE ean <> '' AND k % 2 <> 0"""
 
 
 def image_match(spark, sf_dir):
+    """All parts as products against all parts as images."""
     pa = _read(spark, sf_dir, "part")
     word = F.lower(F.regexp_replace("p_name", " ", "-"))
-    products = pa.where("p_partkey <= 400").select(F.col("p_partkey").alias("id"), F.concat(F.lit("sku"), F.col("p_partkey")).alias("sku"), F.concat(F.col("p_name"), F.when(F.col("p_partkey") % 3 == 0, F.lit(" Peito 1 kg")).otherwise("")).alias("title"))
-    images = pa.where("p_partkey > 300 and p_partkey <= 700").select(F.concat(F.lit("https://a.example/produto/"), word, F.when(F.col("p_partkey") % 2 == 0, F.lit("-peito-1kg")).otherwise(""), F.lit("/")).alias("url"), F.concat(F.lit("https://a.example/img/x_sku"), F.col("p_partkey") * 2, F.lit(".png")).alias("image_url"), F.col("p_partkey").alias("ordinal"))
+    products = pa.select(F.col("p_partkey").alias("id"), F.concat(F.lit("sku"), F.col("p_partkey")).alias("sku"), F.concat(F.col("p_name"), F.when(F.col("p_partkey") % 3 == 0, F.lit(" Peito 1 kg")).otherwise("")).alias("title"))
+    images = pa.select(F.concat(F.lit("https://a.example/produto/"), word, F.when(F.col("p_partkey") % 2 == 0, F.lit("-peito-1kg")).otherwise(""), F.lit("/")).alias("url"), F.concat(F.lit("https://a.example/img/x_sku"), F.col("p_partkey") * 2, F.lit(".png")).alias("image_url"), F.col("p_partkey").alias("ordinal"))
     return match.image_match(products, images)
 
 
-IMAGE_MATCH_SQL = """WITH p AS (SELECT p_partkey AS id, concat('sku', p_partkey) AS sku, concat(lower(p_name), CASE WHEN p_partkey % 3 = 0 THEN ' peito 1 kg' ELSE '' END) AS title, p_partkey % 3 = 0 AS peito FROM part WHERE p_partkey <= 400),
-i AS (SELECT p_partkey AS o, concat(lower(p_name), CASE WHEN p_partkey % 2 = 0 THEN ' peito 1kg' ELSE '' END) AS words, p_partkey % 2 = 0 AS peito, concat('https://a.example/img/x_sku', p_partkey * 2, '.png') AS image_url FROM part WHERE p_partkey > 300 AND p_partkey <= 700),
-e AS (SELECT id, arg_min(image_url, o) AS u FROM p JOIN i ON regexp_matches(image_url, concat('_', sku, '([-_0-9]|\\.png|$)')) GROUP BY id),
+IMAGE_MATCH_SQL = """WITH p AS (SELECT p_partkey AS id, concat(lower(p_name), CASE WHEN p_partkey % 3 = 0 THEN ' peito 1 kg' ELSE '' END) AS title, p_partkey % 3 = 0 AS peito FROM part),
+i AS (SELECT p_partkey AS o, concat(lower(p_name), CASE WHEN p_partkey % 2 = 0 THEN ' peito 1kg' ELSE '' END) AS words, p_partkey % 2 = 0 AS peito, concat('https://a.example/img/x_sku', p_partkey * 2, '.png') AS image_url FROM part),
+e AS (SELECT id, arg_min(image_url, o) AS u FROM p JOIN i ON starts_with(CAST(o * 2 AS VARCHAR), CAST(id AS VARCHAR)) GROUP BY id),
 s AS (SELECT id, o, image_url, len(list_intersect(list_distinct(string_split(title, ' ')), list_distinct(string_split(words, ' ')))) AS n FROM p JOIN i ON p.peito = i.peito),
 b AS (SELECT id, arg_min(image_url, o - n * 1000000) AS u FROM s WHERE n >= 2 GROUP BY id)
 SELECT p.id, coalesce(e.u, b.u) AS image_url FROM p LEFT JOIN e ON p.id = e.id LEFT JOIN b ON p.id = b.id"""
 
 
 def overlap_match(spark, sf_dir):
-    pa = _read(spark, sf_dir, "part")
+    """Each part's nearest other part by words."""
     words = F.split(F.concat("p_name", F.lit(" "), "p_type"), " ")
-    return match.best_by_words(pa.where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("id"), words.alias("words")), pa.where("p_partkey % 5 = 1").select(F.col("p_partkey").alias("id"), words.alias("words"), F.col("p_partkey").alias("ordinal"))).select("id", "match_id", "score")
+    parts = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), words.alias("words"), F.col("p_partkey").alias("ordinal"))
+    return match.best_by_words(parts, parts, not_itself=True)
 
 
 OVERLAP_SQL = """WITH w AS (SELECT DISTINCT p_partkey AS id, unnest(string_split(concat(p_name, ' ', p_type), ' ')) AS w FROM part),
-s AS (SELECT a.id, b.id AS match_id, count(*) AS score FROM w a JOIN w b ON a.w = b.w AND a.id % 5 = 0 AND b.id % 5 = 1 GROUP BY 1, 2 HAVING count(*) >= 2)
+s AS (SELECT a.id, b.id AS match_id, count(*) AS score FROM w a JOIN w b ON a.w = b.w AND a.id <> b.id GROUP BY 1, 2 HAVING count(*) >= 2)
 SELECT id, arg_max(match_id, score * 100000000 - match_id) AS match_id, max(score) AS score FROM s GROUP BY id"""
 
 
 def range_join(spark, sf_dir):
-    """Events of a user within 55 units of value above another's, on the same event type."""
+    """Events of a value less than 0.055 above another's, on the same event type."""
     e = _read(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    marks = e.where("event_id % 10 = 0").select(F.col("event_id").alias("mark_id"), "event_type", F.col("value").alias("mark"))
-    return match.band_join(e, marks, ["event_type"], F.col("mark"), F.col("mark") + 0.55, F.col("value"), 0.55).select("mark_id", "event_id")
+    marks = e.select(F.col("event_id").alias("mark_id"), "event_type", F.col("value").alias("mark"))
+    return match.band_join(e, marks, ["event_type"], F.col("mark"), F.col("mark") + 0.055, F.col("value"), 0.055).select("mark_id", "event_id")
 
 
-RANGE_SQL = """SELECT m.event_id AS mark_id, e.event_id FROM events e JOIN events m ON m.event_id % 10 = 0 AND e.event_type = m.event_type AND e.value > m.value AND e.value < m.value + 0.55"""
+RANGE_SQL = """SELECT m.event_id AS mark_id, e.event_id FROM events e JOIN events m ON e.event_type = m.event_type AND e.value > m.value AND e.value < m.value + 0.055"""
 
 
 def audit_rules(spark, sf_dir):
@@ -374,11 +378,11 @@ UNION ALL SELECT c_custkey, 'union' FROM customer WHERE c_custkey % 2 = 0 OR c_c
 def chained_lookup(spark, sf_dir):
     """Brand by likeness -> products -> barcodes, by chained semi joins."""
     m, p, c = (table(spark, sf_dir, t) for t in ("marcas", "produtos", "codigos"))
-    picked = p.join(m.where(F.col("nome").ilike("%an%")).select(F.col("id").alias("marca_id")), "marca_id", "left_semi")
+    picked = p.join(m.where(F.col("nome").ilike("%1%")).select(F.col("id").alias("marca_id")), "marca_id", "left_semi")
     return c.join(picked.select(F.col("id").alias("produto_id")), "produto_id", "left_semi").select("id", "codigo")
 
 
-CHAINED_SQL = f"{cte('marcas', 'produtos', 'codigos')} SELECT id, codigo FROM codigos WHERE produto_id IN (SELECT id FROM produtos WHERE marca_id IN (SELECT id FROM marcas WHERE nome ILIKE '%an%'))"
+CHAINED_SQL = f"{cte('marcas', 'produtos', 'codigos')} SELECT id, codigo FROM codigos WHERE produto_id IN (SELECT id FROM produtos WHERE marca_id IN (SELECT id FROM marcas WHERE nome ILIKE '%1%'))"
 
 
 def nested_record(spark, sf_dir):
