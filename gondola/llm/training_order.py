@@ -12,8 +12,8 @@ cuts and shards therefore depend on the table and the parameters alone, not on h
 split or how many partitions a shuffle has. Sequences that two partitions share are put together by
 an exchange of these alone. A DataFrame without files is first written in the order of doc_id.
 
-Ids are compressed in the blocks and in the exchange: as ranks by frequency in a sample of
-RANK_ROWS rows (any ids can be coded whatever the sample), common ones in one byte; the shards hold them plain.
+Ids are compressed in the blocks and in the exchange: as ranks by frequency in a sample,
+RANK_ROWS rows of each partition (any ids can be coded whatever the sample), common ones in one byte; the shards hold them plain.
 
 Defined cases: a null text is empty and adds the end id only; repeated rows are each in the
 stream; null ids stay null; an empty table gives no sequences and no shards. Only the named
@@ -40,8 +40,8 @@ SEQUENCE_TOKENS = 2048
 SHARD_LEAST, SHARD_MOST = 1024, 32_768
 #: Ids of a block of the stream.
 BLOCK_IDS = 1 << 18
-#: Rows whose ids' frequencies order the codes.
-RANK_ROWS = 2000
+#: Rows of each partition whose ids' frequencies order the codes.
+RANK_ROWS = 64
 KEY = 0x9E3779B97F4A7C15
 ROUNDS = 6
 END_ID = 1
@@ -109,19 +109,23 @@ _codecs: dict[bytes, Codec] = {}
 
 
 def codec_of(docs: DataFrame) -> Codec:
-    """A codec by the ids of some rows; known to plain_ids from then on."""
+    """A codec by the ids of each partition's first rows; known to plain_ids from then on."""
 
     def run(batches):
-        encode, n = worker_encoder().encode, np.zeros(1 << 16, np.int64)
-        for b in batches:
-            for text in b.column(0).to_pylist():
+        encode, n, left = worker_encoder().encode, np.zeros(1 << 16, np.int64), RANK_ROWS
+        for b in slices(batches, RANK_ROWS):
+            for text in b.column(0).slice(0, left).to_pylist():
                 n += np.bincount(np.frombuffer(encode(text or ""), "<u2"), minlength=1 << 16)
+            left -= b.num_rows
+            if left <= 0:
+                break
         seen = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(n[seen], pa.int64())], ["id", "n"])
 
     counts = np.zeros(1 << 16, np.int64)
-    for r in map_in_arrow(docs.select(F.col("text").cast("string")).limit(RANK_ROWS), run, "id long, n long").collect():
-        counts[r["id"]] += r["n"]
+    found = map_in_arrow(docs.select(F.col("text").cast("string")), run, "id long, n long")
+    for r in found.groupBy("id").agg(F.sum("n").alias("n")).collect():  # as many rows as the vocabulary at most
+        counts[r["id"]] = r["n"]
     codec = Codec(np.argsort(-counts, kind="stable"))
     return _codecs.setdefault(codec.key, codec)
 
