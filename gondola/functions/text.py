@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
@@ -149,12 +151,22 @@ def drop_conservation(text: Column) -> Column:
     return squeeze(F.regexp_replace(text, rf"(?i)\s*[•\-/,]?\s*(congelada|congelado|resfriada|resfriado){END}", ""))
 
 
-_MARKED, _PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
+def _foldings() -> dict[str, str]:
+    """Characters whose compatibility decomposition is one ASCII letter or digit, marks left out."""
+    plain = {c: re.sub("[\u0300-\u036f]", "", unicodedata.normalize("NFKD", c)) for c in map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x10000)))}
+    return {c: p for c, p in plain.items() if re.fullmatch("[A-Za-z0-9]", p)}
+
+
+_FOLDED = _foldings()
 
 
 def plain_words(text: Column) -> Column:
-    """Lower case without accents, anything but letters and digits a space."""
-    low = F.translate(F.lower(F.coalesce(text, F.lit(""))), _MARKED, _PLAIN)
+    """Lower case without accents (composed or combining), anything but letters and digits a space.
+
+    A character that decomposes into several letters (a ligature) becomes a space.
+    """
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0300-\u036f]", "")
+    low = F.lower(F.translate(bare, "".join(_FOLDED), "".join(_FOLDED.values())))
     return squeeze(F.regexp_replace(low, r"[^a-z0-9\s]", " "))
 
 

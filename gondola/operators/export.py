@@ -64,8 +64,24 @@ def image_source(local: Column, direct: Column, sitemap: Column, document: Colum
     )
 
 
+# Names under which stored rows may hold the weighing code and the time of creation, by falling priority.
+WEIGHING_CODE = ["tipo_codigo", "codigo", "pesar_cod"]
+CREATED = ["criado_em", "created_at", "criadoEm"]
+
+
+def _first_held(products: DataFrame, names: list[str], default: Column) -> Column:
+    """The first text among those of the named columns that the table has."""
+    held = [F.nullif(F.col(c).cast("string"), F.lit("")) for c in names if c in products.columns]
+    return F.coalesce(*held, default)
+
+
 def catalogue(products: DataFrame, brands: DataFrame, codes: DataFrame, files: DataFrame) -> DataFrame:
-    """Export rows of the products that have a 13-digit EAN; files(path, length) lists local images."""
+    """Export rows of the products that have a 13-digit EAN; files(path, length) lists local images.
+
+    Rows without a time of creation get the present one.
+    """
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    products = products.withColumns({"_weighing": _first_held(products, WEIGHING_CODE, F.lit("")), "_created": _first_held(products, CREATED, now)})
     named = brands.select(F.col("id").alias("marca_id"), F.col("nome").alias("marca_nome"))
     by_product = codes_by_product(codes).withColumnRenamed("produto_id", "id")
     local = files.where("length > 1000").select(F.regexp_extract("path", r"([0-9]{13})\.webp$", 1).alias("ean")).where("ean <> ''").distinct().withColumn("_local", F.lit(True))
@@ -84,13 +100,15 @@ def catalogue(products: DataFrame, brands: DataFrame, codes: DataFrame, files: D
         text.alias("produtoDescr"),
         "peso_gramas",
         F.coalesce("fracionado", F.lit(False)).alias("fracionado"),
+        F.col("_weighing").alias("pesarCod"),
+        F.col("_created").alias("criado_em"),
         F.col("_image.imagem_url").alias("imagemUrl"),
         F.col("_image.status_imagem").alias("statusImagem"),
     )
 
 
 #: Names under which the published file repeats a column.
-ALIASES = {"marcaNome": "marcaDescr", "marca_nome": "marcaDescr", "sku": "produtoEan", "title": "produtoDescr", "descricao": "produtoDescr", "imagem_url": "imagemUrl", "status_imagem": "statusImagem"}
+ALIASES = {"marcaNome": "marcaDescr", "marca_nome": "marcaDescr", "sku": "produtoEan", "title": "produtoDescr", "descricao": "produtoDescr", "imagem_url": "imagemUrl", "status_imagem": "statusImagem", "criadoEm": "criado_em"}
 
 
 def with_aliases(rows: DataFrame) -> DataFrame:
@@ -129,3 +147,35 @@ def sheet_rows(products: DataFrame, brands: DataFrame, codes: DataFrame) -> Data
         F.when(F.col("fracionado"), F.lit("Sim")).otherwise(F.lit("Não")).alias("fracionado"),
         F.coalesce("codigos", F.lit("Sem código")).alias("codigos"),
     )
+
+
+def code_rows(products: DataFrame, codes: DataFrame) -> DataFrame:
+    """Rows of the spreadsheet of codes: the product's name beside each code, missing values empty."""
+    named = products.select(F.col("id").alias("produto_id"), F.col("descricao_padronizada").alias("produto"))
+    empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in codes.columns else F.lit("").alias(c)
+    return codes.join(named, "produto_id", "left").select("id", "produto_id", F.coalesce("produto", F.lit("")).alias("produto"), "tipo", "codigo", empty("embalagem"), empty("quantidade_embalagem"), empty("criado_em"))
+
+
+def image_subset(rows: DataFrame, files: DataFrame, tokens: list[str], family: str) -> DataFrame:
+    """Of export rows, those of a family of brands (by parts of their names) that have a local file or a web address.
+
+    files(path) lists local images, named by their EAN; empty values are labelled.
+    """
+    brand = F.btrim(F.coalesce("marcaDescr", F.lit("")))
+    member = F.exists(F.array(*map(F.lit, tokens)), lambda t: F.contains(F.lower(brand), t))
+    local = files.select(F.regexp_extract("path", r"([0-9]+)\.webp$", 1).alias("produtoEan")).where("produtoEan <> ''").distinct().withColumn("_local", F.lit(True))
+    joined = rows.where(member).join(local, "produtoEan", "left").withColumn("_local", F.coalesce("_local", F.lit(False)))
+    url = F.btrim(F.coalesce("imagemUrl", F.lit("")))
+    shown = lambda c, label: text_or(F.col(c), F.lit(label))
+    return joined.where(F.col("_local") | url.startswith("http")).select(
+        text_or(F.col("id"), F.col("produtoEan")).alias("id"),
+        F.col("produtoEan").alias("ean"),
+        shown("produtoDun", "N/D").alias("dun"),
+        text_or(brand, F.lit(family)).alias("marca"),
+        shown("produtoDescr", "N/D").alias("descricao"),
+        shown("produtoClasse", "Industrializados").alias("classe"),
+        shown("produtoConservacao", "Resfriado").alias("conservacao"),
+        F.when(F.col("_local"), F.concat(F.lit("/imagens_produtos/"), F.col("produtoEan"), F.lit(".webp"))).otherwise(url).alias("imagem"),
+        F.lit("VALIDATED").alias("status"),
+        F.when(F.col("_local"), F.lit("WebP Local (0ms offline)")).otherwise(F.lit("URL Web Oficial")).alias("origem"),
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from gondola.functions.barcode import has_digits, is_digits
 from gondola.functions.web import host, origin_class
@@ -98,3 +99,41 @@ def duration(seconds: Column) -> Column:
     minutes = F.floor(seconds / 60)
     rest = F.format_string("%.2f s", seconds - minutes * 60)
     return F.when(minutes > 0, F.concat(minutes.cast("string"), F.lit(" min "), rest)).otherwise(rest)
+
+
+def numbered(rows: DataFrame, group: Column, order: str, name: str, step: int = 1 << 16) -> DataFrame:
+    """rows with their number (1, 2, …) in each group, by an integer column.
+
+    Stretches of the order are counted first, so a task sorts one stretch of a group and never a whole one.
+    """
+    cut = rows.withColumns({"_group": group, "_stretch": F.floor(F.col(order) / step)})
+    counts = cut.groupBy("_group", "_stretch").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_group").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(F.col("_group").alias("_g"), F.col("_stretch").alias("_s"), before.alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_group", "_stretch").orderBy(order))
+    joined = cut.withColumn("_inside", inside).join(starts, F.col("_group").eqNullSafe(F.col("_g")) & F.col("_stretch").eqNullSafe(F.col("_s")))
+    return joined.withColumn(name, (F.col("_before") + F.col("_inside")).cast("int")).drop("_group", "_stretch", "_g", "_s", "_before", "_inside")
+
+
+#: So many rows of each log are shown.
+HEAD = 8
+
+
+def run_report(stages: DataFrame, holdings: DataFrame, brands: DataFrame, products: DataFrame, codes: DataFrame, exported: DataFrame, new: DataFrame, changed: DataFrame) -> DataFrame:
+    """section, name, value: stages(name, status, seconds), totals, the holdings' status, and the heads of both logs(id, name)."""
+    part = lambda df, section, label, value: df.select(F.lit(section).alias("section"), label.cast("string").alias("name"), value.cast("string").alias("value"))
+    count = lambda df, what: part(df.agg(F.count(F.lit(1)).alias("n")), "total", F.lit(what), F.col("n"))
+    share = lambda n: F.format_string("%d (%.2f%%)", n, percent(n, F.col("total")))
+    out = exported.select("id", F.lit(1).alias("_out")).distinct()
+    sums = products.select("id").join(out, "id", "left").agg(F.count(F.lit(1)).alias("total"), F.count("_out").alias("approved"))
+    pending = F.col("total") - F.col("approved")
+    report = part(stages, "stage", F.col("name"), F.concat_ws(" ", "status", duration(F.col("seconds"))))
+    report = report.unionByName(part(sums, "total", F.lit("products"), F.col("total")))
+    report = report.unionByName(part(sums, "total", F.lit("approved"), share(F.col("approved")))).unionByName(part(sums, "total", F.lit("pending"), share(pending)))
+    for df, what in ((holdings, "holdings"), (brands, "brands"), (codes, "codes")):
+        report = report.unionByName(count(df, what))
+    status = holding_status(holdings, brands, products, exported)
+    report = report.unionByName(part(status, "holding", F.col("nome"), F.format_string("%d | %d (%.2f%%) | %s", "total", "exported", "pct", "marcas")))
+    for log, what in ((new, "new"), (changed, "changed")):
+        report = report.unionByName(count(log, what)).unionByName(part(log.orderBy("id").limit(HEAD), what, F.col("id"), F.col("name")))
+    return report

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from gondola.functions.barcode import ean13_of_table, is_digits
-from gondola.operators import audit, cdc, dedup, export, match, merge
+from gondola.operators import audit, cdc, dedup, export, match, merge, reports
 from gondola.plans.demo import cte, table
 from gondola.plans.scalars import _read, _with_check
 from gondola.schemas import RULES, violations
@@ -220,19 +219,19 @@ def audit_rules(spark, sf_dir):
     return audit.audit(table(spark, sf_dir, "produtos"), table(spark, sf_dir, "codigos"))
 
 
-_CODE = "SELECT '{0}' AS category, '{1}' AS severity, id AS item_id FROM n WHERE {2}"
+_CODE = "SELECT '{0}' AS category, '{1}' AS severity, id AS item_id, {3} AS details FROM n WHERE {2}"
 _BAR = "tipo IN ('EAN', 'EAN-13', 'EAN-8', 'DUN', 'DUN-14')"
-AUDIT_SQL = f"""{cte("produtos", "codigos")}, n AS (SELECT *, row_number() OVER (PARTITION BY trim(codigo) ORDER BY ordinal) AS nth FROM codigos),
-h AS (SELECT produto_id, bool_or(upper(tipo) LIKE '%EAN%' AND regexp_matches(codigo, '^[0-9]+$')) AS ean FROM codigos GROUP BY 1)
-SELECT 'PRODUTO_SEM_CODIGO' AS category, 'CRITICAL' AS severity, id AS item_id FROM produtos WHERE id NOT IN (SELECT produto_id FROM h)
-UNION ALL SELECT 'PRODUTO_SEM_EAN_NUMERICO', 'CRITICAL', produto_id FROM h WHERE NOT ean
-UNION ALL SELECT 'DESCRICAO_INVALIDA', 'WARNING', id FROM produtos WHERE coalesce(descricao_padronizada, '') = ''
-UNION ALL SELECT 'OBJECT_OBJECT_LEAK', 'CRITICAL', id FROM produtos WHERE contains(descricao_padronizada, '[object Object]')
-UNION ALL SELECT 'PESO_GRAMAS_ANOMALO', 'WARNING', id FROM produtos WHERE peso_gramas <= 0
-UNION ALL {_CODE.format("CODIGO_DUPLICADO", "CRITICAL", "nth > 1")}
-UNION ALL {_CODE.format("EAN_NAO_NUMERICO", "CRITICAL", _BAR + " AND NOT regexp_matches(codigo, '^[0-9]+$')")}
-UNION ALL {_CODE.format("EAN_TAMANHO_INVALIDO", "WARNING", _BAR + " AND regexp_matches(codigo, '^[0-9]+$') AND length(codigo) NOT BETWEEN 8 AND 14")}
-UNION ALL {_CODE.format("SLUG_LEAK_EM_CODIGO", "CRITICAL", "regexp_matches(codigo, '^[a-zA-Z_]') AND tipo <> 'SKU'")}"""
+AUDIT_SQL = f"""{cte("produtos", "codigos")}, n AS (SELECT *, row_number() OVER (PARTITION BY trim(codigo) ORDER BY ordinal) AS nth, first_value(produto_id) OVER (PARTITION BY trim(codigo) ORDER BY ordinal) AS f FROM codigos),
+h AS (SELECT produto_id, bool_or(upper(tipo) LIKE '%EAN%' AND regexp_matches(codigo, '^[0-9]+$')) AS ean, string_agg(concat(tipo, ':', codigo), ', ' ORDER BY ordinal) AS c FROM codigos GROUP BY 1)
+SELECT 'PRODUTO_SEM_CODIGO' AS category, 'CRITICAL' AS severity, id AS item_id, concat('Produto "', descricao_original, '" (', id, ') não possui NENHUM código de barras cadastrado.') AS details FROM produtos WHERE id NOT IN (SELECT produto_id FROM h)
+UNION ALL SELECT 'PRODUTO_SEM_EAN_NUMERICO', 'CRITICAL', produto_id, concat('Produto "', descricao_original, '" (', id, ') possui códigos [', c, '], mas NENHUM EAN numérico válido!') FROM h JOIN produtos ON id = produto_id WHERE NOT ean
+UNION ALL SELECT 'DESCRICAO_INVALIDA', 'WARNING', id, concat('descricao_padronizada não é uma string válida: ', CASE WHEN descricao_padronizada = '' THEN '""' ELSE 'null' END) FROM produtos WHERE coalesce(descricao_padronizada, '') = ''
+UNION ALL SELECT 'OBJECT_OBJECT_LEAK', 'CRITICAL', id, concat('descricao_padronizada contém a string corrompida "[object Object]": "', descricao_padronizada, '"') FROM produtos WHERE contains(descricao_padronizada, '[object Object]')
+UNION ALL SELECT 'PESO_GRAMAS_ANOMALO', 'WARNING', id, concat('peso_gramas tem valor anormal: ', peso_gramas) FROM produtos WHERE peso_gramas <= 0
+UNION ALL {_CODE.format("CODIGO_DUPLICADO", "CRITICAL", "nth > 1", """concat('Código "', codigo, '" está duplicado entre produto ', produto_id, ' e produto ', f, '.')""")}
+UNION ALL {_CODE.format("EAN_NAO_NUMERICO", "CRITICAL", _BAR + " AND NOT regexp_matches(codigo, '^[0-9]+$')", """concat('Código de barras tipo "', tipo, '" contém caracteres não-numéricos: "', codigo, '" (produto_id: ', produto_id, ')')""")}
+UNION ALL {_CODE.format("EAN_TAMANHO_INVALIDO", "WARNING", _BAR + " AND regexp_matches(codigo, '^[0-9]+$') AND length(codigo) NOT BETWEEN 8 AND 14", """concat('Código de barras tipo "', tipo, '" tem tamanho fora do padrão (', length(codigo), ' dígitos): "', codigo, '" (produto_id: ', produto_id, ')')""")}
+UNION ALL {_CODE.format("SLUG_LEAK_EM_CODIGO", "CRITICAL", "regexp_matches(codigo, '^[a-zA-Z_]') AND tipo <> 'SKU'", """concat('Código marcado como ', tipo, ' é uma string alfanumérica/slug: "', codigo, '"')""")}"""
 
 
 def audit_summary(spark, sf_dir):
@@ -278,18 +277,25 @@ def tenant_rows(spark, sf_dir):
     made = audit.profiles_of_users(users).select(F.concat_ws("/", "id", "nome", "role").alias("name"), F.lit("made").alias("what"))
     mine = audit.tenant_view(n, "t1").select(F.col("n_name").alias("name"), F.lit("mine").alias("what"))
     every = audit.tenant_view(n, None, superadmin=True).select(F.col("n_name").alias("name"), F.lit("all").alias("what"))
+    tag = lambda df, what: df.select(F.col("n_name").alias("name"), F.lit(what).alias("what"))
+    seen = tag(audit.catalogue_view(n, True), "read").unionByName(tag(audit.catalogue_view(n, False), "anonymous"))
+    renamed = n.where("n_nationkey < 3").withColumn("n_name", F.lower("n_name"))
+    written = tag(audit.catalogue_write(n, renamed, True, "n_nationkey"), "written").unionByName(tag(audit.catalogue_write(n, renamed, False, "n_nationkey"), "refused"))
     edit = audit.may_update_profile(people, "none", "t2", "admin").select(F.col("id").alias("name"), F.lit("edit").alias("what"))
-    return mine.unionByName(every).unionByName(edit).unionByName(made)
+    return mine.unionByName(every).unionByName(edit).unionByName(made).unionByName(seen).unionByName(written)
 
 
 TENANT_SQL = """SELECT n_name AS name, 'mine' AS what FROM nation WHERE n_regionkey = 1 UNION ALL SELECT n_name, 'all' FROM nation UNION ALL SELECT c_name, 'edit' FROM customer WHERE c_nationkey % 5 = 2
-UNION ALL SELECT CASE WHEN c_name LIKE '%1' THEN concat(c_name, '/N/admin') ELSE concat(c_name, '/', c_name, '/operador') END, 'made' FROM customer"""
+UNION ALL SELECT CASE WHEN c_name LIKE '%1' THEN concat(c_name, '/N/admin') ELSE concat(c_name, '/', c_name, '/operador') END, 'made' FROM customer
+UNION ALL SELECT n_name, 'read' FROM nation UNION ALL SELECT CASE WHEN n_nationkey < 3 THEN lower(n_name) ELSE n_name END, 'written' FROM nation UNION ALL SELECT n_name, 'refused' FROM nation"""
 
 
 def export_catalogue(spark, sf_dir):
     p, m, c = (table(spark, sf_dir, t) for t in ("produtos", "marcas", "codigos"))
     files = _read(spark, sf_dir, "part").select(F.concat(F.lit("/img/790"), F.lpad(F.col("p_partkey").cast("string"), 10, "0"), F.lit(".webp")).alias("path"), (F.col("p_partkey") % 3 * 600).alias("length"))
-    return export.with_aliases(export.catalogue(p, m, c, files)).withColumn("peso_gramas", F.col("peso_gramas").cast("string"))
+    held = {"criado_em": F.concat(F.lit("2024-01-"), F.lpad((F.col("ordinal") % 28 + 1).cast("string"), 2, "0")), "codigo": F.when(F.col("ordinal") % 3 == 0, F.col("classe")).when(F.col("ordinal") % 3 == 1, F.lit(""))}
+    held["pesar_cod"] = F.when(F.col("ordinal") % 2 == 0, F.lit("P"))
+    return export.with_aliases(export.catalogue(p.withColumns(held), m, c, files)).withColumn("peso_gramas", F.col("peso_gramas").cast("string"))
 
 
 EXPORT_SQL = f"""{cte("produtos", "marcas", "codigos")}, k AS (SELECT *, CASE WHEN regexp_matches(codigo, '^[0-9]{{14}}$') THEN 'DUN' WHEN upper(tipo) LIKE '%DUN%' AND regexp_matches(codigo, '^[0-9]+$') THEN NULL
@@ -301,7 +307,8 @@ s AS (SELECT *, CASE WHEN bad THEN 'sem_imagem' ELSE coalesce(status_imagem, 'se
 t AS (SELECT *, CASE WHEN st = 'sem_imagem' THEN NULL WHEN loc THEN concat('/imagens_produtos/', ean, '.webp') WHEN coalesce(imagem_url, '') = '' OR st = 'pendente_aprovacao' THEN NULL ELSE imagem_url END AS img,
   CASE WHEN st = 'sem_imagem' THEN st WHEN loc THEN st WHEN coalesce(imagem_url, '') = '' OR st = 'pendente_aprovacao' THEN 'sem_imagem' ELSE st END AS stat, coalesce(descricao_padronizada, descricao_original) AS descr FROM s)
 SELECT id, marca_id AS "marcaId", coalesce(nome, 'N/D') AS "marcaDescr", classe AS "produtoClasse", ean AS "produtoEan", coalesce(dun, '') AS "produtoDun", conservacao AS "produtoConservacao", descr AS "produtoDescr", CAST(peso_gramas AS VARCHAR) AS peso_gramas, fracionado,
- img AS "imagemUrl", stat AS "statusImagem", coalesce(nome, 'N/D') AS "marcaNome", coalesce(nome, 'N/D') AS marca_nome, ean AS sku, descr AS title, descr AS descricao, img AS imagem_url, stat AS status_imagem FROM t"""
+ img AS "imagemUrl", stat AS "statusImagem", coalesce(nome, 'N/D') AS "marcaNome", coalesce(nome, 'N/D') AS marca_nome, ean AS sku, descr AS title, descr AS descricao, img AS imagem_url, stat AS status_imagem,
+ CASE WHEN ordinal % 3 = 0 THEN classe WHEN ordinal % 2 = 0 THEN 'P' ELSE '' END AS "pesarCod", concat('2024-01-', lpad(CAST(ordinal % 28 + 1 AS VARCHAR), 2, '0')) AS criado_em, concat('2024-01-', lpad(CAST(ordinal % 28 + 1 AS VARCHAR), 2, '0')) AS "criadoEm" FROM t"""
 
 
 def unpivot_codes(spark, sf_dir):
@@ -323,6 +330,27 @@ SELECT p.id, coalesce(nome, 'N/D') AS marca, coalesce(nullif(descricao_padroniza
  CASE WHEN fracionado THEN 'Sim' ELSE 'Não' END AS fracionado, coalesce(l.c, 'Sem código') AS codigos FROM produtos p LEFT JOIN marcas m ON m.id = p.marca_id LEFT JOIN l ON l.produto_id = p.id"""
 
 
+def code_sheet(spark, sf_dir):
+    packed = table(spark, sf_dir, "codigos").withColumns({"embalagem": F.when(F.col("tipo") == "DUN-14", F.lit("Caixa")), "quantidade_embalagem": F.when(F.col("ordinal") % 2 == 0, F.lit(12))})
+    return export.code_rows(table(spark, sf_dir, "produtos"), packed)
+
+
+CODE_SHEET_SQL = f"""{cte("produtos", "codigos")} SELECT c.id, produto_id, coalesce(descricao_padronizada, '') AS produto, tipo, codigo, CASE WHEN tipo = 'DUN-14' THEN 'Caixa' ELSE '' END AS embalagem,
+ CASE WHEN c.ordinal % 2 = 0 THEN '12' ELSE '' END AS quantidade_embalagem, '' AS criado_em FROM codigos c LEFT JOIN produtos p ON p.id = produto_id"""
+
+
+def image_subset(spark, sf_dir):
+    """Exported products of some brands that have an image."""
+    files = _read(spark, sf_dir, "part").where("p_partkey % 7 = 6").select(F.concat(F.lit("/x/790"), F.lpad(F.col("p_partkey").cast("string"), 10, "0"), F.lit(".webp")).alias("path"))
+    return export.image_subset(export_catalogue(spark, sf_dir), files, ["united", "an", "ro"], "Family")
+
+
+IMAGE_SUBSET_SQL = f"""WITH e AS ({EXPORT_SQL}), f AS (SELECT concat('790', lpad(CAST(p_partkey AS VARCHAR), 10, '0')) AS ean FROM part WHERE p_partkey % 7 = 6),
+j AS (SELECT e.*, f.ean IS NOT NULL AS loc, coalesce("imagemUrl", '') AS u FROM e LEFT JOIN f ON f.ean = "produtoEan" WHERE regexp_matches(lower("marcaDescr"), 'united|an|ro'))
+SELECT id, "produtoEan" AS ean, coalesce(nullif("produtoDun", ''), 'N/D') AS dun, "marcaDescr" AS marca, coalesce(nullif("produtoDescr", ''), 'N/D') AS descricao, coalesce(nullif("produtoClasse", ''), 'Industrializados') AS classe, "produtoConservacao" AS conservacao,
+ CASE WHEN loc THEN concat('/imagens_produtos/', "produtoEan", '.webp') ELSE u END AS imagem, 'VALIDATED' AS status, CASE WHEN loc THEN 'WebP Local (0ms offline)' ELSE 'URL Web Oficial' END AS origem FROM j WHERE loc OR u LIKE 'http%'"""
+
+
 def image_sources(spark, sf_dir):
     pa = _read(spark, sf_dir, "part")
     s = lambda m, r, text: F.when(F.col("p_partkey") % m == r, F.concat(F.lit(text), F.col("p_partkey")))
@@ -403,7 +431,7 @@ FROM codigos c LEFT JOIN produtos p ON p.id = c.produto_id LEFT JOIN marcas m ON
 def numbered_pending(spark, sf_dir):
     """Numbered list of the products whose image waits, by id."""
     p = table(spark, sf_dir, "produtos").where("status_imagem = 'pendente_aprovacao'")
-    return p.withColumn("_group", F.substring("id", 1, 6)).select("id", F.row_number().over(Window.partitionBy("_group").orderBy("ordinal")).alias("item"), F.col("_group").alias("grupo"))
+    return reports.numbered(p, F.substring("id", 1, 6), "ordinal", "item", step=100).select("id", "item", F.substring("id", 1, 6).alias("grupo"))
 
 
 PENDING_SQL = f"{cte('produtos')} SELECT id, CAST(row_number() OVER (PARTITION BY substr(id, 1, 6) ORDER BY ordinal) AS INTEGER) AS item, substr(id, 1, 6) AS grupo FROM produtos WHERE status_imagem = 'pendente_aprovacao'"
@@ -433,6 +461,8 @@ QUERIES = {
     "export_catalogue": (export_catalogue, EXPORT_SQL),
     "unpivot_codes": (unpivot_codes, UNPIVOT_SQL),
     "sheet_rows": (sheet_rows, SHEET_SQL),
+    "code_sheet": (code_sheet, CODE_SHEET_SQL),
+    "image_subset": (image_subset, IMAGE_SUBSET_SQL),
     "image_sources": (image_sources, IMAGE_SOURCES_SQL),
     "filters": (filters, FILTERS_SQL),
     "set_operations": (set_operations, SET_SQL),

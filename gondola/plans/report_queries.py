@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gondola.operators import export, reports
+from gondola.operators import cdc, export, reports
 from gondola.plans.demo import cte, table
-from gondola.plans.relational import EXPORT_SQL, export_catalogue
+from gondola.plans.relational import DIFF_SQL, EXPORT_SQL, export_catalogue
 from gondola.plans.scalars import _read, _uuid_sql
 from gondola.plans.sync import Staging, prepare, sync
 
@@ -110,12 +110,26 @@ SELECT ean, id FROM produtos JOIN e ON e.produto_id = id WHERE imagem_url IS NUL
 
 
 def run_report(spark, sf_dir):
-    """Stage timings with durations as text."""
+    """A stage for every order, the totals, the holdings, and the heads of the new and changed products."""
+    f, m, p, c, a = (table(spark, sf_dir, t) for t in ("fabricantes", "marcas", "produtos", "codigos", "antes"))
     o = _read(spark, sf_dir, "orders")
-    return o.select("o_orderkey", reports.duration(F.floor("o_totalprice").cast("double") / 100).alias("duration"))
-
-
-RUN_SQL = """SELECT o_orderkey, CASE WHEN s >= 60 THEN concat(CAST(floor(s / 60) AS BIGINT), ' min ', printf('%.2f s', s - floor(s / 60) * 60)) ELSE printf('%.2f s', s) END AS duration FROM (SELECT o_orderkey, floor(o_totalprice) / 100 AS s FROM orders)"""
+    stages = o.select(F.col("o_orderkey").alias("name"), F.col("o_orderstatus").alias("status"), (F.floor("o_totalprice").cast("double") / 100).alias("seconds"))
+    named = lambda d: d.join(p.select("id", F.col("descricao_original").alias("name")), "id")
+    new, changed = named(cdc.new_rows(p, a).select("id")), named(cdc.field_changes(p, a).select("id"))
+    return reports.run_report(stages, f, m, p, c, export_catalogue(spark, sf_dir), new, changed)
+
+
+RUN_SQL = f"""WITH e AS ({EXPORT_SQL}), hs AS ({HOLDING_SQL}), df AS ({DIFF_SQL}), {cte("fabricantes", "marcas", "produtos", "codigos", "antes").removeprefix("WITH ")},
+s AS (SELECT o_orderkey, o_orderstatus, floor(o_totalprice) / 100 AS s FROM orders), t AS (SELECT count(*) AS total, count(e.id) AS approved FROM produtos p LEFT JOIN e ON e.id = p.id),
+nw AS (SELECT id, descricao_original AS name FROM produtos WHERE id NOT IN (SELECT id FROM antes)), ch AS (SELECT id, descricao_original AS name FROM produtos WHERE id IN (SELECT id FROM df))
+SELECT 'stage' AS section, CAST(o_orderkey AS VARCHAR) AS name, concat(o_orderstatus, ' ', CASE WHEN s >= 60 THEN concat(CAST(floor(s / 60) AS BIGINT), ' min ', printf('%.2f s', s - floor(s / 60) * 60)) ELSE printf('%.2f s', s) END) AS value FROM s
+UNION ALL SELECT 'total', 'products', CAST(total AS VARCHAR) FROM t
+UNION ALL SELECT 'total', 'approved', concat(approved, printf(' (%.2f%%)', {_pct("approved", "total")})) FROM t
+UNION ALL SELECT 'total', 'pending', concat(total - approved, printf(' (%.2f%%)', {_pct("(total - approved)", "total")})) FROM t
+UNION ALL SELECT 'total', 'holdings', CAST(count(*) AS VARCHAR) FROM fabricantes UNION ALL SELECT 'total', 'brands', CAST(count(*) AS VARCHAR) FROM marcas UNION ALL SELECT 'total', 'codes', CAST(count(*) AS VARCHAR) FROM codigos
+UNION ALL SELECT 'holding', nome, concat(total, ' | ', exported, printf(' (%.2f%%)', pct), ' | ', marcas) FROM hs
+UNION ALL SELECT 'total', 'new', CAST(count(*) AS VARCHAR) FROM nw UNION ALL SELECT 'total', 'changed', CAST(count(*) AS VARCHAR) FROM ch
+UNION ALL (SELECT 'new', id, name FROM nw ORDER BY id LIMIT 8) UNION ALL (SELECT 'changed', id, name FROM ch ORDER BY id LIMIT 8)"""
 
 
 def verified_sample(spark, sf_dir):

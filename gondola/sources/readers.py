@@ -65,10 +65,23 @@ def new_product_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.NEW_PRODUCTS).option("multiLine", True).json(path)
 
 
+def _manifest(spark: SparkSession, path: str) -> DataFrame:
+    held = "array<struct<id:string,nome:string,marcas:array<string>,aliases_scraper:array<string>>>"
+    rows = spark.read.schema(f"manifesto_holdings {held}, holdings {held}, manifesto_aliases map<string,string>").option("multiLine", True).json(path)
+    return rows.select(F.coalesce("manifesto_holdings", "holdings").alias("holdings"), F.col("manifesto_aliases").alias("aliases"))
+
+
 def manifest_brands(spark: SparkSession, path: str) -> DataFrame:
     """Brand names declared in a manifest: holding, brand."""
-    rows = spark.read.schema("holdings array<struct<nome:string,marcas:array<string>>>").option("multiLine", True).json(path)
-    return rows.select(F.inline("holdings")).select(F.col("nome").alias("holding"), F.explode("marcas").alias("marca"))
+    return _manifest(spark, path).select(F.inline("holdings")).select(F.col("nome").alias("holding"), F.explode("marcas").alias("marca"))
+
+
+def manifest_aliases(spark: SparkSession, path: str) -> DataFrame:
+    """alias, meaning, holding: the manifest's commands (no holding) and those of its holdings' scrapers (no meaning)."""
+    rows, none = _manifest(spark, path), F.lit(None).cast("string")
+    shared = rows.select(F.explode("aliases").alias("alias", "meaning")).withColumn("holding", none)
+    own = rows.select(F.inline("holdings")).select(F.explode("aliases_scraper").alias("alias"), none.alias("meaning"), F.col("nome").alias("holding"))
+    return shared.unionByName(own)
 
 
 def image_files(spark: SparkSession, folder: str, glob: str = "*.webp") -> DataFrame:

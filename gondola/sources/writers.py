@@ -47,6 +47,12 @@ def write_sheets(rows: DataFrame, group: str, path: str) -> None:
     rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("header", True).csv(f"{path}/summary")
 
 
+def write_workbook(path: str, sheets: dict[str, DataFrame]) -> None:
+    """One CSV folder a sheet, of any columns (products and codes of a supplier, a subset), in the order given."""
+    for name, rows in sheets.items():
+        rows.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+
+
 def wipe(tables: dict[str, DataFrame], path: str) -> None:
     """Empty tables of the same schemas, children first."""
     for name, df in reversed(list(tables.items())):

@@ -92,3 +92,17 @@ def test_wiped_tables_fill_again(spark, tmp_path):
     assert all(spark.read.schema(df.schema).parquet(f"{tmp_path}/{name}").count() == 0 for name, df in tables.items())
     writers.write_tables(str(tmp_path), **tables)
     assert all(spark.read.parquet(f"{tmp_path}/{name}").collect() == df.collect() for name, df in tables.items())
+
+
+def test_manifest_aliases(spark, tmp_path):
+    held = [{"id": "h", "nome": "H", "marcas": ["A"], "aliases_scraper": ["run-h"]}]
+    (tmp_path / "m.json").write_text(json.dumps({"manifesto_holdings": held, "manifesto_aliases": {"run": "all"}}))
+    assert sorted(map(tuple, readers.manifest_aliases(spark, f"{tmp_path}/m.json").collect())) == [("run", "all", None), ("run-h", None, "H")]
+    assert [tuple(r) for r in readers.manifest_brands(spark, f"{tmp_path}/m.json").collect()] == [("H", "A")]
+
+
+def test_workbook(spark, tmp_path):
+    products, codes = spark.createDataFrame([("p", "x")], "id string, nome string"), spark.createDataFrame([("c", "p", "1")], "id string, produto_id string, codigo string")
+    writers.write_workbook(str(tmp_path), {"Produtos": products, "EAN-DUN": codes})
+    assert spark.read.option("header", True).csv(f"{tmp_path}/EAN-DUN").collect() == codes.collect()
+    assert spark.read.option("header", True).csv(f"{tmp_path}/Produtos").collect() == products.collect()

@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from gondola.functions import text
 from gondola.operators import audit, cdc, dedup, export, match, merge, reports
 from gondola.plans.sync import sync
 from gondola.sources import readers, writers
@@ -101,3 +102,24 @@ def test_snapshot_stream_equals_batch(spark, tmp_path):
         snapshots.merge_stream(spark.readStream.schema(schema).parquet(source), store, check, "id", ["n"]).awaitTermination(120)
     got = {r["id"]: r["v"] for r in snapshots.current(spark, store, schema).collect()}
     assert got == {1: "c", 2: "d", 3: "e"}
+
+
+def test_duplicates_name_their_first_owner(spark):
+    rows = [(k, f"c{k}", f"p{k}", "SKU", code) for k, code in enumerate([" 1 ", None, "1", "", "2", None, "1"])]
+    c = spark.createDataFrame(rows, "ordinal long, id string, produto_id string, tipo string, codigo string")
+    p = spark.createDataFrame([], "id string, descricao_padronizada string, descricao_original string, peso_gramas long")
+    found = {r["item_id"]: r["details"] for r in audit.audit(p, c).where("category = 'CODIGO_DUPLICADO'").collect()}
+    assert set(found) == {"c2", "c6", "c3", "c5"}
+    assert found["c6"].endswith("produto p6 e produto p0.") and found["c5"].endswith("produto p5 e produto p1.")
+
+
+def test_numbers_do_not_depend_on_stretches(spark):
+    rows = spark.createDataFrame([(k * 7 % 101, "a" if k % 3 else None) for k in range(101)], "o long, g string")
+    runs = [sorted(map(tuple, reports.numbered(rows, F.col("g"), "o", "n", step).collect()), key=repr) for step in (1, 10, 1000)]
+    assert runs[0] == runs[1] == runs[2]
+    assert sorted(n for _, g, n in runs[0] if g is None) == list(range(1, 35))
+
+
+def test_words_lose_every_accent(spark):
+    df = spark.createDataFrame([("Pa\u0303o ÁÇÃO ＡＢ² ě ß",)], "t string")
+    assert df.select(text.plain_words(F.col("t")).alias("t")).first()["t"] == "pao acao ab2 e"
