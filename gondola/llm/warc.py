@@ -198,4 +198,6 @@ def assemble(records: DataFrame) -> DataFrame:
     )
     captures = main.join(beside("request"), "record_id", "left").join(beside("metadata", F.col("page_id")), "record_id", "left")
     keepers = beside("metadata", F.col("page_id").alias("refers_to_page")).select(F.col("record_id").alias("_keeper"), "refers_to_page")
-    return captures.join(keepers, F.col("response.refers_to") == F.col("_keeper"), "left").drop("_keeper")
+    # records that refer to none meet nothing under a key of their own: as nulls they would all lie in one partition
+    target = F.coalesce("response.refers_to", F.concat(F.lit("none of "), F.col("record_id")))
+    return captures.join(keepers, target == F.col("_keeper"), "left").drop("_keeper")
