@@ -26,11 +26,14 @@ from pyspark.sql import functions as F
 from gondola.llm.common import connected_components, map_in_arrow, materialise
 
 COSINE = 0.95
-#: Vectors in a block on average: two blocks of doubles and a strip of their products fit a task easily.
-BLOCK_ROWS = 8192
+#: Bytes of a block at most: two of them, a few copies and a strip of their products fit a task.
+BLOCK_BYTES = 32 << 20
+#: Pairs of blocks for each core while blocks are smaller than that.
+PAIRS_PER_CORE = 3
 #: At most so many pivots, all of a bounded sample.
 MAX_PIVOTS = 256
-_STRIP = 512
+#: So many products are held at once.
+_STRIP_CELLS = 1 << 22
 
 
 def unit_rows(values: list) -> tuple[np.ndarray, np.ndarray]:
@@ -57,59 +60,70 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2 - 2 * (x @ pivots.T)))
 
 
-def _forest(hits: np.ndarray, rows: np.ndarray, cols: np.ndarray, root: dict) -> None:
-    """Join the row and column ids of the hits into trees; root: id -> parent, the smaller id above."""
+def _join(parent: np.ndarray, row: int, cols: np.ndarray) -> None:
+    """Put a row and all columns that it hits under one root, in arrays: never one by one."""
+    at = np.append(cols, row)
+    top = parent[at]
+    while True:
+        above = parent[top]
+        if np.array_equal(above, top):
+            break
+        top = above
+    low = top.min()
+    parent[top] = low
+    parent[at] = low
 
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
 
-    for r in np.flatnonzero(hits.any(axis=1)):
-        mine = rows[r]
-        root.setdefault(mine, mine)
-        found = cols[hits[r]]
-        tops = {find(i) if i in root else root.setdefault(i, i) for i in found.tolist()} | {find(mine)}
-        low = min(tops)
-        for t in tops:
-            root[t] = low
-
-
-def compare(left: tuple, right: tuple | None, cosine: float) -> tuple[dict, dict]:
-    """Links of two blocks (ids, unit vectors), or within one: links by id, parent by id."""
+def compare(left: tuple, right: tuple | None, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Links of two blocks (ids, unit vectors), or within one: the ids that link, their links, and the smallest id of each one's tree."""
     ids, x = left
     other_ids, y = right or left
-    n, m, root = np.zeros(len(ids), np.int64), np.zeros(len(other_ids), np.int64), {}
-    for at in range(0, len(ids), _STRIP):
-        hits = x[at : at + _STRIP] @ y.T >= cosine
+    every = ids if right is None else np.concatenate([ids, other_ids])
+    shift = 0 if right is None else len(ids)
+    n, parent = np.zeros(len(every), np.int64), np.arange(len(every))
+    strip = max(1, _STRIP_CELLS // max(1, len(other_ids)))
+    for at in range(0, len(ids), strip):
+        hits = x[at : at + strip] @ y.T >= cosine
         if right is None:
             hits[np.arange(len(hits)), at + np.arange(len(hits))] = False
-        n[at : at + len(hits)] += hits.sum(axis=1)
-        if right is not None:
-            m += hits.sum(axis=0)
-        _forest(hits, ids[at : at + _STRIP], other_ids, root)
-    counts = dict(zip(ids[n > 0].tolist(), n[n > 0].tolist()))
-    counts |= {i: counts.get(i, 0) + k for i, k in zip(other_ids[m > 0].tolist(), m[m > 0].tolist())}
-
-    def top(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    return counts, {i: top(i) for i in root}
-
-
-def range_links(df: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+        else:
+            n[shift:] += hits.sum(axis=0)
+        own = hits.sum(axis=1)
+        n[at : at + len(hits)] += own
+        for r in np.flatnonzero(own):
+            _join(parent, at + r, shift + np.flatnonzero(hits[r]))
+    while not np.array_equal(parent, parent[parent]):
+        parent = parent[parent]
+    lowest = np.full(len(every), np.iinfo(np.int64).max)
+    np.minimum.at(lowest, parent, every)
+    found = n > 0
+    return every[found], n[found], lowest[parent[found]]
+
+
+def _block_rows(dim: int, n: int, cores: int) -> int:
+    """Rows of a block: a few pairs of blocks for each core, up to what a task can hold."""
+    blocks = math.ceil(math.sqrt(2 * PAIRS_PER_CORE * cores))
+    return max(1, min(-(-n // blocks), BLOCK_BYTES // (8 * dim)))
+
+
+def range_links(df: DataFrame, cosine: float = COSINE, block_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, found): rows(_row, vec_id, ...) of df(vec_id, embedding), and found(_row, n_links, root) of the blocks compared."""
     reach = math.sqrt(2 - 2 * cosine) + 1e-9
     rows = _usable(df)
-    sizes = {r["dim"]: r["n"] for r in rows.where("dim is not null").groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pivots = {}
-    for dim, n in sizes.items():
-        k = min(MAX_PIVOTS, -(-n // block_rows))
-        sample = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("v"), "_row").select("v").limit(k).collect()
-        pivots[dim] = unit_rows([list(r["v"]) for r in sample])[0]
+    whole = rows.where("dim is not null")
+    # a row for each length of vectors, with a pivot for sure
+    lengths = whole.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.min_by("v", F.xxhash64("_row")).alias("v")).collect()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = {r["dim"]: block_rows or _block_rows(r["dim"], r["n"], cores) for r in lengths}
+    wanted = {r["dim"]: min(MAX_PIVOTS, -(-r["n"] // size[r["dim"]])) for r in lengths}
+    sample = {r["dim"]: [list(r["v"])] for r in lengths}
+    several = [(r["dim"], 4.0 * wanted[r["dim"]] / r["n"]) for r in lengths if wanted[r["dim"]] > 1]
+    if several:  # about four times as many rows as wanted, by a hash of their number
+        share = df.sparkSession.createDataFrame(several, "dim int, share double")
+        drawn = whole.join(F.broadcast(share), "dim").where((F.pmod(F.xxhash64("_row"), F.lit(1 << 30)) / float(1 << 30)) < F.col("share"))
+        for r in drawn.select("dim", "v").collect():
+            sample[r["dim"]].append(list(r["v"]))
+    pivots = {dim: unit_rows(vs[: wanted[dim]])[0] for dim, vs in sample.items()}
 
     def celled(batches):
         for b in batches:
@@ -122,10 +136,10 @@ def range_links(df: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_R
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell), pa.array(far)], ["_row", "dim", "v", "cell", "far"])
 
     fields = "_row long, dim int, v array<double>, cell int, far double"
-    placed = materialise(map_in_arrow(rows.where("dim is not null").select("_row", "dim", "v"), celled, fields), "vectors-celled")
+    placed = materialise(map_in_arrow(whole.select("_row", "dim", "v"), celled, fields), "vectors-celled")
     # as many rows as there are pivots
     cells = {(r["dim"], r["cell"]): (r["n"], r["far"]) for r in placed.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
-    blocks = {c: -(-n // block_rows) for c, (n, _) in cells.items()}
+    blocks = {c: -(-n // size[c[0]]) for c, (n, _) in cells.items()}
 
     def replicated(batches):
         for b in batches:
@@ -158,15 +172,13 @@ def range_links(df: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_R
         side, ids, x = side[order], ids[order], x[order]
         same = table.column("c1")[0] == table.column("c2")[0] and table.column("b1")[0] == table.column("b2")[0]
         a, b = (ids[side == 0], x[side == 0]), (ids[side == 1], x[side == 1])
-        counts, root = compare(a, None if same else b, cosine)
-        found = list(root)
-        return pa.table([pa.array(found, pa.int64()), pa.array([counts[i] for i in found], pa.int64()), pa.array([root[i] for i in found], pa.int64())], ["_row", "n_links", "root"])
+        return pa.table([pa.array(c) for c in compare(a, None if same else b, cosine)], ["_row", "n_links", "root"])
 
     found = pairs.groupBy("dim", "c1", "b1", "c2", "b2").applyInArrow(linked, "_row long, n_links long, root long")
     return rows, materialise(found, "vectors-links")
 
 
-def near_groups(df: DataFrame, cosine: float = COSINE, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def near_groups(df: DataFrame, cosine: float = COSINE, block_rows: int | None = None) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of df(vec_id, embedding)."""
     rows, found = range_links(df, cosine, block_rows)
     counts = found.groupBy("_row").agg(F.sum("n_links").alias("n_links"))

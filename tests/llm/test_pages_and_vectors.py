@@ -75,7 +75,7 @@ def test_warc_blocks_survive(spark, tmp_path):
     assert warc.assemble(warc.read_records(spark, f"{tmp_path}/none")).count() == 0
 
 
-@pytest.mark.parametrize("block_rows", [8192, 60])
+@pytest.mark.parametrize("block_rows", [None, 8192, 60])
 def test_embedding_join(spark, block_rows):
     r = np.random.default_rng(5)
     base = r.normal(size=(30, 16))
@@ -104,6 +104,24 @@ def test_embedding_join(spark, block_rows):
     assert all(g["kept"] == (g["vec_id"] == g["component_id"]) for g in got)
 
 
+def test_blocks_keep_every_tree_together(spark):
+    r = np.random.default_rng(3)
+    x, _ = embedding_join.unit_rows(list(r.normal(size=(90, 3))))
+    ids = r.permutation(90).astype(np.int64)
+    for split in (None, 40):
+        left, right = ((ids, x), None) if split is None else ((ids[:split], x[:split]), (ids[split:], x[split:]))
+        found, n, root = embedding_join.compare(left, right, 0.95)
+        hits = x @ x.T >= 0.95
+        np.fill_diagonal(hits, False)
+        if split:
+            hits[:split, :split] = hits[split:, split:] = False
+        reach = np.eye(90, dtype=bool) | hits
+        for _ in range(90):
+            reach = reach | (reach @ hits)
+        want = {int(ids[k]): (int(hits[k].sum()), int(ids[reach[k]].min())) for k in range(90) if hits[k].any()}
+        assert {int(i): (int(k), int(t)) for i, k, t in zip(found, n, root)} == want
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], PAGES).write.parquet(f"{tmp_path}/pages.parquet")
     spark.createDataFrame([], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
