@@ -265,6 +265,54 @@ def test_packing(spark, docs, tmp_path, token_ids):
     assert np.frombuffer(ids[7, 2048], "<u2").tolist() == token_ids[7][2048:4096]
 
 
+def test_chunk_encoder_on_a_whole_table(spark):
+    from tokenizers import Tokenizer
+
+    t, e = Tokenizer.from_file(tokenizing.vocabulary_path("byte_bpe_50k.json")), tokenizing.ChunkEncoder()
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    assert all(np.frombuffer(e.encode(x), "<u2").tolist() == ids.ids for x, ids in zip(texts, t.encode_batch(texts, add_special_tokens=False)))
+
+
+def bm25(seed, tails, df, n, mean):
+    """Scores of all tails for a seed's distinct ids, term by term."""
+    out = []
+    for tail in tails:
+        tf, total = Counter(tail), 0.0
+        for term in set(seed) & set(tf):
+            idf = np.log(1 + (n - df[term] + 0.5) / (df[term] + 0.5))
+            total += idf * tf[term] * 2.2 / (tf[term] + 1.2 * (0.25 + 0.75 * len(tail) / mean))
+        out.append(total)
+    return np.array(out)
+
+
+def test_neighbours_are_taken_by_bm25_in_greedy_order(spark):
+    docs = spark.createDataFrame([(i, words(i % 9, 5 + i * 7 % 40), "en", "s", 0) for i in range(120)], SCHEMA)
+    tails = {r["doc_id"]: np.frombuffer(r["ids"], "<u2").tolist() for r in packing.tokens(docs).collect()}
+    df, n, mean = Counter(t for tail in tails.values() for t in set(tail)), len(tails), float(np.mean([len(t) for t in tails.values()]))
+    names = list(tails)
+    held = np.zeros(packing.IDS)
+    for term, k in df.items():
+        held[term] = k
+    index = packing.Index([np.array(t, "<u2") for t in tails.values()], np.log(1 + (n - held + 0.5) / (held + 0.5)), mean)
+    want = {d: dict(zip(names, bm25(t, tails.values(), df, n, mean))) for d, t in tails.items()}
+    assert all(np.allclose(index.scores(index.terms[k]), list(want[d].values()), rtol=1e-5) for k, d in enumerate(names))
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    rows = packing.pack(docs, window=100).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    placed = [r for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])) if r["length"] < 100]
+    unused = set(names) - {r["doc_id"] for r in rows if r["length"] == 100}
+    for r in placed:
+        if r["offset"] == 0:
+            seed = r["doc_id"]
+            unused.discard(seed)
+        elif r["doc_id"] != seed:
+            scores = want[seed]
+            assert scores[r["doc_id"]] >= max(scores[d] for d in unused) - 1e-3
+            unused.discard(r["doc_id"])
+    assert not unused and len(placed) > 100
+
+
 def test_packing_pads_little(spark):
     docs = spark.createDataFrame([(i, words(i % 50, 30 + i % 300), "en", "s", 0) for i in range(3000)], SCHEMA)
     rows = packing.pack(docs, window=512).collect()
