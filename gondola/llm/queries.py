@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import embedding_join, html_extract, mixing, oracles, packing, quality, secret_scan, sharding, simhash, training_order, warc
+from gondola.llm import embedding_join, html_extract, mixing, oracles, packing, prefix_trie, quality, secret_scan, sharding, simhash, training_order, warc
 from gondola.llm.common import materialise, shared_path
 
 
@@ -85,6 +85,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.shared_prefixes(spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text"))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 def queries():
     return {
         "op1_source_mixing": op1_source_mixing,
@@ -97,6 +102,7 @@ def queries():
         "op8_simhash_dedup": op8_simhash_dedup,
         "op9_warc_assembly": op9_warc_assembly,
         "op10_quality_rules": op10_quality_rules,
+        "op11_prefix_trie": op11_prefix_trie,
     }
 
 
@@ -108,4 +114,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_embedding_dedup": oracles.EMBEDDINGS,
         "op9_warc_assembly": oracles.ARCHIVES,
         "op10_quality_rules": oracles.QUALITY,
+        "op11_prefix_trie": oracles.TRIE,
     }
