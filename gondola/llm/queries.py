@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import embedding_join, html_extract, mixing, oracles, packing, prefix_trie, quality, secret_scan, sharding, simhash, training_order, warc
+from gondola.llm import alignment, embedding_join, html_extract, mixing, oracles, packing, prefix_trie, quality, secret_scan, sharding, simhash, training_order, warc
 from gondola.llm.common import materialise, shared_path
 
 
@@ -90,6 +90,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
 def queries():
     return {
         "op1_source_mixing": op1_source_mixing,
@@ -103,6 +107,7 @@ def queries():
         "op9_warc_assembly": op9_warc_assembly,
         "op10_quality_rules": op10_quality_rules,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_token_alignment": op12_token_alignment,
     }
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import importlib
 from array import array
+from functools import partial
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 END_OF_TEXT = ("<|endoftext|>", 50256)
@@ -28,9 +29,9 @@ class _Uncut(Exception):
 class _ChunkIds(dict):
     """Chunk (without the space before it) -> ids; misses are encoded."""
 
-    def __init__(self, encoder):
+    def __init__(self, encoder, encode):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.encode = encoder, encode
 
     def __missing__(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
@@ -40,26 +41,35 @@ class _ChunkIds(dict):
         elif chunk[:-1].isalpha() and chunk[-1] in ",.":  # that piece and a one-character piece
             ids = self[chunk[:-1]] + array("H", self.encoder._encode_single_piece(chunk[-1])).tobytes()
         else:
-            ids = array("H", self.encoder.encode(" " + chunk, allowed_special="all")).tobytes()
+            ids = array("H", self.encode(" " + chunk)).tobytes()
         self[chunk] = ids
         return ids
 
 
 class ChunkEncoder:
-    """encode(text) -> bytes of little-endian unsigned 16-bit ids, equal to the whole text's encoding."""
+    """encode(text) -> bytes of little-endian unsigned 16-bit ids, equal to the whole text's encoding.
 
-    def __init__(self, path: str | None = None, cache_chunks: int = CACHE_CHUNKS):
+    specials: whether a special token's string in a text is that token; else it is ordinary text.
+    """
+
+    def __init__(self, path: str | None = None, cache_chunks: int = CACHE_CHUNKS, specials: bool = True):
         import tiktoken
 
         with open(path or vocabulary_path(), "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         pattern = importlib.import_module("public_tokenizers").PATTERN
         self.encoder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict([END_OF_TEXT]))
-        self.cache = _ChunkIds(self.encoder)
+        self.ranks = ranks
+        self._encode = partial(self.encoder.encode, allowed_special="all") if specials else self.encoder.encode_ordinary
+        self.cache = _ChunkIds(self.encoder, self._encode)
         self.cache_chunks = cache_chunks
 
     def _whole(self, text: str) -> bytes:
-        return array("H", self.encoder.encode(text, allowed_special="all")).tobytes()
+        return array("H", self._encode(text)).tobytes()
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of every id that isn't special."""
+        return sorted(self.ranks, key=self.ranks.__getitem__)
 
     def encode(self, text: str) -> bytes:
         first, *rest = text.split(" ")
