@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gondola.llm import alignment, embedding_join, html_extract, mixing, oracles, packing, prefix_trie, quality, secret_scan, sharding, simhash, training_order, warc
+from gondola.llm import alignment, embedding_join, fingerprint, html_extract, mixing, oracles, packing, prefix_trie, quality, secret_scan, sharding, simhash, training_order, warc
 from gondola.llm.common import materialise, shared_path
 
 
@@ -94,6 +94,22 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprint.edited(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    own, new, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        fingerprint.printed(own).alias("fingerprint"),
+        fingerprint.printed(new).alias("edited_fingerprint"),
+        fingerprint.resemblance(own, new).alias("near_edited"),
+        fingerprint.resemblance(own, following).alias("near_next"),
+        fingerprint.containment(own, new).alias("held_by_edited"),
+        fingerprint.distinct_shingles(own).alias("distinct_shingles"),
+    )
+
+
 def queries():
     return {
         "op1_source_mixing": op1_source_mixing,
@@ -108,6 +124,7 @@ def queries():
         "op10_quality_rules": op10_quality_rules,
         "op11_prefix_trie": op11_prefix_trie,
         "op12_token_alignment": op12_token_alignment,
+        "op13_document_fingerprints": op13_document_fingerprints,
     }
 
 
