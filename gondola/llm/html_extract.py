@@ -1,20 +1,24 @@
 """Main-text extraction with a site style tree.
 
 Pages of one host are merged: every element's signature path (tags with their class and id, digits
-dropped, from the root) is a node of the host's tree. For a node seen on m different pages, its
-presentation importance is the entropy of the styles it shows there (the sequence of its child
-elements; for an element without any, the order of magnitude of its length), to base m, 32 at most;
-its content importance is one less the mean of log_m of the number of pages that share its content.
-Both are drawn towards 1/2 as if by PRIOR_PAGES pages more, so nodes on few pages stay undecided.
+dropped, from the root) is a node of the host's tree. A node's presentation importance is the
+entropy of the styles it shows (the sequence of its child elements; for an element without any, the
+order of magnitude of its length), as a share of that of STYLES even styles; its content importance
+is one less the mean of log_m of the number of its m pages that share its content. The first is
+drawn towards what the node's position (the same path) shows on all other hosts, by up to
+PRIOR_PAGES pages, and towards 1/2 by as many as those hosts can't fill; the second towards 1/2 by
+PRIOR_COPIES pages. So a host with one page is judged by what its positions are elsewhere, a shape
+that no other host has is low on more than PRIOR_PAGES / 4 pages only, a text on more than PRIOR_COPIES / 4.
 
 A block whose two importances are not low is meaningful, with all that it holds but nodes of low
 content importance (text that the site repeats). A page's branches of which less than LOW is
-meaningful text are removed; where that leaves nothing (all pages of the site are of one shape),
-content importance alone decides. Elements that the tree leaves and that by tag, role or name are
-menus, headers, footers, sidebars, notices, adverts, forms or comments go too: the tree knows
-nothing of hosts with few pages. Headings, paragraphs and list items are never removed by
-themselves, only with a branch: near copies on a small host look like templates. Of what remains,
-the article (else the main element, else the body) is the text.
+meaningful text are removed. Elements that by tag, role or name are menus, headers, footers,
+sidebars, notices, adverts, forms or comments are left out before, and the article (else the main
+element, else one named as content, else the body) is what the tree prunes. Where less than KEEP of
+that would be left (all pages of a host are of one shape), content importance alone decides; where
+that leaves less, nothing is removed. So the tree never empties a page. Headings, paragraphs and
+list items are never removed by themselves, only with a branch: near copies on a host look like
+templates.
 
 The host's model is as many rows as it has low nodes; it is broadcast behind a check of its size.
 
@@ -37,10 +41,13 @@ from gondola.llm.common import map_in_arrow, materialise
 
 #: A node of an importance below this is low.
 LOW = 0.4
-#: So many pages that know nothing are added to each node's.
-PRIOR_PAGES = 5
-#: Entropy of styles is taken to base m, but to this at most: a template has few styles on however many pages.
+#: So many pages of other hosts (or that know nothing) are added to each node's.
+PRIOR_PAGES = 20
+PRIOR_COPIES = 10
+#: As many styles, all alike in number, are full importance: a template has few on however many pages.
 STYLES = 32
+#: Of the text that names leave, importances may remove all but this share.
+KEEP = 0.2
 #: A model up to this many low paths (about 60 bytes each) is broadcast; a larger one is joined by shuffle.
 BROADCAST_PATHS = 500_000
 
@@ -274,14 +281,14 @@ def style_rows(page: str) -> list[tuple[int, int, int]]:
     return [(path, _hash("|".join(s) if parents else f"#{size.bit_length()}"), _hash(",".join(c))) for path, (s, c, size, parents) in found.items()]
 
 
-def drop_low(root: Node, paths: dict[int, int], plain: frozenset, repeated: frozenset) -> bool:
+def drop_low(content: list[Node], paths: dict[int, int], plain: frozenset, repeated: frozenset) -> bool:
     """Mark the branches of low importance as noise; plain, repeated: the paths of low presentation and of low content importance.
 
-    False, and nothing marked, if no text would be left.
+    content: elements whose text stands so far. False, and nothing marked, if less than KEEP of it would be left.
     """
     share: dict[int, list] = {}  # of each element: its text, and how much of it is meaningful
     order = []
-    todo = [(root, False)]
+    todo = [(x, False) for x in content]
     while todo:
         x, kept = todo.pop()
         path = paths[id(x)]
@@ -292,23 +299,23 @@ def drop_low(root: Node, paths: dict[int, int], plain: frozenset, repeated: froz
         n = sum(len(" ".join(c.split())) for c in x.children if isinstance(c, str))
         share[id(x)] = [n, n * kept]
         order.append(x)
-        todo.extend((c, kept) for c in x.children if isinstance(c, Node))
+        todo.extend((c, kept) for c in x.children if isinstance(c, Node) and not c.noise)
     for x in reversed(order):  # children before their parents
         for c in x.children:
-            if isinstance(c, Node):
+            if isinstance(c, Node) and not c.noise:
                 share[id(x)][0] += share[id(c)][0]
                 share[id(x)][1] += share[id(c)][1]
     gone, left = [], 0
-    todo = [root]
+    todo = list(content)
     while todo:
         x = todo.pop()
         n, good = share[id(x)]
         if n and good < LOW * n and (x.tag not in TEXT_LEVEL or x.names) and x.tag in BLOCK and x.tag not in ("html", "body", "head"):
             gone.append(x)
             continue
-        left += sum(len(c.strip()) for c in x.children if isinstance(c, str))
-        todo.extend(c for c in x.children if isinstance(c, Node))
-    if not left:
+        left += sum(len(" ".join(c.split())) for c in x.children if isinstance(c, str))
+        todo.extend(c for c in x.children if isinstance(c, Node) and not c.noise)
+    if not left or left < KEEP * sum(share[id(x)][0] for x in content):
         return False
     for x in gone:
         x.noise = True
@@ -341,16 +348,17 @@ def _named_content(root: Node) -> list[Node]:
 def main_text(page: str, plain: frozenset = frozenset(), repeated: frozenset = frozenset(), names: bool = True) -> str:
     """The page's article: blocks joined by an empty line; plain, repeated: paths of low importance on its host.
 
-    names: whether tags, roles and names decide where the tree doesn't.
+    names: whether tags, roles and names decide beside the tree.
     """
     root = parse(page)
+    content = [root]
+    if names:
+        mark_noise(root)
+        content = _named_content(root)
     if plain or repeated:
         paths = style_paths(root)
-        drop_low(root, paths, plain, repeated) or drop_low(root, paths, frozenset(), repeated)
-    if not names:
-        return "\n\n".join(blocks(root))
-    mark_noise(root)
-    return "\n\n".join(b for x in _named_content(root) for b in blocks(x))
+        drop_low(content, paths, plain, repeated) or drop_low(content, paths, frozenset(), repeated)
+    return "\n\n".join(b for x in content for b in blocks(x))
 
 
 def host_of(url):
@@ -370,19 +378,30 @@ def node_importance(pages: DataFrame) -> DataFrame:
 
     held = pages.where("host is not null").select("host", F.xxhash64("html").alias("page"), "html")
     nodes = map_in_arrow(held, run, "host string, page long, path long, style long, content long").distinct()  # pages that repeat count once
-    # counts of each style and content, then their entropies: two small aggregations, hot hosts combined map-side
+    # counts of each style and content, then their entropies: small aggregations, hot hosts and positions combined map-side
     shown = nodes.select("host", "path", F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("style").alias("value")), F.struct(F.lit(1).alias("kind"), F.col("content").alias("value")))))
-    counts = shown.groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
-    sums = counts.groupBy("host", "path").agg(
+    counts = materialise(shown.groupBy("host", "path", "kind", "value").agg(F.count(F.lit(1)).alias("n")), "style-counts")
+    own = _importances(counts, ["host", "path"])
+    everywhere = _importances(counts.groupBy("path", "kind", "value").agg(F.sum("n").alias("n")), ["path"])
+    others = everywhere.select("path", F.col("pages").alias("_all"), F.col("presentation").alias("_presentation"))
+    m, elsewhere = F.col("pages"), F.col("_all") - F.col("pages")
+    weight = PRIOR_PAGES * elsewhere / (elsewhere + PRIOR_PAGES)
+    presentation = (m * F.col("presentation") + weight * F.col("_presentation") + (PRIOR_PAGES - weight) / 2) / (m + PRIOR_PAGES)
+    content = (m * F.col("content") + PRIOR_COPIES / 2) / (m + PRIOR_COPIES)
+    return own.join(others, "path").select("host", "path", "pages", presentation.alias("presentation"), content.alias("content"))
+
+
+def _importances(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, pages, presentation, content, as they are found; counts(*keys, kind, value, n)."""
+    sums = counts.groupBy(*keys).agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
         *[F.sum(F.when(F.col("kind") == k, F.col("n") * F.log("n"))).alias(name) for k, name in ((0, "_style"), (1, "_content"))],
     )
     m = F.col("pages")
     # of the styles: entropy log m - sum(n log n) / m; of the contents: sum over values of n/m * log_m(n) is 1 if all pages show the same
-    presentation = F.when(m > 1, F.least(F.lit(1.0), (F.log(m) - F.col("_style") / m) / F.log(F.least(m, F.lit(STYLES))))).otherwise(F.lit(0.5))
+    presentation = F.least(F.lit(1.0), (F.log(m) - F.col("_style") / m) / F.log(F.lit(float(STYLES))))
     content = F.when(m > 1, 1 - F.col("_content") / (m * F.log(m))).otherwise(F.lit(0.5))
-    drawn = lambda x: (m * x + PRIOR_PAGES / 2) / (m + PRIOR_PAGES)
-    return sums.select("host", "path", "pages", drawn(presentation).alias("presentation"), drawn(content).alias("content"))
+    return sums.select(*keys, "pages", presentation.alias("presentation"), content.alias("content"))
 
 
 def low_paths(pages: DataFrame) -> DataFrame:
