@@ -89,21 +89,30 @@ def hashed_uniform(seed: str, *columns: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df has not."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def numbered(df: DataFrame, name: str, label: str, compression: str = "snappy") -> DataFrame:
     """df written to the shared folder, with the gapless index 0..n-1 of its rows as they lie in its partitions.
 
-    The partitions' offsets (as many rows as the write had tasks) are broadcast.
+    The partitions' offsets (as many rows as the write had tasks, of 12 bytes) are broadcast. A
+    column of df named like the index is replaced.
     """
-    placed = materialise(df.withColumn("_at", F.monotonically_increasing_id()), label, compression)
-    part = F.shiftrightunsigned("_at", _ROW_BITS).cast("int")
+    at, number, before = (unused(df, c) for c in ("_at", "_part", "_before"))
+    placed = materialise(df.withColumn(at, F.monotonically_increasing_id()), label, compression)
+    part = F.shiftrightunsigned(at, _ROW_BITS).cast("int")
     counts = sorted((r["part"], r["n"]) for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, before = [], 0
+    offsets, rows = [], 0
     for p, n in counts:
-        offsets.append((p, before))
-        before += n
-    starts = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part int, _before long"))
-    index = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return placed.withColumn("_part", part).join(starts, "_part").withColumn(name, index).drop("_part", "_before", "_at")
+        offsets.append((p, rows))
+        rows += n
+    starts = F.broadcast(df.sparkSession.createDataFrame(offsets, f"{number} int, {before} long"))
+    index = F.col(before) + F.col(at).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return placed.withColumn(number, part).join(starts, number).withColumn(name, index).drop(number, before, at)
 
 
 def with_global_index(df: DataFrame, order: list[Column], name: str, label: str = "index") -> DataFrame:

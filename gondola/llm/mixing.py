@@ -22,6 +22,8 @@ SEED = "mix-1"
 MAX_EPOCHS = 3
 #: A source table up to this many rows is broadcast (well under 100 MB); a larger one is joined by shuffle.
 BROADCAST_SOURCES = 500_000
+#: What the plan adds to a row.
+ADDED = ("size", "source_size", "target", "copies")
 
 
 def cyclic_weight(rank: Column) -> Column:
@@ -52,24 +54,20 @@ def source_targets(sizes: DataFrame, weight=cyclic_weight, max_epochs: int = MAX
 
 
 def mixing_plan(docs: DataFrame, weight=cyclic_weight, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """docs with size, source_size, target (both of the source) and copies, the times the mix emits the row."""
-    sized = docs.withColumn("size", word_count(text_or_empty()))
+    """docs with size, source_size, target (both of the source) and copies, the times the mix emits the row; columns of these names are replaced."""
+    kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ADDED])  # one column: its names clash with none
+    sized = docs.select(kept.alias("_doc"), F.col("doc_id").alias("_id"), "source", word_count(text_or_empty()).alias("size"))
     targets = materialise(source_targets(sized.select("source", "size"), weight, max_epochs), "mix-targets")
     if targets.count() <= BROADCAST_SOURCES:
         targets = F.broadcast(targets)
-    targets = targets.withColumnRenamed("source", "_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    extra = (hashed_uniform(seed, F.col("doc_id")) < rate - F.floor(rate)).cast("long")
-    return (
-        sized.drop("source_size", "target", "copies")
-        .join(targets, F.col("source").eqNullSafe(F.col("_source")), "left")
-        .drop("_source")
-        .withColumn("copies", F.floor(rate) + extra)
-    )
+    extra = (hashed_uniform(seed, F.col("_id")) < rate - F.floor(rate)).cast("long")
+    joined = sized.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left")
+    return joined.select("_doc.*", "size", "source_size", "target", (F.floor(rate) + extra).alias("copies"))
 
 
 def mix(docs: DataFrame, weight=cyclic_weight, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mix itself: each row of docs, with its own columns, as many times as the plan says."""
-    whole = docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("_doc"))
+    whole = docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
     planned = mixing_plan(whole, weight, max_epochs, seed).where("copies > 0")
-    return planned.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_doc.*")
+    return planned.select("_doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("_doc.*")

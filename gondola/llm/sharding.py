@@ -7,18 +7,20 @@ digits of the key, across partitions, and refining the bins that hold a wanted b
 stands between two keys. The same rounds cut the shards into cells, one for each shuffle partition
 about (within CELL_TOLERANCE of their size, or a single key's); rows are exchanged once, to the
 partition of their cell, sorted there and written. The rows below a cell are known from the counts,
-so a row's slot follows from its place in its partition, and no task holds a shard.
+so a row's slot follows from its place in its partition, and no task holds a shard. Rows learn their
+cell from a broadcast table of the boundaries by their leading digits; MAX_CELLS bounds its size.
 
 Defined cases: a null text is 0 bytes (size 1, CRC-32 0); a null doc_id orders first; rows that
 repeat both text and doc_id share a key, stay together and get different slots; an empty table gives no rows;
-columns of the input named like an added one are replaced.
+columns of the input named like an added one (size, text_crc32, shard, slot) are replaced, all others kept.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gondola.llm.common import materialise, shared_path, text_or_empty
@@ -27,8 +29,10 @@ from gondola.llm.common import materialise, shared_path, text_or_empty
 DIGITS, STEP = 24, 2
 #: How far from its even place a cell's boundary may stand, as a share of a cell.
 CELL_TOLERANCE = 0.25
-#: Cells at most: their boundaries are literals of the plan.
-MAX_CELLS = 1000
+#: Cells at most (5 GB each of 100 TB): the driver holds a few numbers of each, and about 100 bytes are broadcast.
+MAX_CELLS = 20_000
+#: What shard adds to a row.
+ADDED = ("size", "text_crc32", "shard", "slot")
 _SIGN = 1 << 63
 
 
@@ -38,14 +42,27 @@ def sort_key(doc_id: Column, crc: Column) -> Column:
     return F.concat(F.lpad(F.lower(F.hex(crc)), 8, "0"), F.lpad(F.lower(F.hex(shifted)), 16, "0"))
 
 
-def below(key: Column, bounds: list[str]) -> Column:
-    """How many of the sorted bounds are at or below key, by binary search."""
-    if not bounds:
-        return F.lit(0)
-    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
-    literal = F.array(*[F.lit(b) for b in bounds])
-    take = lambda at, step: F.when(F.coalesce(F.get(literal, at + step - 1) <= key, F.lit(False)), at + step).otherwise(at)
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), take)
+def cell_table(spark: SparkSession, bounds: list[str], about: list[tuple[int, int]]) -> tuple[DataFrame, int]:
+    """start, cells: for all keys that begin with those digits the cells they may lie in, as (bound, cell, shard, first); how many digits.
+
+    bounds are sorted; a key's cell is the number of bounds at or below it. about: (shard, first row) of every cell.
+    """
+    digits = 1
+    while 16**digits < len(bounds):
+        digits += 1
+    rows = []
+    for k in range(16**digits):
+        start = f"{k:0{digits}x}"
+        low, high = bisect_right(bounds, start), bisect_left(bounds, start + "g")
+        rows.append((start, [("" if i == low else bounds[i - 1], i, *about[i]) for i in range(low, high + 1)]))
+    return F.broadcast(spark.createDataFrame(rows, "start string, cells array<struct<bound:string,cell:int,shard:int,first:bigint>>")), digits
+
+
+def with_cell(keyed: DataFrame, cells: tuple[DataFrame, int]) -> DataFrame:
+    """keyed(_key, ...) with _at, the cell of each row."""
+    table, digits = cells
+    at = F.element_at(F.filter("cells", lambda c: c["bound"] <= F.col("_key")), -1)
+    return keyed.join(table, F.substring("_key", 1, digits) == F.col("start")).withColumn("_at", at).drop("start", "cells")
 
 
 def splitters(keyed: DataFrame, wanted: list[tuple[int, int, float]], total: int) -> list[str]:
@@ -61,12 +78,14 @@ def splitters(keyed: DataFrame, wanted: list[tuple[int, int, float]], total: int
     bytes_before = {"": 0}
     digits = 0
     while open_:
-        digits = min(DIGITS, digits + STEP)
-        lengths = sorted({len(b) for b in open_})
+        digits += STEP
+        while 16**digits < 4 * len(open_.get("", ())):  # as many bins at the start as boundaries, at least
+            digits += 1
+        digits = min(DIGITS, digits)
         inside = keyed
-        if lengths != [0]:
+        if "" not in open_:
             test = F.lit(False)
-            for n in lengths:
+            for n in sorted({len(b) for b in open_}):
                 test = test | F.substring("key", 1, n).isin([b for b in open_ if len(b) == n])
             inside = keyed.where(test)
         counted = inside.groupBy(F.substring("key", 1, digits).alias("bin")).agg(F.sum("size").alias("bytes"), F.min("key").alias("first"), F.max("key").alias("last"))
@@ -74,27 +93,20 @@ def splitters(keyed: DataFrame, wanted: list[tuple[int, int, float]], total: int
         names = [b[0] for b in bins]
         still: dict[str, list[int]] = {}
         for outer, boundaries in open_.items():
-            before, k = bytes_before[outer], 0
-            lo = bisect_right(names, outer)
-            lo -= lo > 0 and names[lo - 1] == outer
-            mine = []
-            while lo + k < len(bins) and bins[lo + k][0].startswith(outer):
-                mine.append((*bins[lo + k], before))
-                before += bins[lo + k][1]
-                k += 1
+            mine = bins[bisect_left(names, outer) : bisect_left(names, outer + "g")]
+            ends = list(accumulate((m[1] for m in mine), initial=bytes_before[outer]))  # bytes below each bin, and at the end
             for i in boundaries:
                 num, den, slack = wanted[i]
                 # the first bin that ends at or above the place: its first key starts below it
-                at = next((m for m in mine if (m[4] + m[1]) * den >= num * total), None)
-                nxt = mine[mine.index(at) + 1] if at is not None and at is not mine[-1] else None
-                if at is None:
+                k = bisect_left(ends, -(-num * total // den), 1) - 1
+                if k >= len(mine):
                     continue
-                name, size, first, last, start = at
-                place = num * total / den
+                name, size, first, last = mine[k]
+                place, start = num * total / den, ends[k]
                 if start * den >= num * total or place - start <= slack:
                     found[i] = first
                 elif first == last or (start + size) * den == num * total or start + size - place <= slack:
-                    found[i] = nxt[2] if nxt else f"{last}0"  # the key after the last: all of the bin is below
+                    found[i] = mine[k + 1][2] if k + 1 < len(mine) else f"{last}0"  # the key after the last: all of the bin is below
                 else:
                     still.setdefault(name, []).append(i)
                     bytes_before[name] = start
@@ -105,35 +117,38 @@ def splitters(keyed: DataFrame, wanted: list[tuple[int, int, float]], total: int
     return found
 
 
+def _kept(columns: list[str]) -> list[str]:
+    return [c for c in columns if c.lower() not in ADDED]
+
+
 def shard(docs: DataFrame, shards: int = 8, carry: list[str] | None = None) -> DataFrame:
     """docs with size, text_crc32, shard and slot (gapless from 0 in each shard), near-equal bytes a shard; sorted in each partition.
 
     carry: the columns of docs that go through the exchange; all of them if it isn't given.
     """
-    text = text_or_empty()
-    sized = docs.withColumns({"size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text.cast("binary"))})
-    sized = sized.withColumn("_key", sort_key(F.col("doc_id"), F.col("text_crc32")))
+    text, spark = text_or_empty(), docs.sparkSession
+    row = F.struct(*[F.col(f"`{c}`") for c in _kept(docs.columns if carry is None else carry)])  # one column: its names clash with none
+    sized = docs.select(row.alias("_doc"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.col("doc_id").alias("_id"))
+    sized = sized.withColumn("_key", sort_key(F.col("_id"), F.col("text_crc32"))).drop("_id")
     keyed = materialise(sized.select(F.col("_key").alias("key"), "size"), "shard-keys")
     total = keyed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    cells = min(MAX_CELLS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cells = min(MAX_CELLS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     wanted = [(k, shards, 0) for k in range(1, shards)]
     even = [(k, cells, total / cells * CELL_TOLERANCE) for k in range(1, cells) if k * shards % cells]
     starts = splitters(keyed, wanted + even, total) if total else []
     shard_starts = sorted(starts[: shards - 1])
     bounds = sorted(set(starts))
+    shard_of = [bisect_right(shard_starts, bounds[at - 1]) if at else 0 for at in range(len(bounds) + 1)]
     # rows of each cell, and with these the first row of each cell in its shard
-    counts = {r["at"]: r["n"] for r in keyed.groupBy(below(F.col("key"), bounds).alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    first, shard_of = [], []
-    for at in range(len(bounds) + 1):
-        shard_of.append(bisect_right(shard_starts, bounds[at - 1]) if at else 0)
-        first.append(first[-1] + counts.get(at - 1, 0) if at and shard_of[-1] == shard_of[-2] else 0)
-    kept = [c for c in (docs.columns if carry is None else carry) if c not in ("size", "text_crc32")]
-    celled = sized.select(*kept, "size", "text_crc32", "_key", below(F.col("_key"), bounds).alias("_cell"))
-    placed = celled.repartitionById(len(bounds) + 1, F.col("_cell")).sortWithinPartitions("_key")
+    counted = with_cell(keyed.withColumnRenamed("key", "_key"), cell_table(spark, bounds, [(own, 0) for own in shard_of]))
+    counts = {r["cell"]: r["n"] for r in counted.groupBy(F.col("_at.cell").alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    first = [0]
+    for at in range(1, len(bounds) + 1):
+        first.append(first[-1] + counts.get(at - 1, 0) if shard_of[at] == shard_of[at - 1] else 0)
+    celled = with_cell(sized, cell_table(spark, bounds, list(zip(shard_of, first, strict=True))))
+    placed = celled.repartitionById(len(bounds) + 1, F.col("_at.cell")).sortWithinPartitions("_key")
     local = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    start = F.element_at(F.array(*[F.lit(n).cast("long") for n in first]), F.col("_cell") + 1)
-    own = F.element_at(F.array(*[F.lit(n).cast("int") for n in shard_of]), F.col("_cell") + 1)
-    return placed.withColumns({"shard": own, "slot": start + local}).drop("_cell", "_key")
+    return placed.select("_doc.*", "size", "text_crc32", F.col("_at.shard").alias("shard"), (F.col("_at.first") + local).alias("slot"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 8) -> None:
@@ -144,7 +159,7 @@ def write_shards(docs: DataFrame, path: str, shards: int = 8) -> None:
 def read_shards(docs: DataFrame, path: str) -> DataFrame:
     """The rows as they lie in the shards, with size and CRC-32 of what was read; docs: what was written, for its columns."""
     spark = docs.sparkSession
-    kept = [docs.schema[c] for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot")]
+    kept = [docs.schema[c] for c in _kept(docs.columns)]
     schema = spark.createDataFrame([], "slot long, shard int").schema
     read = spark.read.schema(type(schema)([*kept, *schema.fields])).parquet(path)
     text = text_or_empty()

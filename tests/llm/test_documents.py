@@ -32,7 +32,10 @@ ROWS = [
     (14, "password: token=abcdefgh1 passwd:token:abcdefgh API_KEY='zzzzzzzz'", "en", "c", 9), (15, "a b c d e\na b c d e\nfoo", "en", "c", 9), (16, "don't  stop\n\n now <|endoftext|> x ", "en", "c", 9),
 ]
 #: Extra columns with the names that operators use for their own.
-CLASHES = "size source_size target taken copies shard slot law text_crc32 n_words kept spans hash fp component_id ids near host low rank owner".split()
+CLASHES = (
+    "size source_size target taken copies shard slot law text_crc32 n_words kept spans hash fp component_id ids near host low rank owner"
+    " _source _doc _key _cell _at _local _copy _part _before _row_a _row_b key cells start first row pairs links pages path"
+).split()
 
 
 @pytest.fixture(scope="module")
@@ -163,7 +166,22 @@ def test_shards_hold_the_bytes_below_their_keys(spark, parts):
 def test_shards_keep_whole_rows(spark, clashing):
     out = sharding.sharded(clashing)
     assert set(clashing.columns) - {"size"} <= set(out.columns)
-    assert sorted(map(repr, out.select("doc_id", "text", "lang", "hash").collect())) == sorted(map(repr, clashing.select("doc_id", "text", "lang", "hash").collect()))
+    kept = [c for c in clashing.columns if c not in sharding.ADDED]
+    assert sorted(map(repr, out.select(*kept).collect())) == sorted(map(repr, clashing.select(*kept).collect()))
+
+
+def test_more_cells_than_a_literal_would_hold(spark):
+    """Boundaries are looked up by leading digits: every cell is near its even size."""
+    docs = spark.range(60_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    keyed = docs.select(sharding.sort_key(F.col("doc_id"), F.crc32(F.col("text").cast("binary"))).alias("key"), (F.length("text") + 1).cast("long").alias("size"))
+    total = keyed.agg(F.sum("size")).first()[0]
+    bounds = sharding.splitters(keyed, [(k, 3000, total / 3000 * 0.25) for k in range(1, 3000)], total)
+    assert bounds == sorted(bounds) and len(set(bounds)) == 2999
+    cells = sharding.cell_table(spark, bounds, [(0, 0)] * 3000)
+    counted = sharding.with_cell(keyed.withColumnRenamed("key", "_key"), cells).groupBy("_at.cell").agg(F.sum("size").alias("bytes")).collect()
+    assert len(counted) == 3000 and max(r["bytes"] for r in counted) < 2 * total / 3000
+    keys = sorted(r["key"] for r in keyed.collect())
+    assert [sum(b <= k for b in bounds) for k in keys[::5000]] == [r["cell"] for r in sharding.with_cell(spark.createDataFrame([(k,) for k in keys[::5000]], "_key string"), cells).orderBy("_key").select("_at.cell").collect()]
 
 
 # 4 secrets
