@@ -15,7 +15,7 @@ from functools import partial
 VOCABULARY = "byte_bpe_50k.tiktoken"
 END_OF_TEXT = ("<|endoftext|>", 50256)
 #: Chunks kept by a worker's cache (about 250 bytes each); it is emptied when full.
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 600_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
