@@ -66,7 +66,7 @@ def _looks_live(v: Column) -> Column:
 
 
 def matches(docs: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """_row, doc_id, owner, repository of every row and found: its matches as (rank, gap, match, hash, long, live)."""
+    """_row, _key (a hash of the text), doc_id, owner, repository of every row and found: its matches as (rank, gap, match, hash, long, live)."""
     text = F.col("_text")
     step = docs.select("doc_id", F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"), text_or_empty().alias("_text"))
     arrays = []
@@ -83,7 +83,7 @@ def matches(docs: DataFrame, owner: str = "source", repository: str = "doc_id")
         (F.length(x["value"]) >= F.element_at(least, x["rank"] + 1)).alias("long"),
         ((x["rank"] < _BASE) | _looks_live(x["value"])).alias("live"),
     )
-    return step.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "owner", "repository", F.transform(F.concat(*arrays), shaped).alias("found"))
+    return step.select(F.monotonically_increasing_id().alias("_row"), F.xxhash64("_text").alias("_key"), "doc_id", "owner", "repository", F.transform(F.concat(*arrays), shaped).alias("found"))
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -128,16 +128,16 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", owner: str = "source", repos
     """docs with every value that is no copied example (of further patterns: and looks live) replaced by a mark.
 
     A value goes wherever it stands in the document, longer values first. Owners are counted over the whole table first; then each document's own values are looked up
-    by its doc_id. n_chars follows the text if present. Widely copied examples stay as they are.
+    by its text's hash (texts that share one mask what each holds). n_chars follows the text if present. Widely copied examples stay as they are.
     """
     found = materialise(matches(docs, owner, repository), "redact-matches")
     few = ownership(found).where(~_is_example())
-    spans = found.where(F.size("found") > 0).select(F.col("doc_id").alias("_id"), F.inline("found")).where("live and long")
-    hidden = materialise(spans.join(few, "hash").groupBy("_id").agg(F.collect_set("hash").alias("_hashes")), "redact-hidden")
+    spans = found.where(F.size("found") > 0).select(F.col("_key").alias("_of"), F.inline("found")).where("live and long")
+    hidden = materialise(spans.join(few, "hash").groupBy("_of").agg(F.collect_set("hash").alias("_hashes")), "redact-hidden")
     if hidden.count() <= BROADCAST_HIDDEN:
         hidden = F.broadcast(hidden)
-    whole = docs.select("doc_id", F.struct(*docs.columns).alias("_doc"))
-    held = whole.join(hidden, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    whole = docs.select(F.xxhash64(text_or_empty()).alias("_key"), F.struct(*docs.columns).alias("_doc"))
+    held = whole.join(hidden, F.col("_key") == F.col("_of"), "left")
     text, values = F.col("_doc.text"), []
     for _, pattern, group, least, _ in KINDS:
         found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)))
