@@ -14,8 +14,8 @@ from functools import partial
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 END_OF_TEXT = ("<|endoftext|>", 50256)
-#: Chunks kept by a worker's cache (about 250 bytes each); it is emptied when full.
-CACHE_CHUNKS = 600_000
+#: Chunks kept by a worker's cache (about 160 bytes each); when it is full, those not used since it was half as full go.
+CACHE_CHUNKS = 1_000_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -31,9 +31,17 @@ class _ChunkIds(dict):
 
     def __init__(self, encoder, encode):
         super().__init__()
-        self.encoder, self.encode = encoder, encode
+        self.encoder, self.encode, self.before = encoder, encode, {}
+
+    def age(self) -> None:
+        """Keep what is held for one more turn only, unless it is used."""
+        self.before = dict(self)
+        self.clear()
 
     def __missing__(self, chunk: str) -> bytes:
+        if (ids := self.before.get(chunk)) is not None:
+            self[chunk] = ids
+            return ids
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Uncut
         if chunk.isalpha():  # one piece: a space and letters
@@ -75,8 +83,8 @@ class ChunkEncoder:
         first, *rest = text.split(" ")
         if not first or first[-1].isspace() or not rest:
             return self._whole(text)
-        if len(self.cache) > self.cache_chunks:
-            self.cache.clear()
+        if 2 * len(self.cache) > self.cache_chunks:
+            self.cache.age()
         try:
             return self._whole(first) + b"".join(map(self.cache.__getitem__, rest))
         except _Uncut:
