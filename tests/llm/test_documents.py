@@ -311,7 +311,8 @@ def test_neighbours_are_taken_by_bm25_in_greedy_order(spark):
     held = np.zeros(packing.IDS)
     for term, k in df.items():
         held[term] = k
-    index = packing.Index([np.array(t, "<u2") for t in tails.values()], np.log(1 + (n - held + 0.5) / (held + 0.5)), mean)
+    counted = [np.unique(np.array(t, "<u2"), return_counts=True) for t in tails.values()]
+    index = packing.Index(counted, np.array([len(t) for t in tails.values()]), np.log(1 + (n - held + 0.5) / (held + 0.5)), mean)
     want = {d: dict(zip(names, bm25(t, tails.values(), df, n, mean))) for d, t in tails.items()}
     assert all(np.allclose(index.scores(index.terms[k], np.arange(n)), list(want[d].values()), rtol=1e-5) for k, d in enumerate(names))
     rows = packing.pack(docs, window=100).collect()
