@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gondola.dictionaries import KEY_NAMESPACE
 
+# Fixed value: the form of a UUID of versions 1 to 5.
 _UUID = "(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[1-5][0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
 
 

@@ -152,20 +152,26 @@ def drop_conservation(text: Column) -> Column:
 
 
 def _foldings() -> dict[str, str]:
-    """Characters whose compatibility decomposition is one ASCII letter or digit, marks left out."""
+    """Characters with a compatibility decomposition that holds an ASCII letter or digit, and that decomposition without marks."""
     plain = {c: re.sub("[\u0300-\u036f]", "", unicodedata.normalize("NFKD", c)) for c in map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x10000)))}
-    return {c: p for c, p in plain.items() if re.fullmatch("[A-Za-z0-9]", p)}
+    return {c: p for c, p in plain.items() if c != p and re.search("[A-Za-z0-9]", p)}
 
 
-_FOLDED = _foldings()
+_FOLDED = {c: p for c, p in _foldings().items() if len(p) == 1}
+#: Ligatures, units, fractions and the like.
+_SPREAD = {c: p for c, p in _foldings().items() if len(p) > 1}
 
 
-def plain_words(text: Column) -> Column:
-    """Lower case without accents (composed or combining), anything but letters and digits a space.
+def _spread(text: Column) -> Column:
+    """Characters that decompose into several, taken apart; texts without any are left as they are."""
+    table = F.create_map(*[F.lit(x) for pair in _SPREAD.items() for x in pair])
+    apart = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    return F.when(text.rlike("[" + "".join(_SPREAD) + "]"), apart).otherwise(text)
+
 
-    A character that decomposes into several letters (a ligature) becomes a space.
-    """
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), "[\u0300-\u036f]", "")
+def plain_words(text: Column) -> Column:
+    """Lower case without accents (composed or combining), compatibility characters taken apart, anything but letters and digits a space."""
+    bare = F.regexp_replace(let(F.coalesce(text, F.lit("")), _spread), "[\u0300-\u036f]", "")
     low = F.lower(F.translate(bare, "".join(_FOLDED), "".join(_FOLDED.values())))
     return squeeze(F.regexp_replace(low, r"[^a-z0-9\s]", " "))
 
@@ -185,9 +191,8 @@ def supplier_grams(text: Column) -> Column:
 
 def noun_tags(text: Column) -> Column:
     """Groups whose nouns a text holds, in the table's order."""
-    plain = plain_words(text)
-    tags = [F.when(F.lit(False) | reduce(lambda a, b: a | b, [plain.contains(n.replace("_", " ")) for n in nouns.split()]), F.lit(g)) for g, nouns in NOUNS.items()]
-    return F.filter(F.array(*tags), lambda t: t.isNotNull())
+    tags = lambda plain: F.array(*[F.when(reduce(lambda a, b: a | b, [plain.contains(n) for n in nouns]), F.lit(g)) for g, nouns in NOUNS.items()])
+    return F.filter(let(plain_words(text), tags), lambda t: t.isNotNull())
 
 
 def modifiers(plain: Column) -> Column:

@@ -175,6 +175,11 @@ def sitemap_locations(xml: Column) -> Column:
     return F.transform(found, lambda u: F.btrim(u))
 
 
+def sitemap_addresses(xml: Column) -> Column:
+    """The locations that are web addresses."""
+    return F.filter(sitemap_locations(xml), lambda u: u.startswith("http"))
+
+
 def sitemap_keys(xml: Column) -> Column:
     """Distinct all-digit last path parts."""
     last = F.transform(sitemap_locations(xml), lambda u: F.regexp_extract(u, "([^/]*)/?$", 1))

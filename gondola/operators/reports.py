@@ -90,8 +90,9 @@ def supplier_summary(products: DataFrame) -> DataFrame:
     return products.groupBy("classe").agg(F.count(F.lit(1)).alias("total"), F.count_if(~F.col("fracionado")).alias("fixed"), F.count_if("fracionado").alias("open"))
 
 
-def sample(rows: DataFrame, n: int = 10, seed: int = 42) -> DataFrame:
-    return rows.orderBy(F.rand(seed)).limit(n)
+def sample(rows: DataFrame, key: str, n: int = 10, seed: str = "42") -> DataFrame:
+    """n rows drawn by the MD5 of the seed and a key: any engine draws the same ones, and tasks keep n each."""
+    return rows.orderBy(F.md5(F.concat(F.lit(seed), F.col(key).cast("string")).cast("binary")), key).limit(n)
 
 
 def duration(seconds: Column) -> Column:

@@ -133,10 +133,13 @@ UNION ALL (SELECT 'new', id, name FROM nw ORDER BY id LIMIT 8) UNION ALL (SELECT
 
 
 def verified_sample(spark, sf_dir):
-    """Ten random barcodes with product and brand (no SQL: random)."""
+    """Ten barcodes drawn by hash, with product and brand."""
     m, p, c = (table(spark, sf_dir, t) for t in ("marcas", "produtos", "codigos"))
     rows = c.where("tipo = 'EAN'").join(p.select(F.col("id").alias("produto_id"), "marca_id", "descricao_original"), "produto_id").join(m.select(F.col("id").alias("marca_id"), "nome"), "marca_id")
-    return reports.sample(rows.select("codigo", "descricao_original", "nome"))
+    return reports.sample(rows.select("id", "codigo", "descricao_original", "nome"), "id")
+
+
+SAMPLE_SQL = f"""{cte("marcas", "produtos", "codigos")} SELECT c.id, codigo, descricao_original, nome FROM codigos c JOIN produtos p ON p.id = produto_id JOIN marcas m ON m.id = marca_id WHERE tipo = 'EAN' ORDER BY md5(concat('42', c.id)), c.id LIMIT 10"""
 
 
 def _staging(spark, sf_dir) -> Staging:
@@ -199,7 +202,7 @@ QUERIES = {
     "supplier_summary": (supplier_summary, SUMMARY_SQL),
     "enrichment_candidates": (enrichment_candidates, ENRICH_SQL),
     "run_report": (run_report, RUN_SQL),
-    "verified_sample": (verified_sample, None),
+    "verified_sample": (verified_sample, SAMPLE_SQL),
     "staged_products": (staged_products, STAGED_SQL),
     "sync_tables": (sync_tables, SYNC_SQL),
 }

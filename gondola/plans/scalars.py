@@ -198,7 +198,7 @@ def noun_tags(spark, sf_dir):
     return t.select("id", F.explode(text.noun_tags(F.concat(F.col("title"), F.lit(" nuggets de peito")))).alias("tag"))
 
 
-_NOUN_ROWS = ", ".join(f"('{g}', '{n.replace('_', ' ')}')" for g, ns in NOUNS.items() for n in ns.split())
+_NOUN_ROWS = ", ".join(f"('{g}', '{n}')" for g, ns in NOUNS.items() for n in ns)
 NOUN_SQL = f"""{cte("rotulos")} SELECT DISTINCT id, g AS tag FROM rotulos, (VALUES {_NOUN_ROWS}) t(g, n)
  WHERE contains(regexp_replace(strip_accents(lower(concat(title, ' nuggets de peito'))), '[^a-z0-9\\s]', ' ', 'g'), n)"""
 

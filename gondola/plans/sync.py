@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gondola.functions import keys, text
 from gondola.functions.barcode import is_digits
 from gondola.operators import cdc, dedup, export, merge
+from gondola.sources.shared import materialise
 
 
 @dataclass
@@ -35,7 +36,7 @@ class Synced:
 def prepare(staging: Staging) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(brands, products, codes, conflicts) with UUID keys, of the products that have a numeric code."""
     codes, conflicts = dedup.codes_of_file(staging.codes)
-    good = codes.where(is_digits(F.col("codigo")))
+    good = materialise(codes.where(is_digits(F.col("codigo"))), "sync-numeric")
     coded = good.select("file", F.col("produto_id").alias("id")).distinct()
     products = staging.products.join(coded, ["file", "id"], "left_semi")
     used = products.select("file", F.col("marca_id").alias("id")).distinct()
@@ -67,7 +68,9 @@ def sync(staging: Staging, products: DataFrame, brands: DataFrame, codes: DataFr
     Changes are taken against the incoming rows as they come; a stored decision about an image
     outlives them in the merged table only.
     """
+    # written once: each is used in several of the results
     new_brands, new_products, new_codes, conflicts = prepare(staging)
+    new_brands, new_products, new_codes = (materialise(d, f"sync-{name}") for d, name in ((new_brands, "brands"), (new_products, "products"), (new_codes, "codes")))
     place = ["file", "ordinal"]
     last_brands = dedup.keep_last(new_brands, ["id"], place).select(*brands.columns)
     last_products = dedup.keep_last(new_products, ["id"], place)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from gondola import schemas
 from gondola.plans.sync import Staging
+from gondola.sources import workbook
+from gondola.sources.shared import ship
+from gondola.sources.sqlite import SqliteSource
 
 
 def staging(spark: SparkSession, glob: str) -> Staging:
@@ -19,9 +22,12 @@ def staging(spark: SparkSession, glob: str) -> Staging:
 
 
 def raw_products(spark: SparkSession, supplier: str, path: str, kind: str = "parquet", **options: str) -> DataFrame:
-    """A supplier's raw rows, all strings: parquet, json, csv, or jdbc with its options."""
-    reader = spark.read.format(kind).options(**options)
-    rows = reader.load() if kind == "jdbc" else (reader if kind == "parquet" else reader.schema(schemas.RAW_PRODUCTS)).load(path)
+    """A supplier's raw rows, all strings: parquet, json, csv, sqlite (with the option table), or jdbc with its options."""
+    if kind == "sqlite":
+        rows = sqlite_table(spark, path, **options)
+    else:
+        reader = spark.read.format(kind).options(**options)
+        rows = reader.load() if kind == "jdbc" else (reader if kind == "parquet" else reader.schema(schemas.RAW_PRODUCTS)).load(path)
     names = [f.split()[0] for f in schemas.RAW_PRODUCTS.split(", ")]
     have = set(rows.columns)
     return rows.select(*[(F.col(n) if n in have else F.lit(None)).cast("string").alias(n) for n in names], F.lit(supplier).alias("supplier"))
@@ -52,9 +58,12 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.concat(F.lit("https://"), F.replace(name, F.lit("__"), F.lit("/"))).alias("url"), F.col("value").alias("html"))
 
 
-def catalogue_file(spark: SparkSession, path: str) -> DataFrame:
-    """An exported catalogue (one JSON array)."""
-    return spark.read.option("multiLine", True).json(path)
+def catalogue_file(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """An exported catalogue (one JSON array): a file of any layout; with a schema, the parts that write_catalogue made (an object a line)."""
+    if schema is None:
+        return spark.read.option("multiLine", True).json(path)
+    line = F.regexp_replace(F.trim("value"), r"^\[\]$|^[\[,]\s*|(?<=\})\s*\]$", "")
+    return spark.read.text(path).select(line.alias("line")).where("line <> ''").select(F.from_json("line", schema).alias("row")).select("row.*")
 
 
 def change_log(spark: SparkSession, path: str) -> DataFrame:
@@ -101,8 +110,14 @@ def column_types(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame([(f.name, f.dataType.simpleString(), f.nullable) for f in spark.table(name).schema], "column string, type string, nullable boolean")
 
 
-def spreadsheet(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """First sheet of a small workbook; needs an Excel reader beside pandas."""
-    import pandas as pd
+def spreadsheet(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """path, sheet and named columns (texts) of the first sheet of every workbook of a folder; a file is one task's work."""
+    return workbook.table_of(workbook.read_books(spark, path).where("place = 0"), columns)
 
-    return spark.createDataFrame(pd.read_excel(path, dtype=str), schema)
+
+def sqlite_table(spark: SparkSession, path: str, table: str, partitions: int = 2, where: str = "1", schema: str | None = None) -> DataFrame:
+    """A table of an SQLite file, in so many ranges of row ids; where: a condition that SQLite tests; schema: the columns wanted, all if None."""
+    ship(spark)
+    spark.dataSource.register(SqliteSource)
+    reader = spark.read.format("sqlite").options(path=path, table=table, partitions=partitions, where=where)
+    return (reader.schema(schema) if schema else reader).load()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gondola.functions.keys import uuid5
 from gondola.functions.text import sheet_name
+from gondola.sources.shared import materialise
 
 
 def write_tables(path: str, **tables: DataFrame) -> None:
@@ -35,10 +36,28 @@ def write_report(anomalies: DataFrame, path: str) -> bool:
     return found
 
 
-def write_catalogue(rows: DataFrame, *paths: str) -> None:
-    """Export rows as JSON lines to each path."""
+def write_catalogue(rows: DataFrame, *paths: str, order: str = "id") -> None:
+    """Export rows as one JSON array to each path: a folder of text parts that are the array when read one after the other.
+
+    Every task writes its own part, an object a line. The first line of all opens the array, the
+    others begin with a comma, the last one closes it, so no task holds more than its rows. Rows
+    stand by order, equal ones by their text; no rows make an empty array.
+    """
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    said = rows.select(F.col(order).alias("_order"), F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+    placed = said.repartitionByRange(parts, "_order", "value").sortWithinPartitions("_order", "value")
+    # ids say which row is the first and which the last, also among equal rows
+    placed = materialise(placed.withColumn("_id", F.monotonically_increasing_id()), "catalogue")
+    ends = placed.agg(F.min("_id").alias("first"), F.max("_id").alias("last")).first()
+    if ends["first"] is None:
+        lines = spark.createDataFrame([("[]",)], "value string")
+    else:
+        before = F.when(F.col("_id") == ends["first"], F.lit("[")).otherwise(F.lit(","))
+        after = F.when(F.col("_id") == ends["last"], F.lit("]")).otherwise(F.lit(""))
+        lines = placed.repartitionByRange(parts, "_id").sortWithinPartitions("_id").select(F.concat(before, "value", after).alias("value"))
     for path in paths:
-        rows.write.mode("overwrite").json(path)
+        lines.write.mode("overwrite").text(path)
 
 
 def write_sheets(rows: DataFrame, group: str, path: str) -> None:

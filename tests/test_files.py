@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from gondola import schemas
+from gondola.functions import web
 from gondola.functions.keys import uuid5
-from gondola.sources import readers, writers
+from gondola.functions.text import plain_words
+from gondola.sources import readers, tables, workbook, writers
 
 
 def test_raw_products_of_each_kind(spark, tmp_path):
@@ -35,12 +37,8 @@ def test_cached_pages(spark, tmp_path):
     assert [tuple(r) for r in readers.pages(spark, str(tmp_path)).collect()] == [("https://www.x.example/p/1", "<p>one\ntwo</p>")]
 
 
-def test_catalogue_round_trip(spark, tmp_path):
-    rows = spark.createDataFrame([("1", "x"), ("2", None)], "id string, produtoDescr string")
-    writers.write_catalogue(rows, f"{tmp_path}/a", f"{tmp_path}/b")
-    for copy in "ab":
-        assert sorted(r["id"] for r in spark.read.json(f"{tmp_path}/{copy}").collect()) == ["1", "2"]
-    (tmp_path / "catalogue.json").write_text(json.dumps([{"id": "1", "nome": "é"}, {"id": "2"}]), encoding="utf-8")
+def test_catalogue_of_any_layout(spark, tmp_path):
+    (tmp_path / "catalogue.json").write_text(json.dumps([{"id": "1", "nome": "é"}, {"id": "2"}], indent=2), encoding="utf-8")
     assert sorted((r["id"], r["nome"]) for r in readers.catalogue_file(spark, f"{tmp_path}/catalogue.json").collect()) == [("1", "é"), ("2", None)]
 
 
@@ -106,3 +104,130 @@ def test_workbook(spark, tmp_path):
     writers.write_workbook(str(tmp_path), {"Produtos": products, "EAN-DUN": codes})
     assert spark.read.option("header", True).csv(f"{tmp_path}/EAN-DUN").collect() == codes.collect()
     assert spark.read.option("header", True).csv(f"{tmp_path}/Produtos").collect() == products.collect()
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 300])
+def test_catalogue_parts_make_one_array(spark, tmp_path, n):
+    """Read one after the other the parts are the array, ordered; equal rows, nulls and brackets in texts survive."""
+    rows = spark.createDataFrame([(f"{k // 2:04}", "x]" if k % 3 else None, f'[{k // 2}, "é"\n') for k in range(n)], "id string, a string, b string").repartition(5)
+    writers.write_catalogue(rows, f"{tmp_path}/one", f"{tmp_path}/two")
+    for copy in ("one", "two"):
+        text = "".join(p.read_text(encoding="utf-8") for p in sorted((tmp_path / copy).glob("part-*")))
+        found = json.loads(text)
+        assert [r["id"] for r in found] == [f"{k // 2:04}" for k in range(n)] and all(set(r) == {"id", "a", "b"} for r in found)
+        assert sorted(map(tuple, readers.catalogue_file(spark, f"{tmp_path}/{copy}", "id string, a string, b string").collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+    if n > 100:
+        assert len(list((tmp_path / "one").glob("part-*"))) > 1
+
+
+def test_books_round_trip(spark, tmp_path):
+    rows = spark.createDataFrame([("A", "x & <y> \"z\"", 1, 2.5, None), ("A", " two\nlines\x01 ", None, -1e9, "n"), ("B/é", "0012", 7, None, "")], "book string, name string, n int, v double, empty string")
+    book, hidden = F.concat(F.lit("book "), "book"), ("book",)
+    sheets = [workbook.sheet(rows, book, 0, F.lit("all"), ["n"], hidden), workbook.sheet(rows, book, 1, F.concat(F.lit("a/very*long[name]: "), F.repeat("book", F.lit(40))), ["n"], hidden), workbook.sheet(rows, book, 2, F.lit("ALL"), ["n"], hidden)]
+    for _ in range(2):  # the second replaces the first
+        workbook.write_books(sheets, str(tmp_path))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["book A.xlsx", "book B__.xlsx"]
+    read = workbook.read_books(spark, str(tmp_path))
+    first = workbook.table_of(read.where("sheet = 'all'"), ["name", "n", "v", "empty", "none"])
+    assert sorted((tuple(r)[2:] for r in first.collect()), key=repr) == sorted([('x & <y> "z"', "1", "2.5", None, None), (" two\nlines ", None, "-1.0E9", "n", None), ("0012", "7", None, "", None)], key=repr)
+    names = {(r["path"].rsplit("/")[-1][5], r["place"]): r["sheet"] for r in read.collect()}
+    assert names["A", 2] == "ALL (2)" and len(names["A", 1]) == 31 and not set("/*[]:") & set(names["A", 1])
+
+
+def test_long_sheets_go_on_and_empty_tables_make_a_book(spark, tmp_path):
+    import io
+
+    out = io.BytesIO()
+    made = workbook._Book(out, sheet_rows=3)
+    for k in range(8):
+        made.add(0, "long", [{"text": str(k), "number": True}])
+    made.close()
+    found = list(workbook.sheet_rows(out.getvalue()))
+    assert [(n, t) for _, n, _, (t,) in found] == [(["long", "long (2)", "long (3)"][k // 3], str(k)) for k in range(8)]
+    out = io.BytesIO()
+    workbook._Book(out).close()
+    assert list(workbook.sheet_rows(out.getvalue())) == []
+
+
+def test_books_of_other_writers(tmp_path):
+    """Shared strings, cell references with gaps, numbers, and targets from the package's root."""
+    import io
+    import zipfile
+
+    main, links = workbook._MAIN, workbook._LINKS
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{links}"><sheets><sheet name="S" sheetId="1" r:id="x"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships xmlns="p"><Relationship Id="x" Target="/xl/worksheets/s.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}"><si><t>plain</t></si><si><r><t>ri</t></r><r><t>ch</t></r></si></sst>')
+        z.writestr("xl/worksheets/s.xml", f'<worksheet xmlns="{main}"><sheetData><row r="1"><c r="A1" t="s"><v>1</v></c><c r="C1"><v>7.5</v></c></row><row r="3"><c r="AB3" t="s"><v>0</v></c></row></sheetData></worksheet>')
+    first, second = workbook.sheet_rows(out.getvalue())
+    assert first == (0, "S", 0, ["rich", None, "7.5"]) and second[3] == [None] * 27 + ["plain"]
+
+
+def test_sqlite_scan(spark, tmp_path):
+    """Ranges of row ids are partitions; columns and a condition go into the queries."""
+    import sqlite3
+
+    db = f"{tmp_path}/products.db"
+    with sqlite3.connect(db) as c:
+        c.execute('CREATE TABLE produtos (id INTEGER PRIMARY KEY, "a name" TEXT, price REAL, raw BLOB, n INT)')
+        c.executemany("INSERT INTO produtos VALUES (?, ?, ?, ?, ?)", [(k * 3, None if k % 7 == 0 else f"n{k % 5}'", k / 4, bytes([k % 256]), k % 11) for k in range(500)])
+        c.execute("CREATE TABLE empty (x TEXT)")
+    rows = readers.sqlite_table(spark, db, "produtos", partitions=2)
+    assert rows.rdd.getNumPartitions() == 2
+    with sqlite3.connect(db) as c:
+        assert sorted(map(tuple, rows.collect())) == sorted(c.execute("SELECT * FROM produtos").fetchall(), key=lambda r: r[0])
+        for condition in ("n = 3 AND price > 10", '"a name" IS NULL', "price <= 3 OR n = 4"):
+            want = sorted(c.execute(f"SELECT id, n FROM produtos WHERE {condition}").fetchall())
+            assert sorted(map(tuple, readers.sqlite_table(spark, db, "produtos", 3, condition, "id long, n long").collect())) == want and want
+            assert sorted((r["id"], r["n"]) for r in rows.where(condition.replace('"', "`")).collect()) == want
+        assert rows.count() == 500
+    assert readers.sqlite_table(spark, db, "empty").count() == 0
+    raw = readers.raw_products(spark, "acme", db, "sqlite", table="produtos")
+    assert raw.count() == 500 and set(raw.columns) >= {"sku", "supplier"}
+
+
+def test_stored_tables_rewrite_only_what_a_batch_touches(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = spark.range(10_000).select(F.format_string("k%06d", "id").alias("key"), F.col("id").alias("v"))
+    assert tables.create(rows, path, "key", file_rows=500) == 1
+
+    def files(version):
+        return {f for r in json.loads((tmp_path / f"t/versions/{version}.json").read_text())["ranges"] for f, _ in r["files"]}
+
+    assert len(files(1)) > 15
+    batch = spark.range(5000, 5100).select(F.format_string("k%06d", "id").alias("key"), F.lit(-1).cast("long").alias("v"))  # 1 % of the keys
+    assert tables.upsert(spark, path, batch) == 2
+    assert len(files(1) - files(2)) <= 2 and len(files(2) - files(1)) <= 2
+    assert tables.read(spark, path).where("v = -1").count() == 100 and tables.read(spark, path).count() == 10_000
+    assert tables.read(spark, path, 1).where("v = -1").count() == 0
+    more = spark.createDataFrame([("zzz", 1), (None, 2), ("", 3)], "key string, v long")
+    assert tables.upsert(spark, path, more) == 3 and tables.read(spark, path).count() == 10_003
+    assert tables.delete(spark, path, more.select("key").where("key is not null")) == 4 and tables.read(spark, path).count() == 10_001
+    assert tables.upsert(spark, path, batch.limit(0)) == 4  # an empty batch makes no version
+    with pytest.raises(Exception, match="boom"):
+        tables.change(spark, path, batch, lambda rows: rows.withColumn("v", F.raise_error(F.lit("boom")).cast("long")))
+    assert tables.versions(spark, path) == [1, 2, 3, 4] and tables.read(spark, path).count() == 10_001
+    with pytest.raises(Exception, match="FileAlreadyExists"):  # another writer was first
+        tables._commit(spark, path, 4, {})
+    assert tables.create(rows.limit(0), f"{tmp_path}/none", "key") == 1 and tables.read(spark, f"{tmp_path}/none").count() == 0
+    assert tables.upsert(spark, f"{tmp_path}/none", batch) == 2 and tables.read(spark, f"{tmp_path}/none").count() == 100
+
+
+def test_sitemap_addresses(spark):
+    xml = "<url><loc> https://a.example/1 </loc></url><url><loc>/relative</loc></url><url><loc><![CDATA[http://b.example]]></loc></url><url><loc>ftp://c</loc></url>"
+    assert spark.createDataFrame([(xml,)], "x string").select(web.sitemap_addresses(F.col("x"))).first()[0] == ["https://a.example/1", "http://b.example"]
+
+
+def test_plain_words_take_ligatures_apart(spark):
+    import re
+    import unicodedata
+
+    letters = [chr(c) for c in (*range(0x20, 0xD800), *range(0xE000, 0x10000))]
+    texts = ["ﬁlé de peixe ½ kg", "㎏ ㎖ ǆ ĳ №", *("".join(letters[at : at + 40]) for at in range(0, len(letters), 40))]
+    plain = lambda t: re.sub("[̀-ͯ]", "", unicodedata.normalize("NFKD", re.sub("[̀-ͯ]", "", t)))
+    folded = lambda t: " ".join(re.sub("[^a-z0-9]", " ", "".join(c.lower() if c < "\x80" else c for c in plain(t))).split())
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(plain_words(F.col("t"))).collect()]
+    assert got[:2] == ["file de peixe 1 2 kg", "kg ml dz ij no"]
+    assert [" ".join(g.split()) for g in got] == [folded(t) for t in texts]
