@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from gondola.plans import files, relational, report_queries, scalars
+from gondola.plans import files, markup, relational, report_queries, scalars
 
 
 def _all() -> dict:
-    return {**scalars.QUERIES, **relational.QUERIES, **report_queries.QUERIES, **files.QUERIES}
+    return {**scalars.QUERIES, **relational.QUERIES, **report_queries.QUERIES, **files.QUERIES, **markup.QUERIES}
 
 
 def queries() -> dict:

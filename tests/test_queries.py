@@ -55,3 +55,15 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize(("name", "column"), [("brand_pages", "image_url"), ("trade_pages", "image_url"), ("shop_pages", "image_url"), ("shop_pages", "ean"), ("gtin_pages", "image_url"), ("image_subset", "origem")])
+def test_every_form_has_rows(spark, name, column):
+    """Found and not found, and every origin of an image."""
+    found = [r[column] for r in catalogue.queries()[name](spark, SF).collect()]
+    assert any(found) and (len(set(found)) == 2 if name == "image_subset" else any(not x for x in found))
+
+
+def test_the_matchs_plan_is_small(spark):
+    plan = catalogue.queries()["image_match"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 50_000
