@@ -105,3 +105,8 @@ def worker_encoder(path: str | None = None) -> ChunkEncoder:
     if key not in _encoders:
         _encoders[key] = ChunkEncoder(path)
     return _encoders[key]
+
+
+def release() -> None:
+    """Forget this worker's encoders: workers serve one stage after another, and their caches are large."""
+    _encoders.clear()
