@@ -342,11 +342,12 @@ CODE_SHEET_SQL = f"""{cte("produtos", "codigos")} SELECT c.id, produto_id, coale
 def image_subset(spark, sf_dir):
     """Exported products of some brands that have an image."""
     files = _read(spark, sf_dir, "part").where("p_partkey % 7 = 6").select(F.concat(F.lit("/x/790"), F.lpad(F.col("p_partkey").cast("string"), 10, "0"), F.lit(".webp")).alias("path"))
-    return export.image_subset(export_catalogue(spark, sf_dir), files, ["_1", "_7", "_24"], "Family")
+    shown = F.when(F.col("id").rlike("[13579]$"), F.concat(F.lit("https://cdn.example.com/"), "id"))
+    return export.image_subset(export_catalogue(spark, sf_dir).withColumn("imagemUrl", shown), files, ["_1", "_7", "_24"], "Family")
 
 
 IMAGE_SUBSET_SQL = f"""WITH e AS ({EXPORT_SQL}), f AS (SELECT concat('790', lpad(CAST(p_partkey AS VARCHAR), 10, '0')) AS ean FROM part WHERE p_partkey % 7 = 6),
-j AS (SELECT e.*, f.ean IS NOT NULL AS loc, coalesce("imagemUrl", '') AS u FROM e LEFT JOIN f ON f.ean = "produtoEan" WHERE regexp_matches(lower("marcaDescr"), '_1|_7|_24'))
+j AS (SELECT e.*, f.ean IS NOT NULL AS loc, CASE WHEN regexp_matches(e.id, '[13579]$') THEN concat('https://cdn.example.com/', e.id) ELSE '' END AS u FROM e LEFT JOIN f ON f.ean = "produtoEan" WHERE regexp_matches(lower("marcaDescr"), '_1|_7|_24'))
 SELECT id, "produtoEan" AS ean, coalesce(nullif("produtoDun", ''), 'N/D') AS dun, "marcaDescr" AS marca, coalesce(nullif("produtoDescr", ''), 'N/D') AS descricao, coalesce(nullif("produtoClasse", ''), 'Industrializados') AS classe, "produtoConservacao" AS conservacao,
  CASE WHEN loc THEN concat('/imagens_produtos/', "produtoEan", '.webp') ELSE u END AS imagem, 'VALIDATED' AS status, CASE WHEN loc THEN 'WebP Local (0ms offline)' ELSE 'URL Web Oficial' END AS origem FROM j WHERE loc OR u LIKE 'http%'"""
 
