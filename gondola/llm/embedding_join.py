@@ -1,12 +1,13 @@
 """Embedding near-dedup: an exact metric range join.
 
 Vectors are scaled to length one, where cosine >= c is distance <= e = sqrt(2 - 2c). Pivots (a
-bounded, hash-ordered sample) split them into cells by the nearest pivot; a cell's radius is the
-largest distance of its members. By the triangle inequality a vector can only have partners in a
-cell whose pivot is within radius + e, so it is replicated to those cells alone. Large cells are
-cut into blocks by a hash, and every pair of blocks that may hold a link is compared by one task
-with matrix products: it returns each vector's number of links and a spanning forest, never the
-pairs themselves.
+bounded, hash-ordered sample, far from one another) split them into cells by the nearest pivot. By the triangle
+inequality a vector x can only have partners in a cell of pivot p if d(x, p) is at most the cell's
+radius + e and at most d(x, own pivot) + 2e, and if x's distance to each pivot of a table lies
+within e of those that the cell's members have to it. It is replicated to such cells alone. Large
+cells are cut into blocks by a hash, and every pair of blocks that may hold a link is compared by
+one task with matrix products: it returns each vector's number of links and a spanning forest,
+never the pairs themselves.
 
 Pivots only steer the work; every vector is compared whatever the sample. Defined cases: vectors
 that are null, empty, zero or hold null or non-finite components link with nothing; vectors of
@@ -23,15 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gondola.llm.common import connected_components, map_in_arrow, materialise
+from gondola.llm.common import connected_components, map_in_arrow, materialise, slices
 
 COSINE = 0.95
 #: Bytes of a block at most: two of them, a few copies and a strip of their products fit a task.
 BLOCK_BYTES = 32 << 20
 #: Pairs of blocks for each core while blocks are smaller than that.
 PAIRS_PER_CORE = 3
-#: At most so many pivots, all of a bounded sample.
-MAX_PIVOTS = 256
+#: At most so many pivots, all of a bounded sample, and how many of them the table has (two numbers for each and each cell).
+MAX_PIVOTS, TABLE_PIVOTS = 1024, 64
 #: So many products are held at once.
 _STRIP_CELLS = 1 << 22
 
@@ -60,6 +61,15 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2 - 2 * (x @ pivots.T)))
 
 
+def spread(x: np.ndarray, n: int) -> np.ndarray:
+    """n rows of x at most, each the farthest from those before it; equal rows are taken once."""
+    chosen, far = [0], _distances(x, x[:1])[:, 0]
+    while len(chosen) < n and far.max() > 1e-6:
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, _distances(x, x[chosen[-1:]])[:, 0])
+    return x[chosen]
+
+
 def _join(parent: np.ndarray, row: int, cols: np.ndarray) -> None:
     """Put a row and all columns that it hits under one root, in arrays: never one by one."""
     at = np.append(cols, row)
@@ -106,8 +116,8 @@ def _block_rows(dim: int, n: int, cores: int) -> int:
     return max(1, min(-(-n // blocks), BLOCK_BYTES // (8 * dim)))
 
 
-def range_links(df: DataFrame, cosine: float = COSINE, block_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows, found): rows(_row, vec_id, ...) of df(vec_id, embedding), and found(_row, n_links, root) of the blocks compared."""
+def block_pairs(df: DataFrame, cosine: float = COSINE, block_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, pairs): rows(_row, vec_id, ...) of df(vec_id, embedding), and pairs(dim, c1, b1, c2, b2, side, _row, v), the members of each pair of blocks."""
     reach = math.sqrt(2 - 2 * cosine) + 1e-9
     rows = _usable(df)
     whole = rows.where("dim is not null")
@@ -123,7 +133,7 @@ def range_links(df: DataFrame, cosine: float = COSINE, block_rows: int | None =
         drawn = whole.join(F.broadcast(share), "dim").where((F.pmod(F.xxhash64("_row"), F.lit(1 << 30)) / float(1 << 30)) < F.col("share"))
         for r in drawn.select("dim", "v").collect():
             sample[r["dim"]].append(list(r["v"]))
-    pivots = {dim: unit_rows(vs[: wanted[dim]])[0] for dim, vs in sample.items()}
+    pivots = {dim: spread(unit_rows(vs)[0], wanted[dim]) for dim, vs in sample.items()}
 
     def celled(batches):
         for b in batches:
@@ -137,31 +147,66 @@ def range_links(df: DataFrame, cosine: float = COSINE, block_rows: int | None =
 
     fields = "_row long, dim int, v array<double>, cell int, far double"
     placed = materialise(map_in_arrow(whole.select("_row", "dim", "v"), celled, fields), "vectors-celled")
-    # as many rows as there are pivots
-    cells = {(r["dim"], r["cell"]): (r["n"], r["far"]) for r in placed.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
-    blocks = {c: -(-n // size[c[0]]) for c, (n, _) in cells.items()}
+    def ranges(batches):
+        for b in batches:
+            dims, own = np.array(b.column(1).to_pylist()), b.column(3).to_numpy()
+            out = []
+            for dim in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == dim)
+                d = _distances(unit_rows(b.column(2).take(pa.array(at)).to_pylist())[0], pivots[dim][:TABLE_PIVOTS])
+                for c in np.unique(own[at]).tolist():
+                    mine = d[own[at] == c]
+                    out.append((dim, c, len(mine), mine.min(axis=0).tolist(), mine.max(axis=0).tolist()))
+            columns = list(zip(*out)) or [()] * 5
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["dim", "cell", "n", "low", "high"])
+
+    # as many rows as there are pivots, each with the table's ranges of distances
+    parts = map_in_arrow(placed, ranges, "dim int, cell int, n long, low array<double>, high array<double>")
+    each = parts.select("dim", "cell", "n", F.posexplode(F.arrays_zip("low", "high")).alias("k", "x"))
+    each = each.groupBy("dim", "cell", "k").agg(F.sum("n").alias("n"), F.min("x.low").alias("low"), F.max("x.high").alias("high"))
+    table = each.groupBy("dim", "cell").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("k", "low", "high"))).alias("ranges"))
+    radius = placed.groupBy("dim", "cell").agg(F.max("far").alias("far"))
+    held = {(r["dim"], r["cell"]): r for r in table.join(radius, ["dim", "cell"]).collect()}
+    here = {dim: [c for c in range(len(pivots[dim])) if (dim, c) in held] for dim in pivots}
+    far = {dim: np.array([held[dim, c]["far"] for c in cs]) for dim, cs in here.items()}
+    low, high = ({dim: np.array([[x[side] for x in held[dim, c]["ranges"]] for c in cs]) for dim, cs in here.items()} for side in ("low", "high"))
+    blocks = {c: -(-r["n"] // size[c[0]]) for c, r in held.items()}
+
+    def reached(dim: int, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row and cell (its place in here) of every vector and cell that may hold a partner of it."""
+        d = _distances(x, pivots[dim][here[dim]])
+        i, c = np.nonzero((d <= far[dim] + reach) & (d <= d.min(axis=1, keepdims=True) + 2 * reach))
+        to = _distances(x, pivots[dim][:TABLE_PIVOTS])
+        for k in range(to.shape[1]):
+            keep = (to[i, k] >= low[dim][c, k] - reach) & (to[i, k] <= high[dim][c, k] + reach)
+            i, c = i[keep], c[keep]
+        return i, c
 
     def replicated(batches):
-        for b in batches:
+        for b in slices(batches, 2048):
             rows_, dims, own_cells = (b.column(k).to_pylist() for k in (0, 1, 3))
             vs = b.column(2).to_pylist()
             out = {k: [] for k in ("dim", "c1", "b1", "c2", "b2", "side", "at")}
             for d in set(dims):
                 mine = [i for i, x in enumerate(dims) if x == d]
-                here = [c for c in range(len(pivots[d])) if (d, c) in cells]
-                reached = _distances(unit_rows([vs[i] for i in mine])[0], pivots[d][here]) <= np.array([cells[d, c][1] + reach for c in here])
-                for i, near in zip(mine, reached):
+                for i, c in zip(*(x.tolist() for x in reached(d, unit_rows([vs[i] for i in mine])[0]))):
+                    i = mine[i]
                     own = (own_cells[i], (rows_[i] * 2654435761 >> 15) % blocks[d, own_cells[i]])
-                    for c in np.flatnonzero(near):
-                        for k in range(blocks[d, here[c]]):
-                            first, second = sorted((own, (here[c], k)))
-                            for key, value in zip(out, (d, *first, *second, int(own == second and first != second), i)):
-                                out[key].append(value)
+                    for k in range(blocks[d, here[d][c]]):
+                        first, second = sorted((own, (here[d][c], k)))
+                        for key, value in zip(out, (d, *first, *second, int(own == second and first != second), i)):
+                            out[key].append(value)
             at = np.array(out.pop("at"), np.int64)
             arrays = [pa.array(x, pa.int32()) for x in out.values()]
             yield pa.RecordBatch.from_arrays([*arrays, b.column(0).take(pa.array(at)), b.column(2).take(pa.array(at))], [*out, "_row", "v"])
 
-    pairs = map_in_arrow(placed, replicated, "dim int, c1 int, b1 int, c2 int, b2 int, side int, _row long, v array<double>")
+    return rows, map_in_arrow(placed, replicated, "dim int, c1 int, b1 int, c2 int, b2 int, side int, _row long, v array<double>")
+
+
+def range_links(df: DataFrame, cosine: float = COSINE, block_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, found): rows(_row, vec_id, ...) of df(vec_id, embedding), and found(_row, n_links, root) of the blocks compared."""
+    rows, pairs = block_pairs(df, cosine, block_rows)
 
     def linked(table: pa.Table) -> pa.Table:
         side, ids = table.column("side").to_numpy(), table.column("_row").to_numpy()

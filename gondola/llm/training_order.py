@@ -42,6 +42,8 @@ SHARD_LEAST, SHARD_MOST = 1024, 32_768
 BLOCK_IDS = 1 << 18
 #: Rows of each partition whose ids' frequencies order the codes.
 RANK_ROWS = 64
+#: A table of splits up to this many (about 150 bytes each) is broadcast; a larger one is joined by shuffle.
+BROADCAST_SPLITS = 200_000
 KEY = 0x9E3779B97F4A7C15
 ROUNDS = 6
 END_ID = 1
@@ -198,7 +200,8 @@ def token_sequences(docs: DataFrame, tokens: int = SEQUENCE_TOKENS, stored: bool
     for file, split, n in sizes:
         starts.append((file, split, total))
         total += n
-    return TokenStream(blocks, docs.sparkSession.createDataFrame(starts, "file string, split long, start long"), total, tokens, codec)
+    where = docs.sparkSession.createDataFrame(starts, "file string, split long, start long")
+    return TokenStream(blocks, F.broadcast(where) if len(starts) <= BROADCAST_SPLITS else where, total, tokens, codec)
 
 
 class _Blocks:
@@ -276,7 +279,7 @@ def in_training_order(stream: TokenStream, key: int = KEY, shard_sequences: int
     size = shard_sequences or max(SHARD_LEAST, min(SHARD_MOST, -(-stream.total // stream.tokens // 64)))
     codec = stream.codec
     fields = "slot long, shard int, record int, place long, n_tokens long, doc_ids array<bigint>, starts array<bigint>, lengths array<bigint>" + ", ids binary" * with_ids
-    placed = stream.blocks.join(F.broadcast(stream.starts), ["file", "split"]).select(
+    placed = stream.blocks.join(stream.starts, ["file", "split"]).select(
         (F.col("start") + F.col("at")).alias("start"), "doc_ids", "starts", "lengths", *(["ids"] if with_ids else [F.lit(None).cast("binary").alias("ids")])
     )
     whole = map_in_arrow(placed, _cut(stream, key, size, True, with_ids), fields)

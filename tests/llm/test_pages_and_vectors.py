@@ -104,6 +104,28 @@ def test_embedding_join(spark, block_rows):
     assert all(g["kept"] == (g["vec_id"] == g["component_id"]) for g in got)
 
 
+def clustered(spark, clusters, each=40, dim=16):
+    r = np.random.default_rng(clusters)
+    centres = r.normal(size=(clusters, dim))
+    rows = [(int(k), (c + r.normal(size=dim) * 0.05).tolist()) for k, c in enumerate(np.repeat(centres, each, axis=0))]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>"), np.array([v for _, v in rows])
+
+
+def test_pairs_of_blocks_grow_with_clustered_vectors(spark):
+    """Twice the clusters, about twice the pairs of blocks (all pairs would be four times); every link is found."""
+    pairs = {}
+    for clusters in (50, 100, 200):
+        df, x = clustered(spark, clusters)
+        _, placed = embedding_join.block_pairs(df, block_rows=40)
+        both = placed.groupBy("dim", "c1", "b1", "c2", "b2").agg(F.count_distinct("side").alias("sides")).where("sides = 2 or (c1 = c2 and b1 = b2)")
+        pairs[clusters] = both.count()
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        want = (x @ x.T >= 0.95).sum(axis=1) - 1
+        got = {r["vec_id"]: r["n_links"] for r in embedding_join.near_groups(df, block_rows=40).collect()}
+        assert [got[k] for k in range(len(x))] == want.tolist()
+    assert pairs[200] < 2.6 * pairs[100] < 2.6 * 2.6 * pairs[50] and pairs[200] < 200 * 201 / 2 / 5
+
+
 def test_blocks_keep_every_tree_together(spark):
     r = np.random.default_rng(3)
     x, _ = embedding_join.unit_rows(list(r.normal(size=(90, 3))))
