@@ -96,14 +96,14 @@ class ChunkEncoder:
             return self._whole(text)
 
 
-_encoders: dict[str, ChunkEncoder] = {}
+_encoders: dict[tuple, ChunkEncoder] = {}
 
 
-def worker_encoder(path: str | None = None) -> ChunkEncoder:
-    """This worker process's encoder, built once."""
-    key = path or ""
+def worker_encoder(path: str | None = None, cache_chunks: int = CACHE_CHUNKS) -> ChunkEncoder:
+    """This worker process's encoder, built once for each vocabulary and size of its cache."""
+    key = (path, cache_chunks)
     if key not in _encoders:
-        _encoders[key] = ChunkEncoder(path)
+        _encoders[key] = ChunkEncoder(path, cache_chunks)
     return _encoders[key]
 
 
