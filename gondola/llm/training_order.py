@@ -13,7 +13,7 @@ split or how many partitions a shuffle has. Sequences that two partitions share
 an exchange of these alone. A DataFrame without files is first written in the order of doc_id.
 
 Ids are compressed in the blocks and in the exchange: as ranks by frequency in a sample,
-RANK_ROWS rows of each partition (any ids can be coded whatever the sample), common ones in one byte; the shards hold them plain.
+RANK_ROWS rows of one partition in RANK_PARTS (any ids can be coded whatever the sample), common ones in one byte; the shards hold them plain.
 
 Defined cases: a null text is empty and adds the end id only; repeated rows are each in the
 stream; null ids stay null; an empty table gives no sequences and no shards. Only the named
@@ -29,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +41,8 @@ SEQUENCE_TOKENS = 2048
 SHARD_LEAST, SHARD_MOST = 1024, 32_768
 #: Ids of a block of the stream.
 BLOCK_IDS = 1 << 18
-#: Rows of each partition whose ids' frequencies order the codes.
-RANK_ROWS = 64
+#: Rows whose ids' frequencies order the codes: the first so many of one partition in RANK_PARTS.
+RANK_ROWS, RANK_PARTS = 64, 8
 #: A table of splits up to this many (about 150 bytes each) is broadcast; a larger one is joined by shuffle.
 BROADCAST_SPLITS = 200_000
 KEY = 0x9E3779B97F4A7C15
@@ -111,9 +112,11 @@ _codecs: dict[bytes, Codec] = {}
 
 
 def codec_of(docs: DataFrame) -> Codec:
-    """A codec by the ids of each partition's first rows; known to plain_ids from then on."""
+    """A codec by the ids of some partitions' first rows; known to plain_ids from then on."""
 
     def run(batches):
+        if TaskContext.get().partitionId() % RANK_PARTS:
+            return
         encode, n, left = worker_encoder().encode, np.zeros(1 << 16, np.int64), RANK_ROWS
         for b in slices(batches, RANK_ROWS):
             for text in b.column(0).slice(0, left).to_pylist():
