@@ -62,9 +62,17 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(app)
 
 
+#: Rows of an Arrow batch where the session has Spark's own number: texts are long, and each task holds a batch on either side.
+BATCH_ROWS = 1024
+_BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+
+
 def map_in_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """df.mapInArrow with this package on the workers."""
-    ship(df.sparkSession)
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH[0]) == _BATCH[1]:
+        spark.conf.set(_BATCH[0], BATCH_ROWS)
     return df.mapInArrow(run, schema)
 
 
