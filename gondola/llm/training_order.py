@@ -13,7 +13,7 @@ split or how many partitions a shuffle has. Sequences that two partitions share
 an exchange of these alone. A DataFrame without files is first written in the order of doc_id.
 
 Ids are compressed in the blocks and in the exchange: as ranks by frequency in a sample,
-RANK_ROWS rows of one partition in RANK_PARTS (any ids can be coded whatever the sample), common ones in one byte; the shards hold them plain.
+RANK_ROWS rows of each partition of RANK_FILES files (any ids can be coded whatever the sample), common ones in one byte; the shards hold them plain.
 
 Defined cases: a null text is empty and adds the end id only; repeated rows are each in the
 stream; null ids stay null; an empty table gives no sequences and no shards. Only the named
@@ -25,11 +25,11 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,8 +41,8 @@ SEQUENCE_TOKENS = 2048
 SHARD_LEAST, SHARD_MOST = 1024, 32_768
 #: Ids of a block of the stream.
 BLOCK_IDS = 1 << 18
-#: Rows whose ids' frequencies order the codes: the first so many of one partition in RANK_PARTS.
-RANK_ROWS, RANK_PARTS = 64, 8
+#: Rows whose ids' frequencies order the codes: the first so many of each partition of so many files.
+RANK_ROWS, RANK_FILES = 64, 4
 #: A table of splits up to this many (about 150 bytes each) is broadcast; a larger one is joined by shuffle.
 BROADCAST_SPLITS = 200_000
 KEY = 0x9E3779B97F4A7C15
@@ -112,23 +112,21 @@ _codecs: dict[bytes, Codec] = {}
 
 
 def codec_of(docs: DataFrame) -> Codec:
-    """A codec by the ids of some partitions' first rows; known to plain_ids from then on."""
+    """A codec by the ids of the first rows of some files, which alone are read; known to plain_ids from then on."""
 
     def run(batches):
-        if TaskContext.get().partitionId() % RANK_PARTS:
-            return
-        encode, n, left = worker_encoder().encode, np.zeros(1 << 16, np.int64), RANK_ROWS
-        for b in slices(batches, RANK_ROWS):
-            for text in b.column(0).slice(0, left).to_pylist():
+        encode, n = worker_encoder().encode, np.zeros(1 << 16, np.int64)
+        for b in slices(batches):
+            for text in b.column(0).to_pylist():
                 n += np.bincount(np.frombuffer(encode(text or ""), "<u2"), minlength=1 << 16)
-            left -= b.num_rows
-            if left <= 0:
-                break
         seen = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(n[seen], pa.int64())], ["id", "n"])
 
+    files = sorted({unquote(f.rpartition("/")[2]) for f in docs.inputFiles()})
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = docs.where(F.col("_metadata.file_name").isin(files[:: max(1, -(-len(files) // RANK_FILES))])).select(F.col("text").cast("string").alias("text"), place.alias("place"))
     counts = np.zeros(1 << 16, np.int64)
-    found = map_in_arrow(docs.select(F.col("text").cast("string")), run, "id long, n long")
+    found = map_in_arrow(rows.where(F.col("place") < RANK_ROWS).select("text"), run, "id long, n long")
     for r in found.groupBy("id").agg(F.sum("n").alias("n")).collect():  # as many rows as the vocabulary at most
         counts[r["id"]] = r["n"]
     codec = Codec(np.argsort(-counts, kind="stable"))
