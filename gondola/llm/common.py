@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,13 +69,27 @@ BATCH_ROWS = 1024
 _BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
 
 
+def give_back() -> None:
+    """Hand what this worker has freed back to the system: workers wait between stages, and what they hold then is lost to the executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
 def map_in_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """df.mapInArrow with this package on the workers."""
     spark = df.sparkSession
     ship(spark)
     if spark.conf.get(_BATCH[0]) == _BATCH[1]:
         spark.conf.set(_BATCH[0], BATCH_ROWS)
-    return df.mapInArrow(run, schema)
+
+    def task(batches):
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
 
 
 def slices(batches, rows: int = 256):
