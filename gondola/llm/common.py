@@ -3,67 +3,20 @@
 from __future__ import annotations
 
 import ctypes
-import re
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gondola.sources.shared import materialise, shared_dir, shared_path, ship
+
+__all__ = ["connected_components", "hashed_uniform", "map_in_arrow", "materialise", "numbered", "shared_dir", "shared_path", "ship", "slices", "text_or_empty", "with_global_index", "word_count"]
+
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 _ROW_BITS = 33
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir; where it is unset one of our own, in a local session alone."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not path:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="gondola-"))
-        path = spark.sparkContext.getCheckpointDir()
-    return path.rstrip("/")
-
-
-def shared_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder; what is written there goes when the driver ends."""
-    name = f"{shared_dir(spark)}/gondola-{label}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return name
-
-
-def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: cuts the lineage, fixes row ids, survives lost executors.
-
-    zstd is for wide binary columns: its buffers lie outside the heap, and many small writes pile them up.
-    """
-    spark = df.sparkSession
-    path = shared_path(spark, label)
-    df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once an application: they may not have it on their path."""
-    app = spark.sparkContext.applicationId
-    if app not in _shipped:
-        root = Path(__file__).resolve().parent.parent
-        archive = Path(tempfile.mkdtemp(prefix="gondola-code-")) / "gondola.zip"
-        with zipfile.ZipFile(archive, "w") as z:
-            for file in sorted(root.rglob("*.py")):
-                z.write(file, file.relative_to(root.parent))
-        spark.sparkContext.addPyFile(str(archive))
-        _shipped.add(app)
-
-
 #: Rows of an Arrow batch where the session has Spark's own number: texts are long, and each task holds a batch on either side.
 BATCH_ROWS = 1024
 _BATCH = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
