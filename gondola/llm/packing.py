@@ -7,10 +7,9 @@ frequencies over the tails of all documents), a seed tail retrieves its unused n
 score, and they fill the seed's window in that order. The last one is cut to fit exactly; its
 rest is the next seed. Only the last window of a partition can be padded.
 
-A seed's candidates are the CANDIDATES unused tails that score best on the ids that at most one
-tail in COMMON of the shard holds; these are ranked by all ids. So a neighbour can be missed, but
-no tail: when the candidates are used up the seed asks again. Once half of a shard's tails are
-used its index is built anew without them.
+A seed's neighbours are ranked by all of its ids against all unused tails of the shard; CANDIDATES
+of them are handed out at a time, and when these are used up the seed asks again, so none is
+missed in a shard. Once half of a shard's tails are used its index is built anew without them.
 
 Defined cases: a null text is empty (its only id is the end id); repeated rows are packed each;
 null ids stay null; an empty table gives no pieces. Only the named columns are read.
@@ -33,7 +32,7 @@ from gondola.llm.tokenizing import CACHE_CHUNKS, release, worker_encoder
 WINDOW = 2048
 #: Tails of an index shard (about 2,500 bytes each), and up to twice as many where ranges come out uneven.
 SHARD_TAILS = 16_384
-#: Candidates of a seed that are ranked by all ids, and the share of tails (one in so many) over which an id finds none.
+#: Neighbours that a seed is given at a time, and the share of tails (one in so many) over which an id's weights are kept as a row of all tails.
 CANDIDATES, COMMON = 384, 10
 END_ID = 1
 IDS = 1 << 16
@@ -128,39 +127,36 @@ class Index:
         order = rare[np.argsort(ids[rare], kind="stable")]
         self.docs, self.weights = docs[order], weights[order]
         self.starts = np.searchsorted(ids[order], np.arange(IDS + 1))
-        # of common ones: a column of weights
-        self.column = np.full(IDS, -1)
-        self.column[held] = np.arange(held.sum())
-        self.common = np.zeros((self.n, held.sum()), np.float32)
+        # of common ones: a row of weights
+        self.row = np.full(IDS, -1)
+        self.row[held] = np.arange(held.sum())
+        self.common = np.zeros((held.sum(), self.n), np.float32)
         at = np.flatnonzero(held[ids])
-        self.common[docs[at], self.column[ids[at]]] = weights[at]
+        self.common[self.row[ids[at]], docs[at]] = weights[at]
 
-    def _rare(self, terms: np.ndarray) -> np.ndarray | None:
-        """Of every tail, the part of the score that ids make that aren't common."""
+    def _all(self, terms: np.ndarray) -> np.ndarray:
+        """Of every tail, the score."""
         spans = [(a, b) for a, b in zip(self.starts[terms].tolist(), self.starts[terms.astype(np.int64) + 1].tolist()) if a < b]
+        rows = self.row[terms]
+        total = np.zeros(self.n, np.float32)
+        for k in rows[rows >= 0].tolist():
+            total += self.common[k]
         if not spans:
-            return None
-        return np.bincount(np.concatenate([self.docs[a:b] for a, b in spans]), np.concatenate([self.weights[a:b] for a, b in spans]), self.n)
-
-    def _all(self, terms: np.ndarray, tails: np.ndarray, part: np.ndarray | None) -> np.ndarray:
-        asked = np.zeros(self.common.shape[1], np.float32)
-        columns = self.column[terms]
-        asked[columns[columns >= 0]] = 1
-        return self.common[tails] @ asked + (0 if part is None else part[tails])
+            return total
+        return total + np.bincount(np.concatenate([self.docs[a:b] for a, b in spans]), np.concatenate([self.weights[a:b] for a, b in spans]), self.n)
 
     def scores(self, terms: np.ndarray, tails: np.ndarray) -> np.ndarray:
         """BM25 of those tails for a seed's distinct ids."""
-        return self._all(terms, tails, self._rare(terms))
+        return self._all(terms)[tails]
 
     def nearest(self, terms: np.ndarray, free: np.ndarray) -> np.ndarray:
-        """The best candidates among the free tails, best first."""
-        left, part = np.flatnonzero(free), self._rare(terms)
+        """The best of the free tails, as many as candidates, best first."""
+        left = np.flatnonzero(free)
+        lost = -self._all(terms)[left]
         if len(left) > self.candidates:
-            if part is None:
-                left = left[: self.candidates]
-            else:
-                left = left[np.sort(np.argpartition(-part[left], self.candidates)[: self.candidates])]
-        return left[np.argsort(-self._all(terms, left, part), kind="stable")]
+            best = np.sort(np.argpartition(lost, self.candidates)[: self.candidates])
+            left, lost = left[best], lost[best]
+        return left[np.argsort(lost, kind="stable")]
 
 
 def _packer(window: int, idf: np.ndarray, mean: float, with_ids: bool, shard_tails: int, candidates: int):
