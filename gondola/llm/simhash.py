@@ -39,13 +39,16 @@ def fingerprint(raw: bytes, words: int = 3, seed: int = 42) -> int:
     if not found:
         return 0
     shingles = map(b" ".join, zip(*[found[k:] for k in range(words)])) if len(found) >= words else [b" ".join(found)]
-    n = max(1, len(found) - words + 1)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.dtype("<u8"), n)
+    return majority(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), np.dtype("<u8"), max(1, len(found) - words + 1)))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes, as a signed 64-bit integer."""
     set_bits = np.zeros(64, np.int64)
-    for at in range(0, n, _CHUNK):
-        bits = np.unpackbits(hashes[at : at + _CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for at in range(0, len(hashes), _CHUNK):
+        bits = np.unpackbits(hashes[at : at + _CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         set_bits += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(set_bits * 2 > n, bitorder="little").view("<i8")[0])
+    return int(np.packbits(set_bits * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
 def fingerprints(docs: DataFrame, words: int = 3, also: tuple[str, ...] = ()) -> DataFrame:
