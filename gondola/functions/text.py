@@ -169,10 +169,15 @@ def _spread(text: Column) -> Column:
     return F.when(text.rlike("[" + "".join(_SPREAD) + "]"), apart).otherwise(text)
 
 
+def _unaccented(text: Column) -> Column:
+    bare = F.regexp_replace(let(text, _spread), "[\u0300-\u036f]", "")
+    return F.translate(bare, "".join(_FOLDED), "".join(_FOLDED.values()))
+
+
 def plain_words(text: Column) -> Column:
     """Lower case without accents (composed or combining), compatibility characters taken apart, anything but letters and digits a space."""
-    bare = F.regexp_replace(let(F.coalesce(text, F.lit("")), _spread), "[\u0300-\u036f]", "")
-    low = F.lower(F.translate(bare, "".join(_FOLDED), "".join(_FOLDED.values())))
+    # the long tables are looked at for texts with other characters than ASCII's alone
+    low = let(F.coalesce(text, F.lit("")), lambda t: F.lower(F.when(t.rlike("[^\\x00-\\x7F]"), _unaccented(t)).otherwise(t)))
     return squeeze(F.regexp_replace(low, r"[^a-z0-9\s]", " "))
 
 

@@ -41,6 +41,11 @@ def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """df dealt to as many tasks as a shuffle has, by columns of many values."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 _shipped: set[str] = set()
 
 
