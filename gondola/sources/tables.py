@@ -23,6 +23,8 @@ from gondola.operators.merge import upsert as merged
 
 #: Rows of a file about, where the caller doesn't say.
 FILE_ROWS = 1_000_000
+#: Files that a task writes at most, one after the other: a task of its own for each costs more than a small file.
+TASK_FILES = 64
 #: Files of a table at most: their bounds are compared in the plan, and the driver holds a line of each.
 MAX_FILES = 10_000
 
@@ -59,16 +61,34 @@ def _commit(spark: SparkSession, path: str, version: int, manifest: dict) -> Non
     context.rename(files.makeQualified(beside), files.makeQualified(jvm.org.apache.hadoop.fs.Path(f"{path}/versions/{version}.json")), none)
 
 
-def _owner(key: Column, lows: list) -> Column:
+def _at_or_below(value: Column, ascending: list, kind: str) -> Column:
+    """How many of the ascending values are at or below the value (none for a null), by halving: the work a row grows with the number's logarithm."""
+    # one literal, however many values there are
+    held = F.from_json(F.lit(json.dumps(ascending)), f"array<{kind}>")
+    first = F.struct(F.lit(0).alias("low"), F.lit(len(ascending)).alias("high"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.shiftright(at["low"] + at["high"], 1)
+        below = F.coalesce(F.get(held, middle) <= value, F.lit(False))
+        low = F.when((at["low"] < at["high"]) & below, middle + 1).otherwise(at["low"])
+        high = F.when((at["low"] < at["high"]) & ~below, middle).otherwise(at["high"])
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    steps = F.sequence(F.lit(1), F.lit(len(ascending).bit_length()))
+    return F.aggregate(steps, first, halve, lambda at: at["low"])
+
+
+def _owner(key: Column, lows: list, kind: str) -> Column:
     """Which file's range holds the key: the number of lower bounds after the first at or below it."""
-    return F.lit(0) if len(lows) < 2 else F.coalesce(F.size(F.filter(F.array(*map(F.lit, lows[1:])), lambda low: low <= key)), F.lit(0))
+    return F.lit(0) if len(lows) < 2 else _at_or_below(key, lows[1:], kind)
 
 
 def _write(rows: DataFrame, key: str, path: str, owners: list[int]) -> dict[int, list]:
-    """rows (with _owner) to a folder of their own, the rows of an owner by key in files of their own: owner -> [path, rows]."""
+    """rows (with _owner) to a folder of their own, the rows of an owner (of ascending ones) by key in files of their own: owner -> [path, rows]."""
     folder = f"{path}/data/{uuid.uuid4().hex}"
-    place = F.array_position(F.array(*map(F.lit, owners)), F.col("_owner")).cast("int") - 1
-    rows.repartitionById(len(owners), place).sortWithinPartitions(key).write.partitionBy("_owner").parquet(folder)
+    tasks = min(len(owners), max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-len(owners) // TASK_FILES)))
+    place = F.floor((_at_or_below(F.col("_owner"), owners, "int") - 1) * tasks / len(owners)).cast("int")
+    rows.repartitionById(tasks, place).sortWithinPartitions("_owner", key).write.partitionBy("_owner").parquet(folder)
     written = rows.sparkSession.read.schema(rows.schema).parquet(folder)
     found = written.groupBy("_owner", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n")).collect()
     out: dict[int, list] = {}
@@ -86,7 +106,7 @@ def create(rows: DataFrame, path: str, key: str, file_rows: int = FILE_ROWS) ->
     if wanted > 1:  # bounds from a sample of keys of bounded size
         sample = rows.select(key).where(F.col(key).isNotNull()).sample(min(1.0, 100 * wanted / n), seed=1).orderBy(key).collect()
         lows += sorted({sample[k * len(sample) // wanted][key] for k in range(1, wanted)} if sample else set())
-    held = rows.withColumn("_owner", _owner(F.col(key), lows))
+    held = rows.withColumn("_owner", _owner(F.col(key), lows, rows.schema[key].dataType.simpleString()))
     written = _write(held, key, path, list(range(len(lows))))
     there = versions(spark, path)
     manifest = {"key": key, "schema": rows.schema.json(), "ranges": [{"low": low, "files": written.get(k, [])} for k, low in enumerate(lows)]}
@@ -112,10 +132,11 @@ def change(spark: SparkSession, path: str, keys: DataFrame, what: Callable[[Data
     """A new version in which the rows of all ranges that hold one of keys are what(those rows); the version's number."""
     version, manifest = _manifest(spark, path, None)
     key, lows = manifest["key"], [r["low"] for r in manifest["ranges"]]
-    touched = sorted(r[0] for r in keys.select(_owner(F.col(key), lows).alias("o")).distinct().collect())
+    kind = next(f["type"] for f in json.loads(manifest["schema"])["fields"] if f["name"] == key)
+    touched = sorted(r[0] for r in keys.select(_owner(F.col(key), lows, kind).alias("o")).distinct().collect())
     if not touched:
         return version
-    rows = what(_rows(spark, manifest, touched)).withColumn("_owner", _owner(F.col(key), lows))
+    rows = what(_rows(spark, manifest, touched)).withColumn("_owner", _owner(F.col(key), lows, kind))
     written = _write(rows, key, path, touched)
     for k in touched:
         manifest["ranges"][k]["files"] = written.get(k, [])

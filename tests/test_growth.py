@@ -4,9 +4,37 @@ import pytest
 from pyspark.sql import functions as F
 
 from gondola.plans import demo
+from gondola.sources import tables
 
 
 @pytest.mark.parametrize("name", ["titulos", "rotulos"])
 def test_texts_are_dealt_to_all_tasks(spark, name):
     rows = demo.table(spark, "/root/testdata/sf0.001", name).withColumn("task", F.spark_partition_id())
     assert rows.select("task").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_the_matchs_texts_are_dealt_to_all_tasks(spark):
+    from gondola.operators import match
+
+    products = spark.createDataFrame([(k, f"sku{k}", f"Frango {k} inteiro") for k in range(40)], "id long, sku string, title string").coalesce(1)
+    images = spark.createDataFrame([(f"https://a/produto/frango-{k}-inteiro/", f"https://a/{k}.png", k) for k in range(40)], "url string, image_url string, ordinal long").coalesce(1)
+    seen = []
+    whole = match.materialise
+    match.materialise = lambda df, label: seen.append(df.rdd.getNumPartitions()) or whole(df, label)
+    try:
+        assert match.image_match(products, images).count() == 40
+    finally:
+        match.materialise = whole
+    assert seen and max(seen) > 1
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "double"])
+def test_bounds_are_found_by_halving(spark, kind):
+    """Ranges of any number, with a plan and work a row that don't grow with it."""
+    made = {"long": lambda k: 3 * k, "string": lambda k: f"k\"{k:05d}'", "double": lambda k: k / 7}[kind]
+    for n in (1, 2, 3, 7, 8, 1000):
+        lows = [made(k) for k in range(n)]
+        keys = [made(0), made(n - 1), None] + [made(k) for k in range(-1 if kind != "string" else 0, n + 2)]
+        df = spark.createDataFrame([(k,) for k in keys], f"k {kind}").select("k", tables._at_or_below(F.col("k"), lows, kind).alias("got"))
+        assert all(r["got"] == (0 if r["k"] is None else sum(low <= r["k"] for low in lows)) for r in df.collect())
+    assert len(df._jdf.queryExecution().analyzed().toString()) < 100_000
