@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import io
 import re
+import struct
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -24,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
-from gondola.sources.shared import ship
+from gondola.sources.shared import dealt, ship
 
 #: Fixed values of the format.
 SHEET_ROWS = 1_048_576
@@ -35,8 +37,8 @@ _LINKS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 _PACKAGE = "http://schemas.openxmlformats.org/package/2006"
 _HEAD = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>\n'
 
-#: What is written: a row of a sheet of a workbook. Sheets stand by place, rows by row; cells are texts, numbers if so marked.
-ROWS = "book string, place int, sheet string, row long, cells array<struct<text:string,number:boolean>>"
+#: What is written: a row of a sheet of a workbook, as XML. Sheets stand by place, rows by row.
+ROWS = "book string, place int, sheet string, row long, xml string"
 _CONTROLS = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f￾￿]")
 
 
@@ -48,11 +50,21 @@ def _cell(cell) -> str:
     return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(_CONTROLS.sub("", cell["text"])[:CELL_CHARACTERS])}</t></is></c>'
 
 
+def _row_xml(cells: Column) -> Column:
+    """A row of cells (text, number) as _Book.add writes it, made by Spark: Python then handles one text a row."""
+    clean = lambda t: F.substring(F.regexp_replace(t, r"[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", ""), 1, CELL_CHARACTERS)
+    safe = lambda t: F.replace(F.replace(F.replace(t, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    number = lambda c: F.concat(F.lit("<c><v>"), c["text"], F.lit("</v></c>"))
+    text = lambda c: F.concat(F.lit('<c t="inlineStr"><is><t xml:space="preserve">'), safe(clean(c["text"])), F.lit("</t></is></c>"))
+    shown = F.transform(cells, lambda c: F.when(c["text"].isNull(), F.lit("<c/>")).when(c["number"], number(c)).otherwise(text(c)))
+    return F.concat(F.lit("<row>"), F.array_join(shown, ""), F.lit("</row>"))
+
+
 class _Book:
     """A workbook that is being written: sheets one after the other, each a stream of rows."""
 
     def __init__(self, out, sheet_rows: int = SHEET_ROWS):
-        self.zip, self.sheet_rows = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED), sheet_rows
+        self.zip, self.sheet_rows = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1), sheet_rows
         self.names, self.sheet, self.at, self.part = [], None, None, 0
 
     def _open(self, name: str) -> None:
@@ -74,12 +86,15 @@ class _Book:
             self.sheet = None
 
     def add(self, place: int, name: str, cells) -> None:
+        self.add_xml(place, name, f"<row>{''.join(map(_cell, cells))}</row>")
+
+    def add_xml(self, place: int, name: str, row: str) -> None:
         if (place, name) != self.at:
             self.at = (place, name)
             self._open(name)
         elif self.written == self.sheet_rows:
             self._open(name)
-        self.sheet.write(f"<row>{''.join(map(_cell, cells))}</row>".encode())
+        self.sheet.write(row.encode())
         self.written += 1
 
     def close(self) -> None:
@@ -138,7 +153,7 @@ class _BookWriter(DataSourceWriter):
                 out = files.open_output_stream(temporary)
                 book = _Book(out)
                 done.append((temporary, name))
-            book.add(r["place"], r["sheet"], r["cells"])
+            book.add_xml(r["place"], r["sheet"], r["xml"])
         if book is not None:
             book.close()
             out.close()
@@ -202,7 +217,7 @@ def write_books(sheets: list[DataFrame], path: str) -> None:
     spark = sheets[0].sparkSession
     ship(spark)
     spark.dataSource.register(WorkbookSource)
-    every = reduce(DataFrame.unionByName, sheets)
+    every = reduce(DataFrame.unionByName, sheets).select("book", "place", "sheet", "row", _row_xml(F.col("cells")).alias("xml"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     every.repartition(parts, "book").sortWithinPartitions("book", "place", "sheet", "row").write.format("workbook").mode("overwrite").option("path", path).save()
 
@@ -215,47 +230,93 @@ def _column(reference: str) -> int:
     return n - 1
 
 
-def sheet_rows(raw: bytes) -> Iterator[tuple[int, str, int, list]]:
-    """place (from 0), name, row (from 0) and texts of every row of every sheet of a workbook, parsed as a stream."""
-    tag = lambda e: e.tag.rpartition("}")[2]
-    text_of = lambda e: "".join(t.text or "" for t in e.iter() if tag(t) == "t")
+_tag = lambda e: e.tag.rpartition("}")[2]
+_text_of = lambda e: "".join(t.text or "" for t in e.iter() if _tag(t) == "t")
+
+
+def _packed(raw: bytes, z: zipfile.ZipFile, name: str) -> tuple[bytes, bool]:
+    """A part of a workbook as it lies in the file, and whether it is deflated."""
+    info = z.getinfo(name)
+    if info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+        return z.read(name), False
+    at = info.header_offset
+    names, extra = struct.unpack("<HH", raw[at + 26 : at + 30])
+    begin = at + 30 + names + extra
+    return raw[begin : begin + info.compress_size], info.compress_type == zipfile.ZIP_DEFLATED
+
+
+def _elements(packed: bytes, deflated: bool) -> Iterator:
+    """The elements of an XML part at their ends, parsed as a stream."""
+    parser, inflate = ElementTree.XMLPullParser(), zlib.decompressobj(-15)
+    for at in range(0, len(packed), 1 << 16):
+        chunk = packed[at : at + (1 << 16)]
+        parser.feed(inflate.decompress(chunk) if deflated else chunk)
+        yield from (e for _, e in parser.read_events())
+    parser.feed(inflate.flush() if deflated else b"")
+    parser.close()
+    yield from (e for _, e in parser.read_events())
+
+
+def parts_of(raw: bytes) -> Iterator[tuple[int, str, bytes, bool, bytes | None, bool]]:
+    """place (from 0), name, XML, whether it is deflated, and the shared texts' XML (None: there are none) with that, of every sheet of a workbook."""
     with zipfile.ZipFile(io.BytesIO(raw)) as z:
-        shared = []
-        if "xl/sharedStrings.xml" in z.namelist():
-            with z.open("xl/sharedStrings.xml") as f:
-                for _, e in ElementTree.iterparse(f):
-                    if tag(e) == "si":
-                        shared.append(text_of(e))
-                        e.clear()
+        shared = _packed(raw, z, "xl/sharedStrings.xml") if "xl/sharedStrings.xml" in z.namelist() else (None, False)
         links = {e.get("Id"): e.get("Target") for e in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
-        listed = [e for e in ElementTree.fromstring(z.read("xl/workbook.xml")).iter() if tag(e) == "sheet"]
+        listed = [e for e in ElementTree.fromstring(z.read("xl/workbook.xml")).iter() if _tag(e) == "sheet"]
         for place, e in enumerate(listed):
             target = links[e.get(f"{{{_LINKS}}}id")].lstrip("/")
-            with z.open(target if target.startswith("xl/") else f"xl/{target}") as f:
-                row = 0
-                for _, r in ElementTree.iterparse(f):
-                    if tag(r) != "row":
-                        continue
-                    texts: list = []
-                    for c in r:
-                        if tag(c) != "c":
-                            continue
-                        at = _column(c.get("r")) if c.get("r") else len(texts)
-                        texts += [None] * (at - len(texts))
-                        value = next((v.text for v in c if tag(v) == "v"), None)
-                        texts.append(text_of(c) if c.get("t") == "inlineStr" else shared[int(value)] if c.get("t") == "s" and value is not None else value)
-                    yield place, e.get("name"), row, texts
-                    row += 1
-                    r.clear()
+            yield place, e.get("name"), *_packed(raw, z, target if target.startswith("xl/") else f"xl/{target}"), *shared
+
+
+def rows_of(packed: bytes, deflated: bool, shared_packed: bytes | None, shared_deflated: bool) -> Iterator[tuple[int, list]]:
+    """row (from 0) and texts of every row of a sheet, parsed as a stream."""
+    shared = []
+    for e in _elements(shared_packed, shared_deflated) if shared_packed is not None else ():
+        if _tag(e) == "si":
+            shared.append(_text_of(e))
+            e.clear()
+    row = 0
+    for r in _elements(packed, deflated):
+        if _tag(r) != "row":
+            continue
+        texts: list = []
+        for c in r:
+            if _tag(c) != "c":
+                continue
+            at = _column(c.get("r")) if c.get("r") else len(texts)
+            texts += [None] * (at - len(texts))
+            value = next((v.text for v in c if _tag(v) == "v"), None)
+            texts.append(_text_of(c) if c.get("t") == "inlineStr" else shared[int(value)] if c.get("t") == "s" and value is not None else value)
+        yield row, texts
+        row += 1
+        r.clear()
+
+
+def sheet_rows(raw: bytes) -> Iterator[tuple[int, str, int, list]]:
+    """place (from 0), name, row (from 0) and texts of every row of every sheet of a workbook, parsed as a stream."""
+    for place, name, *parts in parts_of(raw):
+        for row, texts in rows_of(*parts):
+            yield place, name, row, texts
+
+
+def _sheets(batches):
+    """Of every file its sheets, as they lie there."""
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.binary(), pa.bool_(), pa.binary(), pa.bool_()]
+    names = ["path", "place", "sheet", "xml", "deflated", "shared", "shared_deflated"]
+    for b in batches:
+        for path, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for found in parts_of(raw):
+                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((path, *found), kinds, strict=True)], names)
 
 
 def _parsed(batches):
     names = ["path", "place", "sheet", "row", "cells"]
     for b in batches:
-        for path, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for k in range(b.num_rows):
+            path, place, name, *parts = (c[k].as_py() for c in b.columns)
             held: list = []
-            for found in sheet_rows(raw):
-                held.append((path, *found))
+            for row, texts in rows_of(*parts):
+                held.append((path, place, name, row, texts))
                 if len(held) == 4096:
                     yield _batch(held, names)
                     held = []
@@ -269,10 +330,11 @@ def _batch(rows: list, names: list[str]) -> pa.RecordBatch:
 
 
 def read_books(spark: SparkSession, path: str) -> DataFrame:
-    """path, place, sheet, row (from 0), cells (texts) of all rows of all workbooks of a folder; a file is one task's work."""
+    """path, place, sheet, row (from 0), cells (texts) of all rows of all workbooks of a folder; a file is opened by one task, each sheet of it parsed by its own."""
     ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "content")
-    return files.mapInArrow(_parsed, "path string, place int, sheet string, row long, cells array<string>")
+    sheets = files.mapInArrow(_sheets, "path string, place int, sheet string, xml binary, deflated boolean, shared binary, shared_deflated boolean")
+    return dealt(sheets, "path", "place").mapInArrow(_parsed, "path string, place int, sheet string, row long, cells array<string>")
 
 
 def table_of(rows: DataFrame, columns: list[str]) -> DataFrame:
