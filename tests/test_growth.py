@@ -38,3 +38,23 @@ def test_bounds_are_found_by_halving(spark, kind):
         df = spark.createDataFrame([(k,) for k in keys], f"k {kind}").select("k", tables._at_or_below(F.col("k"), lows, kind).alias("got"))
         assert all(r["got"] == (0 if r["k"] is None else sum(low <= r["k"] for low in lows)) for r in df.collect())
     assert len(df._jdf.queryExecution().analyzed().toString()) < 100_000
+
+
+def test_the_bands_pairs_are_made_by_many_tasks(spark, tmp_path, monkeypatch):
+    """One file of points, with values that many rows have: before, a small table's pairs were one task's work."""
+    from gondola.operators import match
+
+    monkeypatch.setattr(match, "RUN_ROWS", 3, raising=False)
+    values = [None if k % 11 == 10 else k % 13 * 0.5 for k in range(80)]
+    made = spark.createDataFrame([(k, "ab"[k % 2] if k % 7 else None, v) for k, v in enumerate(values)], "p long, g string, v double")
+    made.coalesce(1).write.parquet(str(tmp_path / "points"))
+    points = spark.read.parquet(str(tmp_path / "points"))
+    targets = points.selectExpr("p AS t", "g", "v AS w")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = match.band_join(points, targets, ["g"], F.col("w"), F.col("w") + 1.2, F.col("v"), 1.2).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got[0].asDict().keys() == {"g", "p", "v", "t", "w", "task"} and len({r["task"] for r in got}) > 1
+    ok = [k for k in range(80) if k % 7 and values[k] is not None]
+    assert sorted((r["p"], r["t"]) for r in got) == [(p, t) for p in ok for t in ok if p % 2 == t % 2 and values[t] < values[p] < values[t] + 1.2]
