@@ -58,3 +58,31 @@ def test_the_bands_pairs_are_made_by_many_tasks(spark, tmp_path, monkeypatch):
     assert got[0].asDict().keys() == {"g", "p", "v", "t", "w", "task"} and len({r["task"] for r in got}) > 1
     ok = [k for k in range(80) if k % 7 and values[k] is not None]
     assert sorted((r["p"], r["t"]) for r in got) == [(p, t) for p in ok for t in ok if p % 2 == t % 2 and values[t] < values[p] < values[t] + 1.2]
+
+
+def test_the_match_broadcasts_no_products(spark):
+    """Equal titles make a small file of many rows: before, by its bytes all products were sent to the driver. An id's rows stay as many as they are."""
+    from gondola.operators import match
+
+    def broadcasts(node):
+        inner = [node.plan()] if "QueryStage" in node.nodeName() else [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else []
+        found = [node.metrics().apply("numOutputRows").value()] if node.nodeName() == "BroadcastExchange" else []
+        under = inner + [node.children().apply(k) for k in range(node.children().size())]
+        return sum((broadcasts(x) for x in under), found)
+
+    n = 3000
+    products = spark.createDataFrame([(k // 2, f"sku{k // 2}", f"Frango inteiro {k // 2 % 2}") for k in range(2 * n)], "id long, sku string, title string")
+    images = spark.createDataFrame([(f"https://a/produto/frango-inteiro-{k % 2}/", f"https://a/x_sku{2 * k}.png", k) for k in range(n)], "url string, image_url string, ordinal long")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "20k")  # what is sent by its measured size is no matter here
+    try:
+        out = match.image_match(products, images)
+        got = out.collect()
+        sent = broadcasts(out._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert max(sent, default=0) < n / 10
+    first = {}
+    for k in range(n):  # the SKU up to a digit counts, and the image of the smallest ordinal
+        for cut in range(len(str(2 * k))):
+            first.setdefault(int(str(2 * k)[: cut + 1]), f"https://a/x_sku{2 * k}.png")
+    assert sorted((r["id"], r["image_url"]) for r in got) == [(k // 2, first.get(k // 2, f"https://a/x_sku{2 * (k // 2 % 2)}.png")) for k in range(2 * n)]
