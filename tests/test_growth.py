@@ -86,3 +86,25 @@ def test_the_match_broadcasts_no_products(spark):
         for cut in range(len(str(2 * k))):
             first.setdefault(int(str(2 * k)[: cut + 1]), f"https://a/x_sku{2 * k}.png")
     assert sorted((r["id"], r["image_url"]) for r in got) == [(k // 2, first.get(k // 2, f"https://a/x_sku{2 * (k // 2 % 2)}.png")) for k in range(2 * n)]
+
+
+def test_a_full_buckets_pairs_are_many_tasks_work(spark, monkeypatch):
+    """All points in one bucket: before, one task made all pairs, and held as many at once as two runs have. Nulls and equal rows stay."""
+    from gondola.operators import match
+
+    monkeypatch.setattr(match, "RUN_ROWS", 3)
+    monkeypatch.setattr(match, "BLOCK_RUNS", 2, raising=False)
+    rows = [(None if k % 13 == 0 else k // 2, "a", k % 16 / 16) for k in range(120)]
+    points = spark.createDataFrame(rows, "p long, g string, v double")
+    targets = points.selectExpr("p AS t", "g", "v AS w")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = lambda **more: match.band_join(points, targets, ["g"], F.col("w"), F.col("w") + 1.2, F.col("v"), 1.2, **more)
+        got = pairs().withColumn("task", F.spark_partition_id()).collect()
+        less = pairs(keep=["p"]).collect() if "keep" in match.band_join.__code__.co_varnames else None
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    order = lambda found: sorted(found, key=str)
+    want = order((p, v, t, w) for p, _, v in rows for t, _, w in rows if w < v < w + 1.2)
+    assert order((r["p"], r["v"], r["t"], r["w"]) for r in got) == want and len({r["task"] for r in got}) > 1
+    assert less[0].asDict().keys() == {"g", "p", "t", "w"} and order((r["p"], r["t"], r["w"]) for r in less) == order((p, t, w) for p, _, t, w in want)
