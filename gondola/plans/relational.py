dedup_lines: an order's lines are exchanged once

Symptom: dedup_lines wrote and read 104 MB of shuffle for a lineitem file of 11 MB, in two exchanges and four aggregations.
Evidence: count_distinct made a first grouping by order and part, so nearly every line crossed the network with five aggregation buffers of its own, and once more by order; array_sort compared nested structs by an interpreted function.
Fix: the distinct parts are counted in the lines that the group collects anyway, so one exchange by order is left; the lines are sorted by sort_array, which has the same order without that function.
Effect: at 1 GB of input CPU 1944 -> 1049 s, shuffle 6.52 -> 3.04 GB, spill 0.00 -> 0.00 GB, read 0.70 -> 0.70 GB, longest task 51 -> 43 s, most memory of a task 0 -> 0 MB; at 6 GB of input CPU 7782 -> 5114 s, shuffle 38.35 -> 18.52 GB, spill 0.76 -> 0.00 GB, read 4.94 -> 4.94 GB, longest task 82 -> 84 s, most memory of a task 0 -> 0 MB; with hot keys, at 1 GB of input CPU 1554 -> 1187 s, shuffle 6.37 -> 3.01 GB, spill 0.00 -> 0.00 GB, read 0.68 -> 0.68 GB, longest task 66 -> 47 s, most memory of a task 0 -> 0 MB.

@@ -43,13 +43,15 @@ def dedup_lines(spark, sf_dir):
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     code = F.when(F.col("l_partkey") % 3 == 0, F.concat(F.lit("789"), F.lpad(F.col("l_partkey").cast("string"), 10, "0"))).otherwise(F.col("l_partkey").cast("string"))
-    text = F.array_sort(F.collect_list(F.struct(order.alias("o"), F.concat(F.lit("P: "), F.col("l_partkey").cast("string")).alias("t"))))
+    held = F.collect_list(F.struct(order.alias("o"), F.concat(F.lit("P: "), F.col("l_partkey").cast("string")).alias("t")))
+    text = F.sort_array(held)
+    # parts are counted in the lines held: count_distinct would exchange each line twice, with all that is kept of its order
     return li.groupBy("l_orderkey").agg(
         dedup.first_value(F.col("l_partkey"), order).alias("first_part"),
         dedup.last_value(F.col("l_partkey"), order).alias("last_part"),
         dedup.preferred_code(code, order).alias("code"),
         F.array_join(F.transform(text, lambda x: x["t"]), " | ").alias("lines"),
-        F.count_distinct("l_partkey").alias("parts"),
+        F.size(F.array_compact(F.array_distinct(held["o"]["l_partkey"]))).cast("long").alias("parts"),
     )
 
 

@@ -108,3 +108,19 @@ def test_a_full_buckets_pairs_are_many_tasks_work(spark, monkeypatch):
     want = order((p, v, t, w) for p, _, v in rows for t, _, w in rows if w < v < w + 1.2)
     assert order((r["p"], r["v"], r["t"], r["w"]) for r in got) == want and len({r["task"] for r in got}) > 1
     assert less[0].asDict().keys() == {"g", "p", "t", "w"} and order((r["p"], r["t"], r["w"]) for r in less) == order((p, t, w) for p, _, t, w in want)
+
+
+def test_an_orders_lines_are_exchanged_once(spark, tmp_path):
+    """Also with nulls, a line that comes twice and lines without an order."""
+    from gondola.plans.relational import dedup_lines
+
+    lines = [(1, 3, None, 5, 3.0), (1, 2, 12, 5, 2.0), (1, 1, 10, 5, 1.0), (1, 2, 12, 5, 2.0), (2, 1, None, 1, None), (None, 1, 7, 1, 1.0), (None, None, 9, None, 1.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = dedup_lines(spark, str(tmp_path))
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert got.dtypes[-1] == ("parts", "bigint")
+    assert {r[0]: tuple(r)[1:] for r in got.collect()} == {
+        1: (10, None, "7890000000012", "P: 10 | P: 12 | P: 12", 2),
+        2: (None, None, None, "", 0),
+        None: (9, 7, "7890000000009", "P: 9 | P: 7", 2),
+    }
