@@ -33,7 +33,9 @@ def codes_by_product(codes: DataFrame, order: str = "ordinal") -> DataFrame:
 def description_of(*columns: Column) -> Column:
     """The first text: of a JSON object its formatted, else its clean title."""
     head = columns[0]
-    parsed = text_or(F.get_json_object(head, "$.formatted_description"), F.get_json_object(head, "$.title_clean"))
+    # a text without a brace is no object: parsing it ends in an exception a row and field
+    field = lambda path: F.when(F.contains(head, F.lit("{")), F.get_json_object(head, path))
+    parsed = text_or(field("$.formatted_description"), field("$.title_clean"))
     return F.coalesce(text_or(parsed, *columns), F.lit(""))
 
 

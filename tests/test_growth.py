@@ -1,5 +1,7 @@
 """Steps whose cost once grew faster than their input, or stayed in one task."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +126,18 @@ def test_an_orders_lines_are_exchanged_once(spark, tmp_path):
         2: (None, None, None, "", 0),
         None: (9, 7, "7890000000009", "P: 9 | P: 7", 2),
     }
+
+
+def test_only_texts_with_a_brace_are_parsed(spark):
+    """The text is the one that parsing every row gives."""
+    from gondola.functions.text import text_or
+    from gondola.operators import export
+
+    heads = [None, "", " ", "plain ring", "[1, 2]", '"title_clean"', "a { b", "{bad", '{"title_clean": "T"}', ' {"title_clean": "", "formatted_description": "F"}', '{"title_clean": null}', '[{"title_clean": "in a list"}]', '﻿{"title_clean": "mark"}', "{'title_clean': 'single'}", '{"title_clean": {"a": 1}}', "[object Object]"]
+    df = spark.createDataFrame([(h, o) for h in heads for o in (None, "", "other")], "head string, other string")
+    parsed = text_or(F.get_json_object("head", "$.formatted_description"), F.get_json_object("head", "$.title_clean"))
+    rows = df.select(export.description_of(F.col("head"), F.col("other")).alias("got"), F.coalesce(text_or(parsed, F.col("head"), F.col("other")), F.lit("")).alias("want"))
+    assert all(r["got"] == r["want"] for r in rows.collect())
+    plan = df.select(export.description_of(F.col("head"), F.col("other")))._jdf.queryExecution().optimizedPlan().toString()
+    parses = re.findall(r"(?i)(contains\(head[#0-9]*, \{\) THEN )?\(?get_json_object\(", plan)
+    assert parses and all(parses)
